@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reproduced workload is batch-only (weekly scoring): it has no stream
+source, watermark, event-time window or keyed state, so no streaming
+operator is built.  The cleaning rules are row-local Column predicates,
+so ``clean_transactions(..., dedup=False)`` can be applied unchanged to a
+``readStream`` DataFrame if incremental landing of raw lines is wanted;
+exact-duplicate removal would then need ``dropDuplicatesWithinWatermark``.
+"""
