@@ -185,24 +185,30 @@ def average_rank(df: DataFrame, value: str, out: str, group=None, **kw) -> DataF
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None,
                     prefix: str = "q", **kw) -> DataFrame:
-    """Exact linear-interpolation quantiles (numpy default) per group, without
-    gathering a group's values into one task: rank, then pick the two
-    neighbouring order statistics of each probability.
+    """Exact linear-interpolation quantiles (numpy's default rule) per group.
 
-    Returns one row per group with columns ``{prefix}{int(p*100)}``-style names
-    given by ``_qname``.
+    Values are first collapsed to (value, count), so a value repeated in a
+    third of all rows is one row; the distinct values are then ordered with
+    ``global_order`` and each probability picks its two neighbouring order
+    statistics from the running counts.  No group is gathered in one task.
+    One row per group; columns named by ``_qname(prefix, p)``.
     """
     gcols = [group] if group else []
-    tie = F.lit(0)
-    o = global_order(df.select(*gcols, value), value, tie=tie, group=group, rn="_rn", n="_nn", **kw)
+    src = df.filter(F.col(value).isNotNull())
+    dv = src.groupBy(*gcols, value).agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
+    o = global_order(dv, value, tie=value, group=group, sums={"_cum": F.col("_cnt")},
+                     rn="_rn", n=None, **kw)
+    tot = dv.groupBy(*gcols).agg(F.sum("_cnt").alias("_nn"))  # #groups rows
+    o = o.join(F.broadcast(tot), gcols, "inner") if gcols else o.join(F.broadcast(tot), how="inner")
     aggs = []
+    first = F.col("_cum") - F.col("_cnt")  # rows before this value
     for p in probs:
-        pos = F.lit(p) * (F.col("_nn") - 1) + 1  # 1-based fractional position
+        pos = F.lit(float(p)) * (F.col("_nn") - 1) + 1  # 1-based fractional position
         lo = F.floor(pos)
-        frac = pos - lo
-        at_lo = F.max(F.when(F.col("_rn") == lo, F.col(value)))
-        at_hi = F.max(F.when(F.col("_rn") == F.least(lo + 1, F.col("_nn")), F.col(value)))
-        fr = F.max(frac)
+        hi = F.least(lo + 1, F.col("_nn"))
+        at_lo = F.max(F.when((first < lo) & (lo <= F.col("_cum")), F.col(value)))
+        at_hi = F.max(F.when((first < hi) & (hi <= F.col("_cum")), F.col(value)))
+        fr = F.max(pos - lo)
         aggs.append((at_lo + (at_hi - at_lo) * fr).alias(_qname(prefix, p)))
     return o.groupBy(*gcols).agg(*aggs)
 

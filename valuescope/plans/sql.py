@@ -136,3 +136,49 @@ features AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def qbin(rn: str, n: str, q: int) -> str:
+    return (f"(CASE WHEN {n} <= 1 THEN 1 ELSE greatest(1, CAST(floor((({rn} - 1) * {q} + {n} - 2) / ({n} - 1)) AS INTEGER)) END)")
+
+
+SEGMENT = """(CASE WHEN R = 4 AND F = 4 THEN 'Champions'
+  WHEN R = 1 AND F = 4 THEN 'Cant Lose Them'
+  WHEN R <= 2 AND F >= 3 THEN 'At Risk'
+  WHEN R >= 3 AND F >= 3 THEN 'Loyal Customers'
+  WHEN R >= 3 AND F = 2 THEN 'Potential Loyalists'
+  WHEN R = 4 AND F = 1 THEN 'New Customers'
+  WHEN R = 1 AND F <= 2 THEN 'Lost'
+  ELSE 'Hibernating' END)"""
+
+RFM = f"""rfm_rank AS (
+  SELECT customer_id, recency_days, n_invoices, total_revenue,
+    row_number() OVER (ORDER BY recency_days, customer_id) AS rn_r,
+    row_number() OVER (ORDER BY n_invoices, customer_id) AS rn_f,
+    row_number() OVER (ORDER BY total_revenue, customer_id) AS rn_m,
+    count(*) OVER () AS n
+  FROM features
+),
+rfm_s AS (
+  SELECT customer_id, recency_days, n_invoices, total_revenue,
+    CAST(least(greatest(5 - {qbin('rn_r', 'n', 4)}, 1), 4) AS INTEGER) AS R,
+    CAST({qbin('rn_f', 'n', 4)} AS INTEGER) AS F,
+    CAST({qbin('rn_m', 'n', 4)} AS INTEGER) AS M
+  FROM rfm_rank
+),
+rfm AS (
+  SELECT *, CAST(R + F + M AS INTEGER) AS rfm_score, {SEGMENT} AS segment FROM rfm_s
+)"""
+
+LORENZ = """lz0 AS (
+  SELECT customer_id, total_revenue,
+    row_number() OVER (ORDER BY total_revenue, customer_id) AS rn,
+    count(*) OVER () AS n,
+    sum(CAST(total_revenue AS DECIMAL(18,2))) OVER (ORDER BY total_revenue, customer_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_dec,
+    sum(CAST(total_revenue AS DECIMAL(18,2))) OVER () AS s_dec
+  FROM features
+),
+lz AS (
+  SELECT *, CAST(cum_dec AS DOUBLE) / CAST(s_dec AS DOUBLE) * 100.0 AS cum_revenue_pct FROM lz0
+)"""
