@@ -13,6 +13,7 @@ from valuescope.operators import features as FE
 from valuescope.params import TESTDATA_PARAMS
 from valuescope.plans import sql as S
 from valuescope.plans.catalog import register
+from valuescope.plans.materialize import materialize
 from valuescope.plans.queries_core import txn_orders
 
 P = TESTDATA_PARAMS
@@ -24,7 +25,7 @@ N_TERMS_HOLDOUT = btyd.series_terms_bound(BG, P.holdout_days)
 
 # ---------------------------------------------------------------- Spark side
 def clv_inputs(spark, sf_dir, p=P):
-    inv = FE.invoices(txn_orders(spark, sf_dir))
+    inv = materialize(FE.invoices(txn_orders(spark, sf_dir)))
     hend = FE.resolve_holdout_end(inv, p.cutoff, p.holdout_days)
     summary = btyd.calibration_holdout(inv, p.cutoff, hend)
     return inv, hend, summary
@@ -32,8 +33,8 @@ def clv_inputs(spark, sf_dir, p=P):
 
 def fixed_scores(spark, sf_dir, p=P):
     inv, hend, summary = clv_inputs(spark, sf_dir, p)
-    return spend.score_clv(inv, summary, BG, GG, p.cutoff, hend, p.clv_horizon_days,
-                           p.discount_rate_annual, n_terms=N_TERMS)
+    return materialize(spend.score_clv(inv, summary, BG, GG, p.cutoff, hend, p.clv_horizon_days,
+                                       p.discount_rate_annual, n_terms=N_TERMS))
 
 
 def eval_frame(spark, sf_dir, p=P):
@@ -42,11 +43,11 @@ def eval_frame(spark, sf_dir, p=P):
     scores = spend.score_clv(inv, summary, BG, GG, p.cutoff, hend, p.clv_horizon_days,
                              p.discount_rate_annual, n_terms=N_TERMS)
     act = btyd.holdout_actuals(inv, p.cutoff, p.cutoff + dt.timedelta(days=p.holdout_days), include_start=True)
-    return scores.select("customer_id", "clv_horizon").join(act, "customer_id", "left").select(
+    return materialize(scores.select("customer_id", "clv_horizon").join(act, "customer_id", "left").select(
         "customer_id", "clv_horizon",
         F.coalesce("holdout_revenue", F.lit(0.0)).alias("holdout_revenue"),
         F.coalesce("holdout_transactions", F.lit(0)).cast("bigint").alias("holdout_transactions"),
-    )
+    ))
 
 
 # ---------------------------------------------------------------- SQL side

@@ -12,6 +12,7 @@ from valuescope.operators.ordered import global_order, qbin
 from valuescope.params import TESTDATA_PARAMS
 from valuescope.plans import sql as S
 from valuescope.plans.catalog import register
+from valuescope.plans.materialize import materialize
 from valuescope.plans.queries_core import txn_orders
 from valuescope.sources import dirty_transactions
 
@@ -20,7 +21,7 @@ FEAT = S.with_(S.txn_cte("orders"), S.features_cte(P.cutoff))
 
 
 def feats(spark, sf_dir):
-    return FE.customer_features(txn_orders(spark, sf_dir), P.cutoff)
+    return materialize(FE.customer_features(txn_orders(spark, sf_dir), P.cutoff))
 
 
 # ---------------------------------------------------------------- W1, W2, W6
