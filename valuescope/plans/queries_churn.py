@@ -197,3 +197,10 @@ def q_churn_feature_importance(spark, sf_dir):
     out = CH.train_and_evaluate(inv, feats, P.cutoff, P.prediction_horizon_days, P.inactivity_days,
                                 P.eval_gap_days, model="logistic_regression", k=P.n_folds, seed=P.seed)
     return out["importance"]
+
+
+@register("churn_model_comparison", None, "M5 M6 M7 M8 M9 M10 M11 (rows-only)")
+def q_churn_model_comparison(spark, sf_dir):
+    snap = snapshot(spark, sf_dir)
+    comp, _ = CH.compare_models(snap, P.n_folds, P.seed)
+    return comp
