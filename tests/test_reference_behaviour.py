@@ -128,3 +128,35 @@ def test_calibration_collapses_same_day_invoices(spark):
             (1, "c", dt.datetime(2011, 1, 11), 1.0), (1, "d", dt.datetime(2011, 6, 10), 1.0)]
     s = btyd.calibration_holdout(_inv(spark, rows), CUTOFF, dt.datetime(2011, 7, 1)).first()
     assert (s["frequency_cal"], s["recency_cal"], s["T_cal"], s["frequency_holdout"]) == (1.0, 10.0, 151.0, 1.0)
+
+
+def test_require_columns_names_the_table(spark):
+    from valuescope.schemas import require_columns
+
+    df = spark.createDataFrame([(1,)], "customer_id long")
+    with pytest.raises(ValueError, match="transactions"):
+        require_columns(df, ["customer_id", "invoice"], "transactions")
+
+
+def test_policy_validation():
+    from valuescope.operators.policy import validate_config
+
+    validate_config(100.0, 2.0, 0.1, 0.0)
+    for bad in ((0, 2, 0.1, 0), (100, 0, 0.1, 0), (100, 2, 1.5, 0), (100, 2, 0.1, -1)):
+        with pytest.raises(ValueError):
+            validate_config(*bad)
+
+
+def test_standardize_parses_text_and_rejects_non_integral(spark):
+    from valuescope.sources import standardize
+
+    raw = spark.createDataFrame(
+        [("1", "A", "x", "2", "2011-01-01 10:00:00", "1.5", "17850.0", "UK"),
+         ("2", "B", "y", "2.5", "not a date", "abc", "12.3", "UK")],
+        "Invoice string, StockCode string, Description string, Quantity string, InvoiceDate string, "
+        "Price string, `Customer ID` string, Country string")
+    rows = {r["invoice"]: r for r in standardize(raw, "sheet").collect()}
+    assert rows["1"]["quantity"] == 2 and rows["1"]["customer_id"] == 17850 and rows["1"]["unit_price"] == 1.5
+    assert rows["2"]["quantity"] is None and rows["2"]["customer_id"] is None
+    assert rows["2"]["invoice_dt"] is None and rows["2"]["unit_price"] is None
+    assert rows["1"]["source_sheet"] == "sheet"

@@ -37,7 +37,7 @@ def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
     from valuescope.plans import queries_core  # noqa: F401
 
-    for mod in ("queries_ordered", "queries_cohorts", "queries_clv", "queries_policy", "queries_churn", "queries_segments"):
+    for mod in ("queries_ordered", "queries_cohorts", "queries_clv", "queries_policy", "queries_churn", "queries_segments", "queries_extra"):
         try:
             __import__(f"valuescope.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet
