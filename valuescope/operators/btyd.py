@@ -101,8 +101,20 @@ def p_alive(params, x="frequency_cal", t_x="recency_cal", T="T_cal") -> Column:
     return F.when(x == 0, F.lit(1.0)).otherwise(1.0 / (1.0 + F.exp(log_div)))
 
 
-def hyp2f1_series(a: Column, b: Column, c: Column, z: Column, n_terms: int) -> Column:
-    """Gauss 2F1(a, b; c; z) by its power series (|z| < 1), JVM-side."""
+MIN_TERMS = 20
+
+
+def series_length(z: Column, cap: int) -> Column:
+    """Per-row term count: the tail after n terms shrinks like z^n, so
+    n = ceil(ln(1e-16) / ln z), kept within [MIN_TERMS, cap]."""
+    n = F.ceil(F.lit(math.log(1e-16)) / F.log(z))
+    return F.least(F.lit(cap), F.greatest(F.lit(MIN_TERMS), F.coalesce(n, F.lit(MIN_TERMS)))).cast("int")
+
+
+def hyp2f1_series(a: Column, b: Column, c: Column, z: Column, n_terms) -> Column:
+    """Gauss 2F1(a, b; c; z) by its power series (|z| < 1), JVM-side.
+
+    ``n_terms`` is an int or an int Column (per-row length)."""
     init = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("acc"))
 
     def step(s, n):
@@ -110,7 +122,8 @@ def hyp2f1_series(a: Column, b: Column, c: Column, z: Column, n_terms: int) -> C
         nxt = s["term"] * (a + n) * (b + n) / ((c + n) * (n + 1.0)) * z
         return F.struct(nxt.alias("term"), (s["acc"] + s["term"]).alias("acc"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(n_terms - 1)), init, step)["acc"]
+    nt = n_terms if isinstance(n_terms, Column) else F.lit(int(n_terms))
+    return F.aggregate(F.sequence(F.lit(0), nt - 1), init, step)["acc"]
 
 
 def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T="T_cal",
@@ -125,7 +138,8 @@ def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T
     x, t_x, T = (F.col(c) if isinstance(c, str) else c for c in (x, t_x, T))
     z = F.lit(float(t)) / (F.lit(p.alpha) + T + F.lit(float(t)))
     cc = F.lit(p.a + p.b - 1.0) + x
-    hyp = hyp2f1_series(F.lit(p.a + p.b - 1.0 - p.r), F.lit(p.a - 1.0), cc, z, n_terms)
+    # each customer sums only the terms its own z needs (young customers: z near 1)
+    hyp = hyp2f1_series(F.lit(p.a + p.b - 1.0 - p.r), F.lit(p.a - 1.0), cc, z, series_length(z, n_terms))
     num = cc / F.lit(p.a - 1.0) * (1.0 - F.pow(1.0 - z, F.lit(p.a - 1.0)) * hyp)
     den = 1.0 + F.when(x > 0, F.lit(p.a) / (F.lit(p.b) + x - 1.0)
                        * F.pow((p.alpha + T) / (p.alpha + t_x), F.lit(p.r) + x)).otherwise(F.lit(0.0))

@@ -4,6 +4,7 @@ CLV evaluation (A7-A10, C1-C10, W15, J9, B12)."""
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
@@ -86,19 +87,23 @@ def _scores_sql(t: float, n_terms: int, name: str = "scores") -> str:
     {dbl(t)} / ({dbl(al)} + T_cal + {dbl(t)}) AS z, {dbl(C0)} + frequency_cal AS cc
   FROM summ
 ),
+nt_{name} AS (
+  SELECT *, CAST(least({n_terms}, greatest({btyd.MIN_TERMS}, coalesce(ceil({dbl(math.log(1e-16))} / ln(z)), {btyd.MIN_TERMS}))) AS INTEGER) AS nt
+  FROM zt_{name}
+),
 hyp_{name}(customer_id, n, term, acc) AS (
   SELECT customer_id, 0, CAST(1.0 AS DOUBLE), CAST(0.0 AS DOUBLE) FROM zt_{name}
   UNION ALL
   SELECT h.customer_id, h.n + 1,
     h.term * ({dbl(A1)} + CAST(h.n AS DOUBLE)) * ({dbl(B1)} + CAST(h.n AS DOUBLE)) / ((s.cc + CAST(h.n AS DOUBLE)) * (CAST(h.n AS DOUBLE) + 1.0)) * s.z,
     h.acc + h.term
-  FROM hyp_{name} h JOIN zt_{name} s ON h.customer_id = s.customer_id WHERE h.n < {n_terms}
+  FROM hyp_{name} h JOIN nt_{name} s ON h.customer_id = s.customer_id WHERE h.n < s.nt
 ),
 ep_{name} AS (
   SELECT s.customer_id,
     (s.cc / {dbl(B1)} * (1.0 - pow(1.0 - s.z, {dbl(B1)}) * h.acc))
     / (1.0 + CASE WHEN s.x > 0 THEN {dbl(a)} / ({dbl(b)} + s.x - 1.0) * pow(({dbl(al)} + s.T) / ({dbl(al)} + s.tx), {dbl(r)} + s.x) ELSE 0.0 END) AS ep
-  FROM zt_{name} s JOIN hyp_{name} h ON s.customer_id = h.customer_id AND h.n = {n_terms}
+  FROM nt_{name} s JOIN hyp_{name} h ON s.customer_id = h.customer_id AND h.n = s.nt
 )"""
 
 

@@ -17,11 +17,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with header for a small, fixed-size result table."""
-    n = df.limit(REPORT_ROW_LIMIT + 1).count()
+    """One CSV file with header for a small, fixed-size result table.
+
+    The table is computed once (written), then its size is checked on the
+    written file, so the report plan is not executed twice.
+    """
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    n = df.sparkSession.read.option("header", True).csv(path).limit(REPORT_ROW_LIMIT + 1).count()
     if n > REPORT_ROW_LIMIT:
         raise ValueError(f"report table at {path} has more than {REPORT_ROW_LIMIT} rows; use Parquet")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def save_model(model, path: str) -> None:
