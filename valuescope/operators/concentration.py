@@ -36,7 +36,6 @@ def lorenz(features: DataFrame) -> DataFrame:
         "customer_id", "total_revenue", "rn", "n",
         (F.col("cum_revenue").cast("double") / F.col("_S").cast("double") * 100.0).alias("cum_revenue_pct"),
         (F.col("rn") / F.col("n") * 100.0).alias("cum_customer_pct"),
-        (F.col("_S") - F.col("cum_revenue") + money("total_revenue")).alias("_suffix"),
         "_S",
     )
 

@@ -84,7 +84,6 @@ def segment_summary(seg: DataFrame) -> DataFrame:
 def recency_band_profile(features: DataFrame) -> DataFrame:
     """Five equal-count recency bands with average value metrics."""
     b = quantile_bin(features, "recency_days", 5, "_band")
-    label = F.element_at(F.array(*[F.lit(x) for x in RECENCY_BANDS]), F.col("_band"))
     g = b.groupBy("_band").agg(
         F.count_distinct("customer_id").alias("customers"),
         F.sum(money("total_revenue")).alias("_rev"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from valuescope.operators import cleaning, features
 from valuescope.params import EVENTS_PARAMS, TESTDATA_PARAMS
