@@ -50,7 +50,7 @@ def global_order(
     sums: dict | None = None,
     rn: str = "rn",
     n: str | None = "n",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Append a 1-based row number ``rn`` in (key, tie) order within ``group``.
 
@@ -60,6 +60,7 @@ def global_order(
     receives the group's row count.
     """
     sums = sums or {}
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     spark = df.sparkSession
     k = _col(key).cast("double")
     k = -k if descending else k
