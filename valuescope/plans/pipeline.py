@@ -27,7 +27,7 @@ def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by=None) ->
 
 
 def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
-            churn_model: str = "auto", write_reports: bool = True) -> dict:
+            churn_model: str = "auto", write_reports: bool = True, report_parallelism: int = 4) -> dict:
     """Run ingest -> clean -> features -> CLV -> churn -> budget -> backtest ->
     segments -> cohorts -> insights -> sensitivity.  Returns the output tables."""
     p = params
@@ -132,11 +132,16 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
     mark("sensitivity")
 
     if write_reports:
-        for name in ("ingest_profile", "cleaning_waterfall", "decile_lift", "roi_curve", "executive_summary",
-                     "segment_summary", "cohort_retention", "cohort_revenue", "pareto_summary", "monthly_revenue",
-                     "sensitivity_summary", "sensitivity_tornado", "allocation_summary", "feature_importance",
-                     "churn_holdout_metrics", "clv_params") + (("model_comparison",) if "model_comparison" in out else ()):
-            write_report_csv(out[name], f"{out_dir}/reports/{name}")
+        # the report tables are independent, small jobs: submit them from a
+        # few driver threads so their scheduling overheads overlap
+        from concurrent.futures import ThreadPoolExecutor
+
+        names = ["ingest_profile", "cleaning_waterfall", "decile_lift", "roi_curve", "executive_summary",
+                 "segment_summary", "cohort_retention", "cohort_revenue", "pareto_summary", "monthly_revenue",
+                 "sensitivity_summary", "sensitivity_tornado", "allocation_summary", "feature_importance",
+                 "churn_holdout_metrics", "clv_params"] + (["model_comparison"] if "model_comparison" in out else [])
+        with ThreadPoolExecutor(max_workers=report_parallelism) as pool:
+            list(pool.map(lambda n: write_report_csv(out[n], f"{out_dir}/reports/{n}"), names))
         mark("reports")
     out["_timings"] = timings
     return out
