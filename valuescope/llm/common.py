@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,22 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def keep_rows(df: DataFrame, needed: list[str], make: Callable) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for which the mask of their batch is true.
+
+    ``make()`` runs once a task and returns a function from the needed columns, as lists, to a mask.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        mask = make()
+        for batch in batches:
+            yield batch.filter(pa.array(mask(*(batch.column(c).to_pylist() for c in needed)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def bounded_sample(df: DataFrame, key: str, group: str, most: int) -> DataFrame:
     """At most ``most`` rows of each ``group`` value, chosen by the hash of ``key``.
 

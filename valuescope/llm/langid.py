@@ -186,6 +186,19 @@ def code_lengths(model: PpmModel, texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def judge(model: PpmModel | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and bits a byte of each text."""
+    known = np.array([model is not None and t is not None and _LETTER.search(t) is not None for t in texts], bool)
+    if not known.any():
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    data = [t.encode("utf-8") if k else b"" for t, k in zip(texts, known)]
+    bits = code_lengths(model, data)
+    best, least = bits.argmin(axis=1), bits.min(axis=1)
+    share = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
+    rate = least / np.maximum([len(d) for d in data], 1)
+    return [model.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], np.where(known, share, 0.0), np.where(known, rate, 0.0)
+
+
 def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER, docs_per_lang: int = DOCS_PER_LANG) -> PpmModel | None:
     """Model from the rows with a text and a language; None if there are none."""
     rows = df.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and key is not null")
@@ -202,26 +215,11 @@ def predict(df: DataFrame, model: PpmModel | None, keep: list[str], text: str =
     schema += ", lang_pred string, score double" + (", bits_per_byte double" if with_bits else "")
 
     def run(batches):
-        model = sent.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            known = np.array([model is not None and t is not None and _LETTER.search(t) is not None for t in texts], bool)
-            data = [t.encode("utf-8") if k else b"" for t, k in zip(texts, known)]
-            cols = {c: batch.column(c) for c in keep}
-            if known.any():
-                bits = code_lengths(model, data)
-                best = bits.argmin(axis=1)
-                least = bits.min(axis=1)
-                score = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
-                cols["lang_pred"] = pa.array([model.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string())
-                cols["score"] = pa.array(np.where(known, score, 0.0))
-                rate = least / np.maximum([len(d) for d in data], 1)
-            else:
-                cols["lang_pred"] = pa.array([UNDETERMINED] * len(texts), pa.string())
-                cols["score"] = pa.array(np.zeros(len(texts)))
-                rate = np.zeros(len(texts))
+            langs, score, rate = judge(sent.value, batch.column("_text").to_pylist())
+            cols = {c: batch.column(c) for c in keep} | {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(score)}
             if with_bits:
-                cols["bits_per_byte"] = pa.array(np.where(known, rate, 0.0))
+                cols["bits_per_byte"] = pa.array(rate)
             yield pa.RecordBatch.from_pydict(cols)
 
     return base.mapInArrow(run, schema)

@@ -199,6 +199,17 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     return machine
 
 
+def judge(machine: Machine | None, texts: list[str | None], recorded: list[int | None]) -> np.ndarray:
+    """Scores of texts, 0 to 1."""
+    if machine is None:
+        return np.full(len(texts), 0.5)
+    out = [np.zeros(0)]
+    for at in range(0, len(texts), 500):
+        rows = [features(t, r) for t, r in zip(texts[at : at + 500], recorded[at : at + 500])]
+        out.append(1.0 / (1.0 + np.exp(-np.clip(machine.raw(*_packed(rows)), -500, 500))))
+    return np.concatenate(out)
+
+
 def score(df: DataFrame, machine: Machine | None, keep: list[str], text: str = "text", recorded: str = "n_chars") -> DataFrame:
     """Columns ``keep`` plus score (0 to 1, higher: better) and predicted (score >= 0.5)."""
     sent = df.sparkSession.sparkContext.broadcast(machine)
@@ -206,17 +217,10 @@ def score(df: DataFrame, machine: Machine | None, keep: list[str], text: str = "
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name not in ("_text", "_recorded"))
 
     def run(batches):
-        machine = sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                if machine is None:
-                    p = np.full(part.num_rows, 0.5)
-                else:
-                    rows = [features(t, r) for t, r in zip(part.column("_text").to_pylist(), part.column("_recorded").to_pylist())]
-                    p = 1.0 / (1.0 + np.exp(-np.clip(machine.raw(*_packed(rows)), -500, 500)))
-                cols = {c: part.column(c) for c in keep} | {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32))}
-                yield pa.RecordBatch.from_pydict(cols)
+            p = judge(sent.value, batch.column("_text").to_pylist(), batch.column("_recorded").to_pylist())
+            cols = {c: batch.column(c) for c in keep} | {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32))}
+            yield pa.RecordBatch.from_pydict(cols)
 
     return base.mapInArrow(run, schema + ", score double, predicted int")
 
