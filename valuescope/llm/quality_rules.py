@@ -53,7 +53,7 @@ def text_measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     base = [*keep, "word_chars", "n_symbols"]
     rows = rows.select(
         *base, F.size("_w").cast("bigint").alias("n_words"), F.size("_l").cast("bigint").alias("n_lines"), (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
-        F.transform("_w", F.xxhash64).alias("_h"),
+        F.transform("_w", lambda x: F.xxhash64(x)).alias("_h"),
     )
     base += ["n_words", "n_lines", "n_dup_lines"]
     none = F.expr("cast(array() as array<bigint>)")

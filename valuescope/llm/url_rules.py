@@ -25,8 +25,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Least share of the labelled pages that a rule's tokens and label occur in, least confidence, most tokens of a rule, most rules.
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS, MAX_RULES = 0.005, 0.5, 4, 10_000
+#: Least share and least number of the labelled pages that a rule's tokens and label occur in, least confidence, most tokens of a rule, most rules.
+MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS, MAX_RULES = 0.001, 10, 0.5, 4, 10_000
 BLOCK, ALLOW = "block", "allow"
 _LABEL = "label="
 
@@ -75,7 +75,7 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     if not n:
         return empty
     items = labelled.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("label"))).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items).freqItemsets
+    sets = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_PAGES / n)), minConfidence=min_confidence).fit(items).freqItemsets
     block = _LABEL + BLOCK
     marked = sets.filter(F.array_contains("items", block)).select(F.array_sort(F.array_remove("items", block)).alias("tokens"), F.col("freq").alias("hits")).filter((F.size("tokens") >= 1) & (F.size("tokens") <= max_tokens))
     plain = sets.filter(~F.exists("items", lambda x: F.startswith(x, F.lit(_LABEL)))).select(F.array_sort("items").alias("tokens"), "freq")
