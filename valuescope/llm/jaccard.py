@@ -276,22 +276,30 @@ def _possible(x: str, y: str) -> Column:
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """a, b of the pairs whose whole sets are alike enough."""
+    """a, b of the pairs whose whole sets are alike enough. Where a class has many partners, it had better be ``a``."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", F.col("least_id").alias("doc_id")), "class")
-    part = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(PICKED_PARTS)).alias("part")
-    picked = materialise(wanted.select("class", "doc_id", part), "compared")
-    base = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).withColumn("part", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(PICKED_PARTS)))
-    near = base.join(F.broadcast(picked.select("part").distinct()), "part", "left_semi").select("doc_id", "text")
+    parts = [F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k)), F.lit(PICKED_PARTS)) for k in (0, 1)]
+    picked = materialise(wanted.select(*[p.alias(f"part{k}") for k, p in enumerate(parts)]), "compared")
+    near = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(0)).alias("doc_id"), F.col(text).alias("text"))
+    for k, p in enumerate(parts):  # few other texts fall into the same two parts; they join no pair
+        near = near.withColumn("part", p).join(F.broadcast(picked.select(F.col(f"part{k}").alias("part")).distinct()), "part", "left_semi").drop("part")
 
     def sets(batches):
+        seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                got = [shingle_set(t.as_py()) for t in some.column(1)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([_class_of(s)[0] for s in got], pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())], names=["doc_id", "class", "tokens"])
+                out = {}
+                for t in batch.column(0).slice(at, 256):
+                    s = shingle_set(t.as_py())
+                    if len(s) and (c := _class_of(s)[0]) not in seen:
+                        out[c] = s.tobytes()
+                seen |= out.keys()
+                if len(seen) > MEMO_WORDS:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.binary())], names=["class", "tokens"])
 
-    whole = near.mapInArrow(sets, "doc_id bigint, class bigint, tokens binary").join(picked.select("class", "doc_id"), ["class", "doc_id"]).dropDuplicates(["class"]).select("class", "tokens")
-    whole = materialise(whole, "sets")
+    # dealt out by class once: both joins below read it so
+    whole = near.select("text").mapInArrow(sets, "class bigint, tokens binary").dropDuplicates(["class"])
     both = pairs.join(whole.select(F.col("class").alias("a"), F.col("tokens").alias("x")), "a").join(whole.select(F.col("class").alias("b"), F.col("tokens").alias("y")), "b")
 
     def compare(batches):
@@ -341,8 +349,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     # stars
     centre = rows.groupBy("signature", "single").agg(F.min_by(F.struct(*about), F.struct((F.col("own") / F.col("n")).alias("own"), F.col("class").alias("c"))).alias("x"))
     stars = rows.select("signature", "single", member).join(centre, ["signature", "single"]).filter("x.class <> y.class").filter(_possible("x", "y"))
-    pair = lambda: [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")]
-    first = materialise(stars.select(*pair()).distinct(), "pairs")
+    first = materialise(stars.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct(), "pairs")
     links = materialise(verify(first, classes, docs, key, text), "verified")
 
     # what is still apart within a group
@@ -356,11 +363,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     apart = mixed.select("signature", "single", "root", "main", member)
     # pairs of two minor classes come once, by their order
     again = minor.join(apart, ["signature", "single"]).filter("x_root <> root and (root = main or x.class < y.class)").filter(_possible("x", "y"))
-    second = materialise(again.select(*pair()).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    done = first.union(first.select("b", "a"))
+    second = materialise(again.select(F.col("y.class").alias("a"), F.col("x.class").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
     links = materialise(links.union(verify(second, classes, docs, key, text)), "verified")
 
     root = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
     placed = classes.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     names = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = materialise(placed.join(names, "root").join(degree, "class", "left").select("class", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "components")
