@@ -26,10 +26,9 @@ whatever it holds, no link is lost.
 Signatures shared by two classes or more are kept. In each group one class, the
 one with the fewest shingles of its own, is compared with all others (a star);
 linked classes are merged, and then only pairs of a group that are still in
-different components are compared, all of them. Shingles of a prefix that no
-other class shares bound the overlap of deep prefixes (those that hold all rare
-shingles), which spares noisy copies most comparisons. Every comparison counts
-the whole sets.
+different components are compared, all of them. Shingles that no other candidate
+has can't be common to a pair: their number bounds every overlap, which spares
+noisy copies most comparisons. Every comparison counts the whole sets.
 
 Defined cases: texts are lower-cased in A-Z, words are runs of other than blank,
 tab, line feed, vertical tab, form feed and carriage return; fewer words than five
@@ -42,7 +41,7 @@ ignored. Two classes of equal 64-bit hash and different 128-bit hash raise an er
 
 from __future__ import annotations
 
-from itertools import combinations, islice
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -55,39 +54,83 @@ from valuescope.llm.common import materialise
 WORDS, PERCENT = 5, 80
 #: Frequent shingles that are told apart, and the reports (sums) from which a shingle is in a class of combinations of k.
 FREQUENT, CLASSES = 1 << 17, ((16, 2), (1024, 3))
-#: Shingles of texts that a task counts together; words whose hash a worker remembers.
-COUNTED_TOGETHER, MEMO_WORDS = 2_000_000, 400_000
+#: Shingles of texts that a task counts together; classes that a task remembers to have seen.
+COUNTED_TOGETHER, MEMO_CLASSES = 2_000_000, 400_000
 #: Set size for one cell.
 CELL = 12
 #: Parts of the id space by which texts are picked for comparison (bounds what is broadcast).
 PICKED_PARTS = 1 << 20
 
+#: Characters of text that are hashed together.
+BLOCK_CHARS = 1_000_000
+
+#: Multipliers of the mixing steps (fixed values).
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * _M1
+    x = (x ^ (x >> np.uint64(29))) * _M2
+    return x ^ (x >> np.uint64(32))
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
+#: A number for each byte, the same for A-Z and a-z.
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64))
+_BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]
 
-_WORDS = _Words()
 
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles.
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles."""
-    words = text.encode("utf-8").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_WORDS) > MEMO_WORDS:
-        _WORDS.clear()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    size = min(WORDS, len(words))
-    out = np.full(len(words) - size + 1, size, np.uint64)
-    for k in range(size):
-        out = (out ^ h[k : k + len(out)]) * _M1
-        out ^= out >> np.uint64(32)
-    return np.unique(out * _M2)
+    A word's hash is the sum of its bytes' numbers, each times an odd number of
+    its place; a shingle's hash mixes its words' one after another.
+    """
+    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
+    data = [t.encode("utf-8") if t else b"" for t in texts]
+    blob = np.frombuffer(b" ".join(data) + b" ", np.uint8)
+    begins = np.cumsum([0] + [len(d) + 1 for d in data])
+    space = _SPACE[blob]
+    inside = np.flatnonzero(~space)
+    if not len(inside):
+        return out
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    first = np.searchsorted(inside, starts)
+    lens = np.diff(np.append(first, len(inside)))
+    place = np.arange(len(inside)) - np.repeat(first, lens)
+    factor = _mix(np.arange(lens.max(), dtype=np.uint64) + np.uint64(1 << 20)) | np.uint64(1)
+    word = _mix(np.add.reduceat(_BYTE[blob[inside]] * factor[place], first) + lens.astype(np.uint64))
+    of = np.searchsorted(starts, begins)  # the first word of each text
+    size = max(0, len(word) - WORDS + 1)
+    full = np.full(size, WORDS, np.uint64)
+    for k in range(WORDS):
+        full = (full ^ word[k : k + size]) * _M1
+        full ^= full >> np.uint64(32)
+    full *= _M2
+    for i, (a, b) in enumerate(zip(of.tolist(), of[1:].tolist())):
+        if b - a >= WORDS:
+            out[i] = np.unique(full[a : b - WORDS + 1])
+        elif b > a:
+            one = np.full(1, b - a, np.uint64)
+            for k in range(a, b):
+                one = (one ^ word[k]) * _M1
+                one ^= one >> np.uint64(32)
+            out[i] = one * _M2
+    return out
+
+
+def sets_of(column):
+    """The set of each text of an Arrow column, block by block."""
+    part, held = [], 0
+    for t in column:
+        t = t.as_py()
+        part.append(t)
+        held += len(t) if t else 0
+        if held > BLOCK_CHARS:
+            yield from shingle_sets(part)
+            part, held = [], 0
+    yield from shingle_sets(part) if part else ()
 
 
 def _signed(x: int) -> int:
@@ -117,8 +160,7 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
         names = ["doc_id", "n", "class", "check", "token", "times"]
         for batch in batches:
             n, cls, check = [], [], []
-            for t in batch.column(1):
-                s = shingle_set(t.as_py())
+            for s in sets_of(batch.column(1)):
                 c = _class_of(s) if len(s) else (None, None)
                 n.append(len(s))
                 cls.append(c[0])
@@ -144,12 +186,8 @@ def scales(n: int) -> range:
     return range((-(-n * PERCENT // 100)).bit_length() - 1, (n * 100 // PERCENT).bit_length())
 
 
-def _mixed(x: int) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(x.to_bytes(16, "little")))
-
-
-def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> tuple[list[int], list[int], bool]:
-    """(rare shingles, combinations, whether the prefix is deep) of a set; ``frequent`` is sorted, ``times`` its sums."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Rare shingles and combinations of the prefix of a set; ``frequent`` is sorted, ``times`` its sums."""
     n = len(tokens)
     need = n - -(-n * PERCENT // 100) + 1
     if len(frequent):
@@ -159,7 +197,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> t
     else:
         often, rare = np.zeros(n, np.int64), tokens
     if len(rare) >= need:
-        return rare[:need].view(np.int64).tolist(), [], False
+        return rare[:need].view(np.int64)
     common, often = tokens[often > 0], often[often > 0]
     order = np.lexsort((common, often))
     common, often = common[order].tolist(), often[order].tolist()
@@ -177,48 +215,42 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> t
         for (k, number_), cell in cells.items():
             for some in combinations(sorted(cell), k):
                 out.add(_signed(xxhash.xxh3_64_intdigest(np.array([scale, k, number_, *some], np.uint64).tobytes())))
-    return rare.view(np.int64).tolist(), sorted(out), True
+    return np.concatenate([rare.view(np.int64), np.fromiter(out, np.int64, len(out))])
 
 
 def index_rows(docs: DataFrame, frequent: list, key: str, text: str) -> DataFrame:
-    """signature, single, class, n, deep, n_rare: the prefixes of all texts."""
+    """signature, class, n: the prefixes of all texts."""
     pairs = sorted((r[0] % (1 << 64), r[1]) for r in frequent)
     sent = docs.sparkSession.sparkContext.broadcast((np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.int64)))
-    schema = "signature bigint, single boolean, class bigint, n bigint, deep boolean, n_rare bigint"
+
+    def rows(parts):
+        lens = [len(p[0]) for p in parts]
+        each = lambda k: np.repeat(np.array([p[k] for p in parts], np.int64), lens)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0] for p in parts])), pa.array(each(1)), pa.array(each(2))], names=["signature", "class", "n"])
 
     def run(batches):
         tokens, times = sent.value
         seen = set()
         for batch in batches:
             parts, held = [], 0
-            for t in batch.column(0):
-                s = shingle_set(t.as_py())
+            for s in sets_of(batch.column(0)):
                 if len(s) < 4:  # nothing but an equal set is as much alike
                     continue
                 cls = _class_of(s)[0]
                 if cls in seen:
                     continue
-                if len(seen) >= MEMO_WORDS:
+                if len(seen) >= MEMO_CLASSES:
                     seen.clear()
                 seen.add(cls)
-                rare, combined, deep = signatures(s, tokens, times)
-                parts.append((rare, combined, cls, len(s), deep))
-                held += len(rare) + len(combined)
+                parts.append((signatures(s, tokens, times), cls, len(s)))
+                held += len(parts[-1][0])
                 if held > 200_000:
                     yield rows(parts)
                     parts, held = [], 0
             if parts:
                 yield rows(parts)
 
-    def rows(parts):
-        lens = np.array([len(p[0]) + len(p[1]) for p in parts])
-        each = lambda k, kind: np.repeat(np.array([p[k] for p in parts], kind), lens)
-        sig = np.fromiter((x for p in parts for x in (*p[0], *p[1])), np.int64, int(lens.sum()))
-        single = np.concatenate([np.arange(len(p[0]) + len(p[1])) < len(p[0]) for p in parts])
-        rare = np.repeat(np.array([len(p[0]) for p in parts], np.int64), lens)
-        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(single), pa.array(each(2, np.int64)), pa.array(each(3, np.int64)), pa.array(each(4, bool)), pa.array(rare)], names=[c.split()[0] for c in schema.split(", ")])
-
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "signature bigint, class bigint, n bigint")
 
 
 def shared_only(index: DataFrame) -> DataFrame:
@@ -226,35 +258,26 @@ def shared_only(index: DataFrame) -> DataFrame:
 
     Rows come sorted by signature and class, so a look at both neighbours decides; nothing of a group is held.
     """
-    ordered = index.repartition("signature", "single").sortWithinPartitions("signature", "single", "class")
+    ordered = index.repartition("signature").sortWithinPartitions("signature", "class")
 
     def run(batches):
-        before, held = None, None  # the last row of earlier batches that isn't decided yet, and whether it has a partner
-
-        def cut(table):
-            return table.column("signature").to_numpy(), table.column("single").to_numpy(zero_copy_only=False), table.column("class").to_numpy()
-
+        before, held = None, False  # the last row so far, not decided yet, and whether it has a partner
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = pa.Table.from_batches(([before] if before is not None else []) + [batch])
-            sig, single, cls = cut(table.combine_chunks())
-            same = (sig[1:] == sig[:-1]) & (single[1:] == single[:-1])
+            table = pa.Table.from_batches(([before] if before is not None else []) + [batch]).combine_chunks()
+            sig, cls = table.column("signature").to_numpy(), table.column("class").to_numpy()
             fresh = np.ones(len(sig), bool)
-            fresh[1:] = ~(same & (cls[1:] == cls[:-1]))
-            table, kept = table.filter(pa.array(fresh)), np.nonzero(fresh)[0]
-            group = np.zeros(len(sig), np.int64)
-            group[1:] = np.cumsum(~same)
-            group = group[kept]
-            partner = np.zeros(len(kept), bool)
-            alike = group[1:] == group[:-1]
+            fresh[1:] = (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])
+            table, sig = table.filter(pa.array(fresh)), sig[fresh]
+            alike = sig[1:] == sig[:-1]
+            partner = np.zeros(len(sig), bool)
             partner[1:] |= alike
             partner[:-1] |= alike
-            if before is not None:
-                partner[0] |= held
+            partner[0] |= held
             # the last row waits for the next batch
-            out = table.slice(0, len(kept) - 1).filter(pa.array(partner[:-1]))
-            before, held = table.slice(len(kept) - 1).combine_chunks().to_batches()[0], bool(partner[-1])
+            out = table.slice(0, len(sig) - 1).filter(pa.array(partner[:-1]))
+            before, held = table.slice(len(sig) - 1).combine_chunks().to_batches()[0], bool(partner[-1])
             yield from out.combine_chunks().to_batches()
         if before is not None and held:
             yield before
@@ -262,40 +285,63 @@ def shared_only(index: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, index.schema)
 
 
+def texts_of(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, text of one document of each class of ``some`` (class), and of few others.
+
+    Ids are told by two parts of the id space, which bounds what is broadcast and spares a shuffle of the texts.
+    """
+    wanted = some.join(classes.select("class", F.col("least_id").alias("doc_id")), "class")
+    parts = [F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k)), F.lit(PICKED_PARTS)) for k in (0, 1)]
+    picked = materialise(wanted.select(*[p.alias(f"part{k}") for k, p in enumerate(parts)]), "picked")
+    near = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    for k, p in enumerate(parts):
+        near = near.withColumn("part", p).join(F.broadcast(picked.select(F.col(f"part{k}").alias("part")).distinct()), "part", "left_semi").drop("part")
+    return near
+
+
+def own_shingles(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """class, own: how many shingles of a class no other text of ``texts`` has."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                ids = batch.column(0).slice(at, 256).to_pylist()
+                sets = list(sets_of(batch.column(1).slice(at, 256)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat([-1 if i is None else i for i in ids], [len(s) for s in sets]))], names=["token", "doc_id"])
+
+    tokens = texts.mapInArrow(run, "token bigint, doc_id bigint")
+    alone = tokens.groupBy("token").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other")).filter("doc_id = other").groupBy("doc_id").agg(F.count("*").alias("own"))
+    return alone.join(classes.select("class", F.coalesce("least_id", F.lit(-1)).alias("doc_id")), "doc_id").select("class", "own")
+
+
 def _overlap(nx: Column, ny: Column) -> Column:
     """Least common shingles of two linked sets."""
     return F.ceil((nx + ny) * PERCENT / (100 + PERCENT))
 
 
 def _possible(x: str, y: str) -> Column:
-    """Whether two classes of a group may be linked, by their sizes and, if both prefixes are deep, their own shingles."""
+    """Whether two classes may be linked, by their sizes and the shingles that no other candidate has."""
     c = lambda s, name: F.col(f"{s}.{name}")
     small, large = F.least(c(x, "n"), c(y, "n")), F.greatest(c(x, "n"), c(y, "n"))
-    most = F.when(c(x, "deep") & c(y, "deep"), F.least(c(x, "n") - c(x, "own"), c(y, "n") - c(y, "own"))).otherwise(small)
+    most = F.least(c(x, "n") - c(x, "own"), c(y, "n") - c(y, "own"))
     return (small * 100 >= large * PERCENT) & (most >= _overlap(c(x, "n"), c(y, "n")))
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """a, b of the pairs whose whole sets are alike enough. Where a class has many partners, it had better be ``a``."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", F.col("least_id").alias("doc_id")), "class")
-    parts = [F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k)), F.lit(PICKED_PARTS)) for k in (0, 1)]
-    picked = materialise(wanted.select(*[p.alias(f"part{k}") for k, p in enumerate(parts)]), "compared")
-    near = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(0)).alias("doc_id"), F.col(text).alias("text"))
-    for k, p in enumerate(parts):  # few other texts fall into the same two parts; they join no pair
-        near = near.withColumn("part", p).join(F.broadcast(picked.select(F.col(f"part{k}").alias("part")).distinct()), "part", "left_semi").drop("part")
+    near = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), classes, docs, key, text)
 
     def sets(batches):
         seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 out = {}
-                for t in batch.column(0).slice(at, 256):
-                    s = shingle_set(t.as_py())
+                for s in sets_of(batch.column(0).slice(at, 256)):
                     if len(s) and (c := _class_of(s)[0]) not in seen:
                         out[c] = s.tobytes()
-                seen |= out.keys()
-                if len(seen) > MEMO_WORDS:
+                if len(seen) > MEMO_CLASSES:
                     seen.clear()
+                seen |= out.keys()
                 yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.binary())], names=["class", "tokens"])
 
     # dealt out by class once: both joins below read it so
@@ -339,16 +385,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     frequent = seen.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= CLASSES[0][0]).orderBy(F.desc("times"), "token").limit(FREQUENT).collect()
 
     shared = materialise(shared_only(index_rows(docs, frequent, key, text)), "signatures")
-    own = shared.groupBy("class").agg(F.sum(F.col("single").cast("bigint")).alias("met"))
-    rows = shared.join(own, "class").select("signature", "single", "class", "n", "deep", F.when(F.col("deep"), F.col("n_rare") - F.col("met")).otherwise(F.lit(0)).alias("own"))
-    # a class that has too many shingles of its own for any deep partner leaves the groups of combinations
-    rows = materialise(rows.filter(F.col("single") | ((F.col("n") - F.col("own")) * 100 >= F.col("n") * PERCENT)), "groups")
-    about = ["class", "n", "deep", "own"]
+    own = own_shingles(texts_of(shared.select("class").distinct(), classes, docs, key, text), classes)
+    rows = shared.join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    # a class that has too many shingles of its own for any partner leaves
+    rows = materialise(rows.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * PERCENT), "groups")
+    about = ["class", "n", "own"]
     member = F.struct(*about).alias("y")
 
     # stars
-    centre = rows.groupBy("signature", "single").agg(F.min_by(F.struct(*about), F.struct((F.col("own") / F.col("n")).alias("own"), F.col("class").alias("c"))).alias("x"))
-    stars = rows.select("signature", "single", member).join(centre, ["signature", "single"]).filter("x.class <> y.class").filter(_possible("x", "y"))
+    centre = rows.groupBy("signature").agg(F.min_by(F.struct(*about), F.struct((F.col("own") / F.col("n")).alias("own"), F.col("class").alias("c"))).alias("x"))
+    stars = rows.select("signature", member).join(centre, "signature").filter("x.class <> y.class").filter(_possible("x", "y"))
     first = materialise(stars.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct(), "pairs")
     links = materialise(verify(first, classes, docs, key, text), "verified")
 
@@ -356,13 +402,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     root = components(links)
     placed = rows.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     placed = materialise(placed, "placed")
-    sizes = placed.groupBy("signature", "single", "root").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("signature", "single").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("size", "root")).alias("main")).filter("roots > 1").drop("roots")
-    mixed = materialise(placed.join(main, ["signature", "single"]), "mixed")
-    minor = mixed.filter("root <> main").select("signature", "single", F.col("root").alias("x_root"), F.struct(*about).alias("x"))
-    apart = mixed.select("signature", "single", "root", "main", member)
+    sizes = placed.groupBy("signature", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("signature").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("size", "root")).alias("main")).filter("roots > 1").drop("roots")
+    mixed = materialise(placed.join(main, "signature"), "mixed")
+    minor = mixed.filter("root <> main").select("signature", F.col("root").alias("x_root"), F.struct(*about).alias("x"))
+    apart = mixed.select("signature", "root", "main", member)
     # pairs of two minor classes come once, by their order
-    again = minor.join(apart, ["signature", "single"]).filter("x_root <> root and (root = main or x.class < y.class)").filter(_possible("x", "y"))
+    again = minor.join(apart, "signature").filter("x_root <> root and (root = main or x.class < y.class)").filter(_possible("x", "y"))
     done = first.union(first.select("b", "a"))
     second = materialise(again.select(F.col("y.class").alias("a"), F.col("x.class").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
     links = materialise(links.union(verify(second, classes, docs, key, text)), "verified")
