@@ -14,6 +14,10 @@ one signature whole must share a signature with every partner's prefix:
   of c shingles withstands c - k + 1 losses less one, so the prefix is extended
   until rare shingles and cells together withstand more than t.
 
+Towards partners no smaller than itself a set may lose only n div 9 or so. The
+part of a prefix that withstands that many is its short part, and the smaller
+set of a pair must meet the other in it.
+
 The number of cells follows the set's size (a power of two, and its neighbour
 where a partner may fall there), which keeps cells and combinations small for
 texts of any length.
@@ -58,6 +62,8 @@ FREQUENT, CLASSES = 1 << 17, ((16, 2), (1024, 3))
 COUNTED_TOGETHER, MEMO_CLASSES = 2_000_000, 400_000
 #: Set size for one cell.
 CELL = 12
+#: Classes of either side that a task compares.
+BLOCK = 256
 #: Parts of the id space by which texts are picked for comparison (bounds what is broadcast).
 PICKED_PARTS = 1 << 20
 
@@ -186,10 +192,14 @@ def scales(n: int) -> range:
     return range((-(-n * PERCENT // 100)).bit_length() - 1, (n * 100 // PERCENT).bit_length())
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Rare shingles and combinations of the prefix of a set; ``frequent`` is sorted, ``times`` its sums."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rare shingles and combinations of the prefix of a set, and which of them are short; ``frequent`` is sorted, ``times`` its sums.
+
+    Short ones lie in the part that suffices towards partners that are no smaller, where fewer losses are allowed.
+    """
     n = len(tokens)
     need = n - -(-n * PERCENT // 100) + 1
+    need_short = n - -(-2 * n * PERCENT // (100 + PERCENT)) + 1
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         often = np.where(frequent[at] == tokens, times[at], 0)
@@ -197,36 +207,42 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> n
     else:
         often, rare = np.zeros(n, np.int64), tokens
     if len(rare) >= need:
-        return rare[:need].view(np.int64)
+        return rare[:need].view(np.int64), np.arange(need) < need_short
     common, often = tokens[often > 0], often[often > 0]
     order = np.lexsort((common, often))
     common, often = common[order].tolist(), often[order].tolist()
-    out = set()
+    out: dict[int, bool] = {}
     for scale in scales(n):
         cells: dict[tuple[int, int], list[int]] = {}
-        withstood, number = len(rare), max(1, (1 << scale) // CELL)
-        for token, f in zip(common, often):
+        withstood, number, last_short = len(rare), max(1, (1 << scale) // CELL), -1
+        place = {}
+        for at, (token, f) in enumerate(zip(common, often)):
+            if withstood < need_short:
+                last_short = at
             k = next(k for least, k in reversed(CLASSES) if f >= least)
             cell = cells.setdefault((k, (token >> 20) % number), [])
             cell.append(token)
+            place[token] = at
             withstood += len(cell) >= k
             if withstood >= need:
                 break
-        for (k, number_), cell in cells.items():
+        for (k, cell_number), cell in cells.items():
             for some in combinations(sorted(cell), k):
-                out.add(_signed(xxhash.xxh3_64_intdigest(np.array([scale, k, number_, *some], np.uint64).tobytes())))
-    return np.concatenate([rare.view(np.int64), np.fromiter(out, np.int64, len(out))])
+                sig = _signed(xxhash.xxh3_64_intdigest(np.array([scale, k, cell_number, *some], np.uint64).tobytes()))
+                out[sig] = max(map(place.__getitem__, some)) <= last_short
+    short = np.concatenate([np.arange(len(rare)) < need_short, np.fromiter(out.values(), bool, len(out))])
+    return np.concatenate([rare.view(np.int64), np.fromiter(out, np.int64, len(out))]), short
 
 
 def index_rows(docs: DataFrame, frequent: list, key: str, text: str) -> DataFrame:
-    """signature, class, n: the prefixes of all texts."""
+    """signature, class, n, short: the prefixes of all texts."""
     pairs = sorted((r[0] % (1 << 64), r[1]) for r in frequent)
     sent = docs.sparkSession.sparkContext.broadcast((np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.int64)))
 
     def rows(parts):
-        lens = [len(p[0]) for p in parts]
+        lens = [len(p[0][0]) for p in parts]
         each = lambda k: np.repeat(np.array([p[k] for p in parts], np.int64), lens)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0] for p in parts])), pa.array(each(1)), pa.array(each(2))], names=["signature", "class", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0][0] for p in parts])), pa.array(each(1)), pa.array(each(2)), pa.array(np.concatenate([p[0][1] for p in parts]))], names=["signature", "class", "n", "short"])
 
     def run(batches):
         tokens, times = sent.value
@@ -243,14 +259,14 @@ def index_rows(docs: DataFrame, frequent: list, key: str, text: str) -> DataFram
                     seen.clear()
                 seen.add(cls)
                 parts.append((signatures(s, tokens, times), cls, len(s)))
-                held += len(parts[-1][0])
+                held += len(parts[-1][0][0])
                 if held > 200_000:
                     yield rows(parts)
                     parts, held = [], 0
             if parts:
                 yield rows(parts)
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "signature bigint, class bigint, n bigint")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "signature bigint, class bigint, n bigint, short boolean")
 
 
 def shared_only(index: DataFrame) -> DataFrame:
@@ -320,16 +336,17 @@ def _overlap(nx: Column, ny: Column) -> Column:
 
 
 def _possible(x: str, y: str) -> Column:
-    """Whether two classes may be linked, by their sizes and the shingles that no other candidate has."""
+    """Whether two classes may be linked: by their sizes, by the shingles that no other candidate has, and by the smaller one's short part."""
     c = lambda s, name: F.col(f"{s}.{name}")
     small, large = F.least(c(x, "n"), c(y, "n")), F.greatest(c(x, "n"), c(y, "n"))
     most = F.least(c(x, "n") - c(x, "own"), c(y, "n") - c(y, "own"))
-    return (small * 100 >= large * PERCENT) & (most >= _overlap(c(x, "n"), c(y, "n")))
+    short = ((c(x, "n") <= c(y, "n")) & c(x, "short")) | ((c(y, "n") <= c(x, "n")) & c(y, "short"))
+    return (small * 100 >= large * PERCENT) & (most >= _overlap(c(x, "n"), c(y, "n"))) & short
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """a, b of the pairs whose whole sets are alike enough. Where a class has many partners, it had better be ``a``."""
-    near = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), classes, docs, key, text)
+def sets_by_class(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """class, tokens of each class of ``some`` (class), dealt out by class: joins on it read it so."""
+    near = texts_of(some, classes, docs, key, text)
 
     def sets(batches):
         seen = set()
@@ -344,8 +361,53 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text
                 seen |= out.keys()
                 yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.binary())], names=["class", "tokens"])
 
-    # dealt out by class once: both joins below read it so
-    whole = near.select("text").mapInArrow(sets, "class bigint, tokens binary").dropDuplicates(["class"])
+    return near.select("text").mapInArrow(sets, "class bigint, tokens binary").dropDuplicates(["class"])
+
+
+def verify_blocks(mixed: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """a, b of the links between classes of different roots that meet in a group.
+
+    Groups with the same main root form a cluster. Its minor classes, those of
+    other roots, are compared with all its classes, block by block: a task holds
+    about ``BLOCK`` classes of either side, however large the cluster is.
+    """
+    cluster = mixed.groupBy("main", "class").agg(F.min("root").alias("root"))
+    counts = cluster.groupBy("main").agg(F.sum((F.col("root") != F.col("main")).cast("bigint")).alias("minors"), F.count("*").alias("all"))
+    number = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    rows = cluster.join(counts.select("main", number("minors").alias("xs"), number("all").alias("ys")), "main")
+    part = lambda c: F.pmod(F.xxhash64("class", F.lit(c)), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    x = rows.filter("root <> main").select("main", "class", "root", F.lit(True).alias("asks"), part("xs").alias("xb"), every("ys").alias("yb"))
+    y = rows.select("main", "class", "root", F.lit(False).alias("asks"), part("ys").alias("yb"), every("xs").alias("xb"))
+    placed = materialise(x.unionByName(y), "blocks")
+    whole = sets_by_class(cluster.select("class").distinct(), classes, docs, key, text)
+
+    def compare(table):
+        asks, cls, root = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "class", "root"))
+        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("tokens")]
+        there = np.flatnonzero(~asks)
+        a, b = [], []
+        if len(there) and asks.any():
+            size = np.array([len(sets[i]) for i in there])
+            token, owner = np.concatenate([sets[i] for i in there]), np.repeat(np.arange(len(there)), size)
+            order = np.argsort(token, kind="stable")
+            token, owner = token[order], owner[order]
+            for i in np.flatnonzero(asks):
+                first, last = np.searchsorted(token, sets[i], "left"), np.searchsorted(token, sets[i], "right")
+                n = last - first
+                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                common = np.bincount(owner[at], minlength=len(there))
+                hit = there[(100 * common >= PERCENT * (len(sets[i]) + size - common)) & (root[there] != root[i])]
+                a += [cls[i]] * len(hit)
+                b += cls[hit].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return placed.join(whole, "class").groupBy("main", "xb", "yb").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """a, b of the pairs whose whole sets are alike enough. Where a class has many partners, it had better be ``a``."""
+    whole = sets_by_class(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), classes, docs, key, text)
     both = pairs.join(whole.select(F.col("class").alias("a"), F.col("tokens").alias("x")), "a").join(whole.select(F.col("class").alias("b"), F.col("tokens").alias("y")), "b")
 
     def compare(batches):
@@ -385,11 +447,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     frequent = seen.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= CLASSES[0][0]).orderBy(F.desc("times"), "token").limit(FREQUENT).collect()
 
     shared = materialise(shared_only(index_rows(docs, frequent, key, text)), "signatures")
+    # some class of the group must be the smaller one of a pair, by its short part
+    useful = shared.groupBy("signature").agg(F.max("short").alias("any"), F.min(F.when(F.col("short"), F.col("n"))).alias("least"))
+    useful = useful.filter("any").select("signature", "least")
+    shared = materialise(shared.join(useful, "signature").filter(F.col("n") >= F.col("least")).drop("least"), "signatures")
     own = own_shingles(texts_of(shared.select("class").distinct(), classes, docs, key, text), classes)
     rows = shared.join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     # a class that has too many shingles of its own for any partner leaves
     rows = materialise(rows.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * PERCENT), "groups")
-    about = ["class", "n", "own"]
+    about = ["class", "n", "own", "short"]
     member = F.struct(*about).alias("y")
 
     # stars
@@ -405,13 +471,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     sizes = placed.groupBy("signature", "root").agg(F.count("*").alias("size"))
     main = sizes.groupBy("signature").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("size", "root")).alias("main")).filter("roots > 1").drop("roots")
     mixed = materialise(placed.join(main, "signature"), "mixed")
-    minor = mixed.filter("root <> main").select("signature", F.col("root").alias("x_root"), F.struct(*about).alias("x"))
-    apart = mixed.select("signature", "root", "main", member)
-    # pairs of two minor classes come once, by their order
-    again = minor.join(apart, "signature").filter("x_root <> root and (root = main or x.class < y.class)").filter(_possible("x", "y"))
-    done = first.union(first.select("b", "a"))
-    second = materialise(again.select(F.col("y.class").alias("a"), F.col("x.class").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-    links = materialise(links.union(verify(second, classes, docs, key, text)), "verified")
+    links = materialise(links.union(verify_blocks(mixed, classes, docs, key, text)), "verified")
 
     root = components(links)
     degree = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
