@@ -1,7 +1,7 @@
 """WARC archives: records of a crawl, and the assembly of its transactions.
 
 ``page_records`` turns pages into request, response (or revisit) and metadata
-records. ``write_archive`` writes records as plain WARC/1.1 text files through
+records. ``write_archive`` writes records as gzipped WARC/1.1 files through
 Spark's committer, with a bounded number of records a file. ``read_archive``
 reads such files back, each record cut by its Content-Length, so a payload may
 hold anything, the version line of a record included. ``assemble`` joins the
@@ -24,6 +24,7 @@ empty result. Other columns of the pages are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -95,7 +96,7 @@ def page_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
 
 def write_archive(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Writes the texts of ``record`` one after another; each ends with a line break, which the writer adds."""
-    records.select(F.expr("substring(record, 1, length(record) - 1)").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
+    records.select(F.expr("substring(record, 1, length(record) - 1)").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
 
 def parse_records(data: bytes):
@@ -114,13 +115,13 @@ def parse_records(data: bytes):
 
 def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Records of the archive files under ``path``; without payloads only their sizes and SHA-1 digests are kept."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
 
     def run(batches):
         for batch in batches:
             for data in batch.column(0):
                 rows = []
-                for heads, block in parse_records(data.as_py()):
+                for heads, block in parse_records(gzip.decompress(data.as_py())):
                     h = dict(heads)
                     kind = h.get("warc-type", "")
                     payload = block.partition(b"\r\n\r\n")[2] if h.get("content-type", "").startswith("application/http") else b""
