@@ -1,5 +1,6 @@
 """Untyped CSV sources with provenance tags (S1, S3) and sinks."""
 
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -32,3 +33,23 @@ def test_sinks_round_trip(spark, tmp_path):
     write_report_csv(df, str(tmp_path / "r"))
     back = spark.read.option("header", True).csv(str(tmp_path / "r"))
     assert back.count() == 5 and back.rdd.getNumPartitions() == 1
+
+
+def test_csv_columns_are_told_by_name(spark, tmp_path):
+    from valuescope.schemas import RAW_TO_CANONICAL
+    from valuescope.sources.transactions import read_raw_transactions
+
+    names = list(RAW_TO_CANONICAL)
+    row = {c: "" for c in names}
+    by = {canon: src for src, canon in RAW_TO_CANONICAL.items()}
+    row |= {by["invoice"]: "I1", by["stock_code"]: "S1", by["customer_id"]: "9007199254740993", by["invoice_dt"]: "12/1/2010 8:26"}
+    swapped = [names[1], names[0], *names[2:]]
+    p = tmp_path / "a.csv"
+    p.write_text(",".join(swapped) + "\n" + ",".join(row[c] for c in swapped) + "\n")
+    got = read_raw_transactions(spark, {"x": str(p)}).first()
+    assert (got["invoice"], got["stock_code"], got["customer_id"]) == ("I1", "S1", 9007199254740993)
+    assert str(got["invoice_dt"]) == "2010-12-01 08:26:00"
+    q = tmp_path / "b.csv"
+    q.write_text(",".join(names[:-1]) + "\n")
+    with pytest.raises(ValueError, match="missing required columns"):
+        read_raw_transactions(spark, {"x": str(q)})

@@ -63,12 +63,12 @@ def pareto_summary(features: DataFrame) -> DataFrame:
     y1 = F.col("r1") / F.col("S")
     gini = 1.0 - 2.0 * ((sum_y - (y1 + 1.0) / 2.0) / F.col("n"))
     vals = {
-        "pct_customers_for_80pct_revenue": F.round(pct80, 1),
-        "pct_revenue_top_10pct_customers": F.round(100.0 - F.col("y90"), 1),
-        "gini_coefficient": F.round(gini, 4),
+        "pct_customers_for_80pct_revenue": F.bround(pct80, 1),
+        "pct_revenue_top_10pct_customers": F.bround(100.0 - F.col("y90"), 1),
+        "gini_coefficient": F.bround(gini, 4),
         "n_customers": F.col("n").cast("double"),
-        "total_revenue_gbp": F.round(F.col("S"), 2),
-        "pct_top_customers_for_80pct_revenue": F.round(100.0 - pct80, 1),
+        "total_revenue_gbp": F.bround(F.col("S"), 2),
+        "pct_top_customers_for_80pct_revenue": F.bround(100.0 - pct80, 1),
     }
     rows = [F.struct(F.lit(m).alias("metric"), vals[m].cast("double").alias("value"),
                      F.lit(txt).alias("interpretation")) for m, txt in PARETO_METRICS]

@@ -35,12 +35,15 @@ def register(name: str, sql: str | None, covers: str):
 
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
-    from valuescope.plans import queries_core  # noqa: F401
-
-    for mod in ("queries_ordered", "queries_cohorts", "queries_clv", "queries_policy", "queries_churn", "queries_segments", "queries_extra"):
-        try:
-            __import__(f"valuescope.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
+    from valuescope.plans import (  # noqa: F401
+        queries_churn,
+        queries_clv,
+        queries_cohorts,
+        queries_core,
+        queries_extra,
+        queries_ordered,
+        queries_policy,
+        queries_segments,
+    )
+
     return REGISTRY

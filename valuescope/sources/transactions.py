@@ -15,7 +15,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from valuescope.schemas import RAW_TO_CANONICAL, TXN_COLUMNS, require_columns
 
@@ -28,9 +27,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _integral_or_null(x: Column) -> Column:
-    """Parse text/number to BIGINT; non-numeric or non-integral -> NULL."""
-    d = x.try_cast("double")
-    return F.when(d.isNotNull() & (d == F.floor(d)), d.cast("bigint"))
+    """Parse text/number to BIGINT, exactly; non-numeric, non-integral or too large -> NULL."""
+    d = x.try_cast("decimal(38,10)")
+    return F.when(d == F.floor(d), F.floor(d).try_cast("bigint"))
+
+
+def _timestamp_or_null(x: Column) -> Column:
+    """ISO texts, else the month/day/year form of spreadsheet exports (``12/1/2010 8:26``); others -> NULL."""
+    sheet = F.try_to_timestamp(x, F.lit("M/d/yyyy H:mm")).cast("timestamp_ntz")
+    return F.coalesce(x.try_cast("timestamp_ntz"), sheet)
 
 
 def standardize(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
@@ -46,7 +51,7 @@ def standardize(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
         r["stock_code"].cast("string").alias("stock_code"),
         r["description"].cast("string").alias("description"),
         _integral_or_null(r["quantity"].cast("string")).alias("quantity"),
-        r["invoice_dt"].cast("string").try_cast("timestamp_ntz").alias("invoice_dt"),
+        _timestamp_or_null(r["invoice_dt"].cast("string")).alias("invoice_dt"),
         r["unit_price"].cast("string").try_cast("double").alias("unit_price"),
         _integral_or_null(r["customer_id"].cast("string")).alias("customer_id"),
         r["country"].cast("string").alias("country"),
@@ -61,8 +66,8 @@ def read_raw_transactions(
     frames = []
     for tag, path in sources.items():
         if fmt == "csv":
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_TO_CANONICAL])
-            raw = spark.read.schema(schema).option("header", True).csv(path)
+            # all columns as text, told by the header's names
+            raw = spark.read.option("header", True).csv(path)
         else:
             raw = spark.read.format(fmt).load(path)
         frames.append(standardize(raw, tag))
