@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -14,7 +15,16 @@ from valuescope.session import checkpoint_dir
 HASH_PARTS = 1 << 20
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver does, whatever folder the session was started in."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -48,6 +58,7 @@ def keep_rows(df: DataFrame, needed: list[str], make: Callable) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(mask(*(batch.column(c).to_pylist() for c in needed)), pa.bool_()))
 
+    let_workers_import(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 
@@ -58,6 +69,7 @@ def bounded_sample(df: DataFrame, key: str, group: str, most: int) -> DataFrame:
     1.5 * ``most`` a group before the exact cut, so that no task sees more.
     Groups are few (labels, languages). Repeated keys count once.
     """
+    let_workers_import(df.sparkSession)
     sizes = {r[0]: r[1] for r in df.groupBy(group).count().collect() if r[0] is not None}
     if not sizes:
         return df.limit(0)
