@@ -38,8 +38,8 @@ def days_between(start, end) -> Column:
 
 
 def money(x) -> Column:
-    """Money value as DECIMAL(18,2): sums become exact and order-free."""
-    return _c(x).cast("decimal(18,2)")
+    """Money value as DECIMAL(30,10): sums are order-free and keep parts of a cent (rounding is left to reports)."""
+    return _c(x).cast("decimal(30,10)")
 
 
 def money_sum(x) -> Column:

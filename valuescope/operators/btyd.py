@@ -101,66 +101,89 @@ def p_alive(params, x="frequency_cal", t_x="recency_cal", T="T_cal") -> Column:
     return F.when(x == 0, F.lit(1.0)).otherwise(1.0 / (1.0 + F.exp(log_div)))
 
 
-MIN_TERMS = 20
+#: Terms of a power or Taylor series whose terms at least halve in the long run, besides those for large arguments.
+SHORT_TERMS = 72
+#: Distance from a = 1 below which expected purchases are interpolated, and the spacing of the nodes.
+NEAR_ONE, NODE_SPACING = 1e-5, 1e-3
 
 
-def series_length(z: Column, cap: int) -> Column:
-    """Per-row term count: the tail after n terms shrinks like z^n, so
-    n = ceil(ln(1e-16) / ln z), kept within [MIN_TERMS, cap]."""
-    n = F.ceil(F.lit(math.log(1e-16)) / F.log(z))
-    return F.least(F.lit(cap), F.greatest(F.lit(MIN_TERMS), F.coalesce(n, F.lit(MIN_TERMS)))).cast("int")
+def hyp2f1(a: float, b: float, c: Column, z: Column) -> Column:
+    """Gauss 2F1(a, b; c; z) for 0 <= z < 1, JVM-side; the work grows with log(1 / (1 - z)) and c, without a limit.
 
+    Where c - a is large, and up to z = 1/2, this is the power series at 0: term
+    n is below (1 + n / c)^(a - c) there whatever z is.  Else value and slope at
+    1/2 are carried on by Taylor expansions of the hypergeometric equation; a
+    step goes half way to 1, and no further than 5 / c of its start, as longer
+    steps would let the equation's other solution, about z^-c, blow up rounding
+    errors.
+    """
+    terms = SHORT_TERMS + 4 * math.ceil(max(0.0, a, b))
+    count = F.sequence(F.lit(0), F.lit(terms - 1))
+    excess = c - (a + max(0.0, b))
+    direct = excess >= 10.0
+    z0 = F.when(direct, z).otherwise(F.least(z, F.lit(0.5)))
+    enough = F.greatest(F.lit(terms), F.ceil(c * (F.exp(40.0 / F.greatest(excess, F.lit(10.0))) - 1.0)).cast("int"))
+    powers = F.sequence(F.lit(0), F.when(direct, enough).otherwise(F.lit(terms)) - 1)
+
+    def power(s, n):
+        n = n.cast("double")
+        nxt = s["term"] * (a + n) * (b + n) / ((c + n) * (n + 1.0)) * z0
+        return F.struct(nxt.alias("term"), (s["f"] + s["term"]).alias("f"), (s["g"] + n * s["term"]).alias("g"))
 
-def hyp2f1_series(a: Column, b: Column, c: Column, z: Column, n_terms) -> Column:
-    """Gauss 2F1(a, b; c; z) by its power series (|z| < 1), JVM-side.
+    zero, one = F.lit(0.0), F.lit(1.0)
+    start = F.aggregate(powers, F.struct(one.alias("term"), zero.alias("f"), zero.alias("g")), power)
 
-    ``n_terms`` is an int or an int Column (per-row length)."""
-    init = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("acc"))
+    def step(s, _):
+        at = s["z"]
+        h = F.least(z - at, (1.0 - at) / 2.0, 5.0 * at / F.greatest(c, F.lit(1.0)))
+        # u, v: terms n and n + 1 of the expansion at ``at``, times h^n and h^(n+1)
+        first = F.struct(s["f"].alias("u"), (s["g"] * h).alias("v"), zero.alias("f"), zero.alias("g"))
 
-    def step(s, n):
-        n = n.cast("double")
-        nxt = s["term"] * (a + n) * (b + n) / ((c + n) * (n + 1.0)) * z
-        return F.struct(nxt.alias("term"), (s["acc"] + s["term"]).alias("acc"))
+        def taylor(t, n):
+            n = n.cast("double")
+            side = ((2.0 * at - 1.0) * n - (c - (a + b + 1.0) * at)) * (n + 1.0) * h
+            nxt = (side * t["v"] + (n + a) * (n + b) * h * h * t["u"]) / (at * (1.0 - at) * (n + 2.0) * (n + 1.0))
+            return F.struct(t["v"].alias("u"), nxt.alias("v"), (t["f"] + t["u"]).alias("f"), (t["g"] + n * t["u"]).alias("g"))
 
-    nt = n_terms if isinstance(n_terms, Column) else F.lit(int(n_terms))
-    return F.aggregate(F.sequence(F.lit(0), nt - 1), init, step)["acc"]
+        done = F.aggregate(count, first, taylor)
+        moved = F.struct(z.alias("z"), done["f"].alias("f"), (done["g"] / h).alias("g"))
+        moved = F.when(h < z - at, F.struct((at + h).alias("z"), done["f"].alias("f"), (done["g"] / h).alias("g"))).otherwise(moved)
+        return F.when(at >= z, s).otherwise(moved)
 
+    halvings = F.ceil(-F.log2(F.lit(1.0) - z)) + F.ceil(F.greatest(c, F.lit(1.0)) / 5.0)
+    steps = F.when(z > z0, F.sequence(F.lit(1).cast("bigint"), halvings.cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    begin = F.struct(z0.alias("z"), start["f"].alias("f"), (start["g"] * 2.0).alias("g"))
+    return F.when(z <= z0, start["f"]).otherwise(F.aggregate(steps, begin, step)["f"])
 
-def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T="T_cal",
-                       n_terms: int = 400) -> Column:
+
+def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T="T_cal") -> Column:
     """E[purchases in (T, T+t] | x, t_x, T].
 
     Uses Euler's transform: with z = t/(alpha+T+t) the numerator is
     (a+b+x-1)/(a-1) * [1 - (1-z)^(a-1) * 2F1(a+b-1-r, a-1; a+b+x-1; z)],
-    whose first two arguments do not grow with x (no overflow).
+    whose first two arguments do not grow with x (no overflow).  It has a
+    removable gap at a = 1, where it is interpolated in ``a``.
     """
     p = _p(params)
     x, t_x, T = (F.col(c) if isinstance(c, str) else c for c in (x, t_x, T))
     z = F.lit(float(t)) / (F.lit(p.alpha) + T + F.lit(float(t)))
-    cc = F.lit(p.a + p.b - 1.0) + x
-    # each customer sums only the terms its own z needs (young customers: z near 1)
-    hyp = hyp2f1_series(F.lit(p.a + p.b - 1.0 - p.r), F.lit(p.a - 1.0), cc, z, series_length(z, n_terms))
-    num = cc / F.lit(p.a - 1.0) * (1.0 - F.pow(1.0 - z, F.lit(p.a - 1.0)) * hyp)
+
+    def numerator(a: float) -> Column:
+        cc = F.lit(a + p.b - 1.0) + x
+        hyp = hyp2f1(a + p.b - 1.0 - p.r, a - 1.0, cc, z)
+        return cc / F.lit(a - 1.0) * (1.0 - F.pow(1.0 - z, F.lit(a - 1.0)) * hyp)
+
+    if abs(p.a - 1.0) < NEAR_ONE:
+        nodes = [1.0 + k * NODE_SPACING for k in (-2, -1, 1, 2)]
+        weight = [math.prod((p.a - m) / (n - m) for m in nodes if m != n) for n in nodes]
+        num = sum((F.lit(w) * numerator(n) for w, n in zip(weight, nodes)), F.lit(0.0))
+    else:
+        num = numerator(p.a)
     den = 1.0 + F.when(x > 0, F.lit(p.a) / (F.lit(p.b) + x - 1.0)
                        * F.pow((p.alpha + T) / (p.alpha + t_x), F.lit(p.r) + x)).otherwise(F.lit(0.0))
     return num / den
 
 
-def series_terms_bound(params, t: float) -> int:
-    """Series length for the 2F1 sum, from the worst case T = 0 (z = t/(alpha+t)).
-
-    The tail after n terms decays like z^n; n is chosen so that z^n < 1e-16,
-    never below 400 and capped at 20,000.  Independent of the data, so the
-    same plan is produced for every input.
-    """
-    p = _p(params)
-    zmax = float(t) / (p.alpha + float(t))
-    if zmax <= 0.0:
-        return 1
-    n = math.ceil(math.log(1e-16) / math.log(zmax)) if zmax < 1 else 20000
-    return int(min(20000, max(400, n)))
-
-
 # ------------------------------------------------------------------ likelihood & fit
 def sufficient_stats(summary: DataFrame) -> DataFrame:
     """Distinct (x, t_x, T) with customer counts -- the only input of the fit."""

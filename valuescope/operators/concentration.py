@@ -56,7 +56,7 @@ def pareto_summary(features: DataFrame) -> DataFrame:
         F.min(F.when(F.col("cum_revenue_pct") >= 80.0, F.col("rn"))).alias("rn80"),
         F.max(F.when(F.col("rn") == F.floor(F.col("n") * 0.9) + 1, F.col("cum_revenue_pct"))).alias("y90"),
         F.max(F.when(F.col("rn") == 1, F.col("total_revenue"))).alias("r1"),
-        F.sum(money("total_revenue") * (F.col("n") - F.col("rn") + 1)).cast("double").alias("sum_wr"),
+        F.sum(F.col("total_revenue").cast("decimal(24,10)") * (F.col("n") - F.col("rn") + 1).cast("decimal(13,0)")).cast("double").alias("sum_wr"),
     )
     pct80 = F.col("rn80") / F.col("n") * 100.0
     sum_y = F.col("sum_wr") / F.col("S")

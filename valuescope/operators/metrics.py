@@ -90,7 +90,7 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
     w = poisson1_weight(md5_uniform(F.lit(seed), F.col("rep"), F.col("customer_id")))
     rep = rep.withColumn("_w", w)
     per = rep.groupBy("decile", "rep").agg(
-        F.sum(money("_y") * F.col("_w")).alias("_sy"), F.sum("_w").alias("_sw"))
+        F.sum(money("_y") * F.col("_w").cast("decimal(4,0)")).alias("_sy"), F.sum("_w").alias("_sw"))
     per = per.select("decile", "rep",
                      F.when(F.col("_sw") > 0, F.col("_sy").cast("double") / F.col("_sw")).otherwise(0.0)
                      .alias("m"))
@@ -140,9 +140,9 @@ def classification_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     auc = (F.col("rank_sum") - F.col("n1") * (F.col("n1") + 1) / 2.0) / (F.col("n1") * F.col("n0"))
     return res.select(
         (F.col("n1") + F.col("n0")).cast("bigint").alias("n"),
-        F.round(F.when(both, auc), 6).alias("roc_auc"),
-        F.round(F.when(both, F.col("ap")), 6).alias("avg_precision"),
-        F.round(F.col("n1") / (F.col("n1") + F.col("n0")), 6).alias("churn_base_rate"),
+        F.when(both, auc).alias("roc_auc"),
+        F.when(both, F.col("ap")).alias("avg_precision"),
+        (F.col("n1") / (F.col("n1") + F.col("n0"))).alias("churn_base_rate"),
     )
 
 
@@ -159,26 +159,27 @@ def roc_pr_points(df: DataFrame, label: str, score: str) -> DataFrame:
         F.col("_pos").cast("bigint").alias("pos"), F.col("_neg").cast("bigint").alias("neg"),
         F.col("_tp").cast("bigint").alias("tp"), F.col("_fp").cast("bigint").alias("fp"),
         F.col("_n1").cast("bigint").alias("n1"), F.col("_n0").cast("bigint").alias("n0"),
-        F.round(F.col("_fp") / F.col("_n0"), 9).alias("fpr"),
-        F.round(F.col("_tp") / F.col("_n1"), 9).alias("tpr"),
+        F.round(F.try_divide(F.col("_fp"), F.col("_n0")), 9).alias("fpr"),
+        F.round(F.try_divide(F.col("_tp"), F.col("_n1")), 9).alias("tpr"),
         F.round(F.col("_tp") / (F.col("_tp") + F.col("_fp")), 9).alias("precision"),
-        F.round(F.col("_tp") / F.col("_n1"), 9).alias("recall"),
+        F.round(F.try_divide(F.col("_tp"), F.col("_n1")), 9).alias("recall"),
     )
 
 
 def curve_areas(points: DataFrame) -> DataFrame:
     """Trapezoid ROC area (from (0,0)) and PR area (from recall 0,
     precision 1).  Each segment needs only the point's own counts and the
-    running totals, so no ordered pass (lag) over the points is required."""
+    running totals, so no ordered pass (lag) over the points is required.
+    NULL areas when a class is missing."""
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
-    tpr, tpr_prev = tp / n1, (tp - pos) / n1
+    tpr, tpr_prev = F.try_divide(tp, n1), F.try_divide(tp - pos, n1)
     prec = tp / (tp + fp)
     prev_all = tp - pos + fp - neg
     prec_prev = F.when(prev_all > 0, (tp - pos) / prev_all).otherwise(F.lit(1.0))
     return points.agg(
-        F.round(F.sum(neg / n0 * (tpr + tpr_prev) / 2.0), 6).alias("roc_area"),
-        F.round(F.sum(pos / n1 * (prec + prec_prev) / 2.0), 6).alias("pr_area"),
+        F.round(F.sum(F.try_divide(neg, n0) * (tpr + tpr_prev) / 2.0), 6).alias("roc_area"),
+        F.round(F.sum(F.try_divide(pos, n1) * (prec + prec_prev) / 2.0), 6).alias("pr_area"),
         F.round(F.first(n1 / (n1 + n0)), 6).alias("no_skill_precision"),
     )
 

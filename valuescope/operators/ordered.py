@@ -23,6 +23,7 @@ give an exact answer; the sample only balances the buckets.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,12 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _addend(c: Column, field: T.StructField) -> Column:
+    """A decimal with room for one more digit, so that an addition keeps its scale."""
+    t = field.dataType
+    return c.cast(T.DecimalType(min(t.precision, 37), t.scale)) if isinstance(t, T.DecimalType) else c
+
+
 def global_order(
     df: DataFrame,
     key,
@@ -57,7 +64,8 @@ def global_order(
     ``key`` must be non-NULL numeric.  ``tie`` breaks ties (ascending, also
     when ``descending``).  ``sums`` maps output names to Columns whose
     inclusive running sums in that order are appended.  ``n`` (if given)
-    receives the group's row count.
+    receives the group's row count.  Rows of a NULL group form a group of their own.
+    ``rows_per_bucket`` only sets how many rows a window task takes.
     """
     sums = sums or {}
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
@@ -69,9 +77,9 @@ def global_order(
     for name, c in sums.items():
         d = d.withColumn(f"_s_{name}", c)
 
-    counts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).collect()
+    counts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
     if len(counts) > MAX_GROUPS:
-        raise ValueError(f"global_order: {len(counts)} groups; use a partitioned window instead")
+        raise ValueError(f"global_order: more than {MAX_GROUPS} groups; use a partitioned window instead")
     nb = {r["_g"]: max(1, min(MAX_BUCKETS, math.ceil(r["_n"] / rows_per_bucket))) for r in counts}
     g_type = d.schema["_g"].dataType
     t_type = d.schema["_t"].dataType
@@ -82,7 +90,7 @@ def global_order(
         f_expr = F.lit(0.0)
         for gv, f in frac.items():
             if nb[gv] > 1:
-                f_expr = F.when(F.col("_g") == F.lit(gv), F.lit(f)).otherwise(f_expr)
+                f_expr = F.when(F.col("_g").eqNullSafe(F.lit(gv)), F.lit(f)).otherwise(f_expr)
         sample = (
             d.select("_g", "_k", "_t")
             .filter(F.rand(SEED) < f_expr)
@@ -104,7 +112,7 @@ def global_order(
     if split_rows:
         split_schema = T.StructType(
             [
-                T.StructField("_g", g_type),
+                T.StructField("_sg", g_type),
                 T.StructField(
                     "_splits",
                     T.ArrayType(
@@ -132,7 +140,8 @@ def global_order(
 
         init = F.struct(F.lit(0).alias("lo"), m.alias("hi"))
         bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-        d = d.join(F.broadcast(splits), "_g", "left").withColumn("_b", bucket).drop("_splits")
+        d = d.join(F.broadcast(splits), F.col("_g").eqNullSafe(F.col("_sg")), "left")
+        d = d.withColumn("_b", bucket).drop("_splits", "_sg")
     else:
         d = d.withColumn("_b", F.lit(0))
 
@@ -145,17 +154,17 @@ def global_order(
         zero = F.lit(0).cast(stats.schema[f"_bs_{s}"].dataType)
         off_cols.append(F.coalesce(F.sum(f"_bs_{s}").over(wb), zero).alias(f"_os_{s}"))
     tot = Window.partitionBy("_g")
-    offsets = stats.select("_g", "_b", *off_cols, F.sum("_c").over(tot).alias("_n"))
-    d = d.join(F.broadcast(offsets), ["_g", "_b"], "inner")
+    offsets = stats.select(F.col("_g").alias("_og"), F.col("_b").alias("_ob"), *off_cols, F.sum("_c").over(tot).alias("_n"))
+    d = d.join(F.broadcast(offsets), F.col("_g").eqNullSafe(F.col("_og")) & (F.col("_b") == F.col("_ob")), "inner")
 
     w = Window.partitionBy("_g", "_b").orderBy("_k", "_t")
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = d.withColumn(rn, (F.col("_oc") + F.row_number().over(w)).cast("bigint"))
     for s in sums:
-        out = out.withColumn(s, F.col(f"_os_{s}") + F.sum(f"_s_{s}").over(wr))
+        out = out.withColumn(s, _addend(F.col(f"_os_{s}"), stats.schema[f"_bs_{s}"]) + _addend(F.sum(f"_s_{s}").over(wr), stats.schema[f"_bs_{s}"]))
     if n:
         out = out.withColumn(n, F.col("_n").cast("bigint"))
-    drop = ["_k", "_t", "_g", "_b", "_oc", "_n"] + [f"_s_{s}" for s in sums] + [f"_os_{s}" for s in sums]
+    drop = ["_k", "_t", "_g", "_b", "_og", "_ob", "_oc", "_n"] + [f"_s_{s}" for s in sums] + [f"_os_{s}" for s in sums]
     return out.drop(*drop)
 
 
@@ -181,7 +190,9 @@ def average_rank(df: DataFrame, value: str, out: str, group=None, **kw) -> DataF
     ranked = ranked.select(
         *gcols, value, (F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0).alias(out)
     )
-    return df.join(ranked, [*gcols, value], "inner")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in gcols]
+    on = reduce(lambda a, b: a & b, same, F.col(f"l.{value}") == F.col(f"r.{value}"))
+    return df.alias("l").join(ranked.alias("r"), on, "inner").select("l.*", f"r.{out}")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None,
@@ -200,7 +211,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str |
     o = global_order(dv, value, tie=value, group=group, sums={"_cum": F.col("_cnt")},
                      rn="_rn", n=None, **kw)
     tot = dv.groupBy(*gcols).agg(F.sum("_cnt").alias("_nn"))  # #groups rows
-    o = o.join(F.broadcast(tot), gcols, "inner") if gcols else o.join(F.broadcast(tot), how="inner")
+    if group:
+        tot = tot.withColumnRenamed(group, "_tg")
+        o = o.join(F.broadcast(tot), F.col(group).eqNullSafe(F.col("_tg")), "inner").drop("_tg")
+    else:
+        o = o.join(F.broadcast(tot), how="inner")
     aggs = []
     first = F.col("_cum") - F.col("_cnt")  # rows before this value
     for p in probs:

@@ -122,12 +122,15 @@ def policy_frame(scores: DataFrame, unit_cost: float, effectiveness: float) -> D
     return out.withColumn("net_gain", F.col("expected_benefit") - F.col("cost")).filter(F.col("net_gain") > 0)
 
 
-def budget_grid(policy: DataFrame, unit_cost: float, points: int = 12) -> DataFrame:
-    """Evenly spaced budgets from 100 x cost to min(20000, max(100, cost x min(n, 10000))),
-    ascending, duplicates removed (the grid can run downward on tiny inputs)."""
+def budget_grid(policy: DataFrame, unit_cost: float, points: int = 12, max_budget: float | None = None,
+                max_customers: int | None = None) -> DataFrame:
+    """Evenly spaced budgets from 100 x cost to min(max_budget, max(100, cost x min(n, max_customers))),
+    without the limits that are None; duplicates removed (the grid can run downward on tiny inputs)."""
     n = policy.agg(F.count(F.lit(1)).alias("n"))
     lo = F.lit(float(unit_cost) * 100.0)
-    hi = F.least(F.lit(20000.0), F.greatest(F.lit(100.0), F.lit(float(unit_cost)) * F.least(F.col("n"), F.lit(10000))))
+    n_top = F.col("n") if max_customers is None else F.least(F.col("n"), F.lit(max_customers))
+    hi = F.greatest(F.lit(100.0), F.lit(float(unit_cost)) * n_top)
+    hi = hi if max_budget is None else F.least(F.lit(float(max_budget)), hi)
     i = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
     g = n.select(lo.alias("lo"), hi.alias("hi"), i)
     b = F.when(F.col("i") == points - 1, F.col("hi")).otherwise(
@@ -147,7 +150,9 @@ def roi_curve(policy: DataFrame, budgets: DataFrame) -> DataFrame:
     stats = policy.agg(F.count(F.lit(1)).alias("_n"), F.max("cost").alias("_c"))
     b = attach_one_row(budgets.filter(F.col("budget") > 0), stats)
     b = b.select("budget", "_c", F.least(F.floor(F.col("budget") / F.col("_c")), F.col("_n")).cast("bigint").alias("k"))
-    hit = F.broadcast(b).join(ranked.select(F.col("rn").alias("k"), "_cum_b"), "k", "left")
+    # the few wanted ranks travel to the ranked customers; what they hit (at most the grid's size) travels back
+    found = ranked.select(F.col("rn").alias("k"), "_cum_b").join(F.broadcast(b.select("k").distinct()), "k")
+    hit = b.join(F.broadcast(found), "k", "left")
     spent = F.col("k") * F.col("_c")
     benefit = F.coalesce(F.col("_cum_b").cast("double"), F.lit(0.0))
     return hit.select(

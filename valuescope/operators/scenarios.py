@@ -52,12 +52,14 @@ def linspace_budgets(spark, start: float, stop: float, points: int) -> DataFrame
     )
 
 
-def sensitivity_budgets(base: DataFrame, unit_cost: float, points: int = 12) -> DataFrame:
-    """B7 (sensitivity form): from 10 x cost to min(0.7 x n x cost, 8000)."""
+def sensitivity_budgets(base: DataFrame, unit_cost: float, points: int = 12,
+                        max_budget: float | None = None) -> DataFrame:
+    """B7 (sensitivity form): from 10 x cost to 0.7 x n x cost, at most ``max_budget`` if given."""
     n = base.agg(F.count(F.lit(1)).alias("n"))
     i = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
     lo = F.lit(float(unit_cost) * 10.0)
-    hi = F.least(F.col("n") * float(unit_cost) * 0.7, F.lit(8000.0))
+    hi = F.col("n") * float(unit_cost) * 0.7
+    hi = hi if max_budget is None else F.least(hi, F.lit(float(max_budget)))
     g = n.select(lo.alias("lo"), hi.alias("hi"), i)
     b = F.when(F.col("i") == points - 1, F.col("hi")).otherwise(
         F.col("lo") + F.col("i") * ((F.col("hi") - F.col("lo")) / (points - 1)))
@@ -88,7 +90,9 @@ def scenario_roi(base: DataFrame, scenarios: DataFrame, budgets: DataFrame) -> D
                F.least(F.floor(F.col("budget") / F.col("unit_cost")), F.col("n_eligible"))).otherwise(F.lit(0))
         .cast("bigint").alias("k"),
     )
-    hit = F.broadcast(grid).join(ranked.select(F.col("rn").alias("k"), "_cum"), "k", "left")
+    # wanted ranks (draws x budget points at most) travel to the ranked customers, their hits travel back
+    found = ranked.select(F.col("rn").alias("k"), "_cum").join(F.broadcast(grid.select("k").distinct()), "k")
+    hit = grid.join(F.broadcast(found), "k", "left")
     spent = F.col("k") * F.col("unit_cost")
     benefit = F.col("effectiveness") * F.coalesce(F.col("_cum").cast("double"), F.lit(0.0))
     net = F.when(F.col("k") > 0, benefit - spent).otherwise(F.lit(0.0))

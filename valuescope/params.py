@@ -34,6 +34,10 @@ class Params:
     n_bootstrap: int = 500
     ci_level: float = 0.95
     n_budget_points: int = 12
+    # limits of the budget grids (None: none)
+    max_curve_budget: float | None = None
+    max_curve_customers: int | None = None
+    max_sensitivity_budget: float | None = None
     # sensitivity
     n_scenarios: int = 1000
     effectiveness_range: tuple = (0.05, 0.25)
@@ -49,8 +53,10 @@ class Params:
         return replace(self, **kw)
 
 
+#: The original's limits of the budget grids.
+ORIGINAL_BUDGET_LIMITS = {"max_curve_budget": 20000.0, "max_curve_customers": 10000, "max_sensitivity_budget": 8000.0}
 # Parameters that suit the supplied TPC-H-like tables (order dates 1995-2001).
-TESTDATA_PARAMS = Params(cutoff=dt.datetime(2001, 1, 1))
+TESTDATA_PARAMS = Params(cutoff=dt.datetime(2001, 1, 1), **ORIGINAL_BUDGET_LIMITS)
 # Purchase-event fixture (January 2024, with time of day).
 EVENTS_PARAMS = Params(cutoff=dt.datetime(2024, 1, 20), holdout_days=10, clv_horizon_days=10,
                        inactivity_days=5, prediction_horizon_days=10)

@@ -96,7 +96,8 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
     sp = metrics.spearman(ev, "clv_horizon", "holdout_revenue")
     unit_cost = policy.median_cost(targeting).first()["unit_cost"] or p.unit_cost
     pol = policy.policy_frame(policy.join_scores(clv, risk, validate=False), unit_cost, p.retention_effectiveness)
-    out["roi_curve"] = policy.roi_curve(pol, policy.budget_grid(pol, unit_cost, p.n_budget_points))
+    out["roi_curve"] = policy.roi_curve(pol, policy.budget_grid(pol, unit_cost, p.n_budget_points, p.max_curve_budget,
+                                                                 p.max_curve_customers))
     n_clv = clv.agg(F.count(F.lit(1)).alias("customers_scored_clv"))
     n_risk = risk.agg(F.count(F.lit(1)).alias("customers_scored_risk"))
     out["executive_summary"] = sp.join(n_clv, how="inner").join(n_risk, how="inner").select(  # 1-row each
@@ -124,7 +125,7 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
 
     # 11 sensitivity
     base = scenarios.base_values(joined)
-    bud = scenarios.sensitivity_budgets(base, p.unit_cost, p.n_budget_points).select("budget")
+    bud = scenarios.sensitivity_budgets(base, p.unit_cost, p.n_budget_points, p.max_sensitivity_budget).select("budget")
     sc = scenarios.draw_scenarios(spark, p.n_scenarios, p.effectiveness_range, p.cost_range, p.seed)
     out["sensitivity_summary"] = scenarios.monte_carlo_summary(scenarios.scenario_roi(base, sc, bud))
     out["sensitivity_tornado"] = scenarios.tornado(base, p.reference_budget, p.retention_effectiveness,

@@ -142,7 +142,8 @@ FROM o CROSS JOIN tot""",
     "M12 W5",
 )
 def q_churn_risk_metrics(spark, sf_dir):
-    return ME.classification_metrics(scored_eval(spark, sf_dir), "churn_label", "churn_probability")
+    m = ME.classification_metrics(scored_eval(spark, sf_dir), "churn_label", "churn_probability")
+    return m.select("n", *[F.round(c, 6).alias(c) for c in m.columns[1:]])
 
 
 @register(

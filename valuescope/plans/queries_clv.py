@@ -20,8 +20,16 @@ from valuescope.plans.queries_core import txn_orders
 P = TESTDATA_PARAMS
 BG = btyd.BGNBDParams(**btyd.CDNOW_BGNBD)
 GG = spend.GGParams(**spend.CDNOW_GG)
-N_TERMS = btyd.series_terms_bound(BG, P.clv_horizon_days)
-N_TERMS_HOLDOUT = btyd.series_terms_bound(BG, P.holdout_days)
+#: The SQL side sums the plain power series, to the length that the largest z (T = 0) needs.
+SQL_MIN_TERMS = 20
+
+
+def series_length(t: float) -> int:
+    return math.ceil(math.log(1e-16) / math.log(t / (BG.alpha + t)))
+
+
+N_TERMS = series_length(P.clv_horizon_days)
+N_TERMS_HOLDOUT = series_length(P.holdout_days)
 
 
 # ---------------------------------------------------------------- Spark side
@@ -35,14 +43,14 @@ def clv_inputs(spark, sf_dir, p=P):
 def fixed_scores(spark, sf_dir, p=P):
     inv, hend, summary = clv_inputs(spark, sf_dir, p)
     return materialize(spend.score_clv(inv, summary, BG, GG, p.cutoff, hend, p.clv_horizon_days,
-                                       p.discount_rate_annual, n_terms=N_TERMS))
+                                       p.discount_rate_annual))
 
 
 def eval_frame(spark, sf_dir, p=P):
     """Fixed-parameter CLV joined with backtest actuals [cutoff, cutoff+days]."""
     inv, hend, summary = clv_inputs(spark, sf_dir, p)
     scores = spend.score_clv(inv, summary, BG, GG, p.cutoff, hend, p.clv_horizon_days,
-                             p.discount_rate_annual, n_terms=N_TERMS)
+                             p.discount_rate_annual)
     act = btyd.holdout_actuals(inv, p.cutoff, p.cutoff + dt.timedelta(days=p.holdout_days), include_start=True)
     return materialize(scores.select("customer_id", "clv_horizon").join(act, "customer_id", "left").select(
         "customer_id", "clv_horizon",
@@ -88,7 +96,7 @@ def _scores_sql(t: float, n_terms: int, name: str = "scores") -> str:
   FROM summ
 ),
 nt_{name} AS (
-  SELECT *, CAST(least({n_terms}, greatest({btyd.MIN_TERMS}, coalesce(ceil({dbl(math.log(1e-16))} / ln(z)), {btyd.MIN_TERMS}))) AS INTEGER) AS nt
+  SELECT *, CAST(least({n_terms}, greatest({SQL_MIN_TERMS}, coalesce(ceil({dbl(math.log(1e-16))} / ln(z)), {SQL_MIN_TERMS}))) AS INTEGER) AS nt
   FROM zt_{name}
 ),
 hyp_{name}(customer_id, n, term, acc) AS (
@@ -258,7 +266,7 @@ def q_clv_holdout_metrics(spark, sf_dir):
     act = btyd.holdout_actuals(inv, P.cutoff, hend)
     ev = summary.join(act, "customer_id", "left").select(
         F.coalesce(F.col("holdout_transactions"), F.lit(0)).cast("double").alias("y"),
-        btyd.expected_purchases(BG, t, n_terms=btyd.series_terms_bound(BG, t)).alias("yhat"),
+        btyd.expected_purchases(BG, t).alias("yhat"),
     )
     m = metrics.regression_metrics(ev, "y", "yhat")
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "mape")])
@@ -306,7 +314,7 @@ _MD5U = "CAST(('0x' || substr(md5(concat_ws('|', {seed}, rep, customer_id)), 1,
 ),
 bw AS (SELECT decile, rep, y, CASE {_POIS} ELSE {len(POISSON1_CDF)} END AS w FROM boot),
 per AS (
-  SELECT decile, rep, CASE WHEN sum(w) > 0 THEN CAST(sum(CAST(y AS DECIMAL(18,2)) * w) AS DOUBLE) / sum(w) ELSE 0.0 END AS m
+  SELECT decile, rep, CASE WHEN sum(w) > 0 THEN CAST(sum({S.money('y')} * w) AS DOUBLE) / sum(w) ELSE 0.0 END AS m
   FROM bw GROUP BY decile, rep
 ),
 ci AS (
@@ -314,9 +322,9 @@ ci AS (
 ),
 g AS (
   SELECT decile, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, avg(s) AS aps,
-    CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) AS tot, count(*) AS n FROM dec GROUP BY decile
+    CAST(sum({S.money('y')}) AS DOUBLE) AS tot, count(*) AS n FROM dec GROUP BY decile
 ),
-om AS (SELECT CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS m FROM ev)
+om AS (SELECT CAST(sum({S.money('y')}) AS DOUBLE) / count(*) AS m FROM ev)
 SELECT g.decile, g.customers, round(g.aps, 6) AS avg_pred_clv, round(g.tot / g.n, 6) AS avg_holdout_revenue,
   g.tot AS total_holdout_revenue, round(CASE WHEN om.m > 0 THEN (g.tot / g.n) / om.m END, 6) AS lift_vs_overall_mean,
   ci.ci_lower, ci.ci_upper

@@ -97,7 +97,7 @@ _PARETO_ROWS = ",\n".join(
     min(CASE WHEN cum_revenue_pct >= 80.0 THEN rn END) AS rn80,
     max(CASE WHEN rn = floor(n * 0.9) + 1 THEN cum_revenue_pct END) AS y90,
     max(CASE WHEN rn = 1 THEN total_revenue END) AS r1,
-    CAST(sum(CAST(total_revenue AS DECIMAL(18,2)) * (n - rn + 1)) AS DOUBLE) AS sum_wr
+    CAST(sum({S.money('total_revenue')} * (n - rn + 1)) AS DOUBLE) AS sum_wr
   FROM lz
 ),
 vals AS (
@@ -169,10 +169,10 @@ def q_rows_per_day(spark, sf_dir):
 # ---------------------------------------------------------------- A18, A22, P16, A17, A19
 @register(
     "value_distribution",
-    FEAT[:-1] + """,
+    FEAT[:-1] + f""",
 rv AS (SELECT CASE WHEN total_revenue < 1.0 THEN 1.0 ELSE total_revenue END AS rev FROM features)
 SELECT CAST(count(*) AS BIGINT) AS n,
-  round(CAST(sum(CAST(rev AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS mean,
+  round(CAST(sum({S.money('rev')}) AS DOUBLE) / count(*), 6) AS mean,
   round(quantile_cont(rev, 0.5), 6) AS median, round(quantile_cont(rev, 0.9), 6) AS p90,
   round(quantile_cont(rev, 0.99), 6) AS p99,
   round(avg(CASE WHEN rev > 1000 THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS pct_gt_1000

@@ -182,7 +182,7 @@ FROM res""",
 )
 def q_roi_curve(spark, sf_dir):
     pol = PO.policy_frame(scores_joined(spark, sf_dir), P.unit_cost, P.retention_effectiveness)
-    return PO.roi_curve(pol, PO.budget_grid(pol, P.unit_cost, P.n_budget_points))
+    return PO.roi_curve(pol, PO.budget_grid(pol, P.unit_cost, P.n_budget_points, P.max_curve_budget, P.max_curve_customers))
 
 
 def _scenario_sql(scen_cte: str, budgets_cte: str) -> str:
@@ -231,7 +231,7 @@ _BUD_SENS = f"""bud AS (
 def _sens_inputs(spark, sf_dir):
     s = scores_joined(spark, sf_dir)
     base = SC.base_values(s)
-    return base, SC.sensitivity_budgets(base, P.unit_cost, P.n_budget_points).select("budget")
+    return base, SC.sensitivity_budgets(base, P.unit_cost, P.n_budget_points, P.max_sensitivity_budget).select("budget")
 
 
 @register(

@@ -48,15 +48,15 @@ def q_customer_segments(spark, sf_dir):
 
 @register(
     "segment_summary",
-    SEG_SQL + f""", tot AS (SELECT count(*) AS n_all, CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS rev_all FROM seg)
+    SEG_SQL + f""", tot AS (SELECT count(*) AS n_all, CAST(sum({S.money('total_revenue')}) AS DOUBLE) AS rev_all FROM seg)
 SELECT segment, CAST(count(*) AS BIGINT) AS n_customers,
   round_even({dbl(100.0)} * count(*) / max(tot.n_all), 2) AS pct_customers,
   round_even(avg(clv_score), 2) AS avg_clv, round_even(quantile_cont(clv_score, 0.5), 2) AS median_clv,
   round_even(avg(churn_probability), 2) AS avg_churn_prob, round_even(avg(recency_days), 2) AS avg_recency_days,
   round_even(avg(n_invoices), 2) AS avg_n_invoices,
-  round_even(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) / count(*), 2) AS avg_revenue,
-  round_even(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_revenue,
-  round_even({dbl(100.0)} * CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) / max(tot.rev_all), 2) AS pct_revenue
+  round_even(CAST(sum({S.money('total_revenue')}) AS DOUBLE) / count(*), 2) AS avg_revenue,
+  round_even(CAST(sum({S.money('total_revenue')}) AS DOUBLE), 2) AS total_revenue,
+  round_even({dbl(100.0)} * CAST(sum({S.money('total_revenue')}) AS DOUBLE) / max(tot.rev_all), 2) AS pct_revenue
 FROM seg CROSS JOIN tot GROUP BY segment""",
     "A24 G2",
 )

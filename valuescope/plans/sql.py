@@ -23,11 +23,12 @@ def days(start: str, end: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    """Exact decimal of the shortest text of a DOUBLE (a direct cast scales in floating point)."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))"
 
 
 def money_sum(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum({money(x)}) AS DOUBLE)"
 
 
 TXN_COLS = "invoice, stock_code, description, quantity, invoice_dt, unit_price, customer_id, country, source_sheet"
@@ -170,13 +171,13 @@ rfm AS (
   SELECT *, CAST(R + F + M AS INTEGER) AS rfm_score, {SEGMENT} AS segment FROM rfm_s
 )"""
 
-LORENZ = """lz0 AS (
+LORENZ = f"""lz0 AS (
   SELECT customer_id, total_revenue,
     row_number() OVER (ORDER BY total_revenue, customer_id) AS rn,
     count(*) OVER () AS n,
-    sum(CAST(total_revenue AS DECIMAL(18,2))) OVER (ORDER BY total_revenue, customer_id
+    sum({money('total_revenue')}) OVER (ORDER BY total_revenue, customer_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_dec,
-    sum(CAST(total_revenue AS DECIMAL(18,2))) OVER () AS s_dec
+    sum({money('total_revenue')}) OVER () AS s_dec
   FROM features
 ),
 lz AS (
