@@ -4,14 +4,14 @@ With one unit cost for every customer, an exact 0/1 knapsack, greedy by
 net gain and greedy by gain per cost all select the same set: the top
 floor(budget / cost) eligible customers by net gain.  Selection is
 therefore a distributed rank plus a filter -- no solver, no row loop.
-For per-customer costs the greedy rule becomes "take while the running
-cost in ratio order fits" (a prefix sum), which is the documented
-take-until-full heuristic.
+For per-customer costs the greedy rule passes over whoever no longer fits,
+in rounds of prefix sums.
 """
 
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from valuescope.operators.common import attach_one_row, require_single_key
 from valuescope.operators.ordered import global_order
 
 EXACT_SUM = "decimal(30,10)"  # prefix sums of benefits: exact and order-free
+TARGETING_ORDER = ["recommended_action", "priority_rank", "customer_id"]
 
 
 def validate_config(budget: float, unit_cost: float, effectiveness: float, min_clv: float) -> None:
@@ -70,10 +71,7 @@ def select_targets(econ: DataFrame, budget: float, solver: str = "exact") -> Dat
         ranked = global_order(elig.select("customer_id", "net_gain"), "net_gain", descending=True, n=None)
         chosen = ranked.filter(F.col("rn") <= cap).select("customer_id", F.col("rn").alias("priority_rank"))
     elif solver == "greedy":
-        ratio = F.col("net_gain") / F.col("cost")
-        ranked = global_order(elig.select("customer_id", "net_gain", "cost", ratio.alias("_ratio")), "_ratio",
-                              descending=True, n=None, sums={"_cum_cost": F.col("cost").cast(EXACT_SUM)})
-        picked = ranked.filter(F.col("_cum_cost") <= F.lit(budget).cast(EXACT_SUM))
+        picked = take_while_affordable(elig, budget)
         chosen = global_order(picked.select("customer_id", "net_gain"), "net_gain", descending=True, n=None) \
             .select("customer_id", F.col("rn").alias("priority_rank"))
     else:
@@ -86,8 +84,36 @@ def select_targets(econ: DataFrame, budget: float, solver: str = "exact") -> Dat
     )
 
 
+def take_while_affordable(elig: DataFrame, budget: float) -> DataFrame:
+    """Best gain per cost first; whoever costs more than what is left is passed over.
+
+    A round takes the run of ranks up to the first misfit.  What is left then
+    excludes all that is dearer at once, and the next round starts behind the
+    misfit.  Equal costs need one round; only three numbers a round are held.
+    """
+    ratio = F.col("net_gain") / F.col("cost")
+    ranked = global_order(elig.select("customer_id", "net_gain", "cost", ratio.alias("_ratio")), "_ratio",
+                          descending=True, n=None).checkpoint(eager=True)
+    left, after = Decimal(str(budget)), 0
+    taken = F.lit(False)
+    while True:
+        limit = F.lit(str(left)).cast(EXACT_SUM)
+        open_ = (F.col("rn") > after) & (F.col("cost").cast(EXACT_SUM) <= limit)
+        run = global_order(ranked.filter(open_), "rn", n=None, rn="_place",
+                           sums={"_cum": F.col("cost").cast(EXACT_SUM)})
+        end = run.agg(F.min(F.when(F.col("_cum") > limit, F.col("rn"))).alias("misfit"),
+                      F.max(F.when(F.col("_cum") <= limit, F.col("_cum"))).alias("spent"),
+                      F.min("cost").alias("cheapest")).first()
+        taken = taken | (open_ if end["misfit"] is None else open_ & (F.col("rn") < end["misfit"]))
+        if end["misfit"] is None:
+            return ranked.filter(taken)
+        left, after = left - end["spent"], end["misfit"]
+        if left < Decimal(str(end["cheapest"])):
+            return ranked.filter(taken)
+
+
 def targeting_list(selected: DataFrame) -> DataFrame:
-    """The persisted targeting table (order by action, rank at write time: O2)."""
+    """The persisted targeting table (``TARGETING_ORDER`` at write time: O2)."""
     return selected.select(
         "customer_id",
         F.when(F.col("target"), "target").otherwise("no_action").alias("recommended_action"),

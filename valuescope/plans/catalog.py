@@ -40,6 +40,7 @@ def load_all() -> dict[str, Query]:
         queries_clv,
         queries_cohorts,
         queries_core,
+        queries_exact,
         queries_extra,
         queries_ordered,
         queries_policy,

@@ -40,7 +40,8 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
 
     # 1-2 ingest + clean (profiles are one-pass aggregates)
     out["ingest_profile"] = cleaning.basic_profile(raw)
-    txn = _stage(spark, cleaning.clean_transactions(raw), f"{out_dir}/transactions_clean")
+    txn = _stage(spark, cleaning.clean_transactions(raw).orderBy("customer_id", "invoice_dt", "invoice"),
+                 f"{out_dir}/transactions_clean")
     out["cleaning_waterfall"] = cleaning.cleaning_waterfall(raw)
     mark("clean")
 
@@ -60,9 +61,13 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
                                         p.discount_rate_annual, penalizer_bgnbd=p.penalizer_bgnbd,
                                         penalizer_gg=p.penalizer_gg), f"{out_dir}/clv_scores")
     out["clv_scores"] = clv
+    status = (bool(bg_info["converged"]), bool(gg_info["converged"]), bool(gg_info.get("gg_mean_undefined")))
+    if status != (True, True, False) and not p.allow_unusable_fit:
+        raise RuntimeError(f"CLV fit not usable: BG/NBD converged {status[0]}, Gamma-Gamma converged {status[1]}, mean undefined {status[2]}")
     out["clv_params"] = spark.createDataFrame(
-        [(bg.r, bg.alpha, bg.a, bg.b, gg.p, gg.q, gg.v, bool(gg_info.get("gg_mean_undefined")))],
-        "r double, alpha double, a double, b double, p double, q double, v double, gg_mean_undefined boolean")
+        [(bg.r, bg.alpha, bg.a, bg.b, gg.p, gg.q, gg.v, *status)],
+        "r double, alpha double, a double, b double, p double, q double, v double, "
+        "bgnbd_converged boolean, gg_converged boolean, gg_mean_undefined boolean")
     mark("clv")
 
     # 5 churn
@@ -82,7 +87,7 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
     joined = policy.join_scores(clv, risk)
     econ = policy.build_economics(joined, p.unit_cost, p.retention_effectiveness, p.min_clv)
     selected = policy.select_targets(econ, p.budget, "exact" if p.solver == "exact" else "greedy")
-    targeting = _stage(spark, policy.targeting_list(selected), f"{out_dir}/targeting_list")
+    targeting = _stage(spark, policy.targeting_list(selected).orderBy(*policy.TARGETING_ORDER), f"{out_dir}/targeting_list")
     out["targeting_list"] = targeting
     out["allocation_summary"] = policy.allocation_summary(selected)
     mark("budget")
