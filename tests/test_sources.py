@@ -51,5 +51,5 @@ def test_csv_columns_are_told_by_name(spark, tmp_path):
     assert str(got["invoice_dt"]) == "2010-12-01 08:26:00"
     q = tmp_path / "b.csv"
     q.write_text(",".join(names[:-1]) + "\n")
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="x: missing required columns"):
         read_raw_transactions(spark, {"x": str(q)})

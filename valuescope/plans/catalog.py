@@ -42,6 +42,7 @@ def load_all() -> dict[str, Query]:
         queries_core,
         queries_exact,
         queries_extra,
+        queries_ingest,
         queries_ordered,
         queries_policy,
         queries_segments,

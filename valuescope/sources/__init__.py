@@ -2,6 +2,7 @@
 
 from valuescope.sources.transactions import (  # noqa: F401
     dirty_transactions,
+    ingest,
     read_raw_transactions,
     read_table,
     standardize,

@@ -43,7 +43,7 @@ def standardize(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
 
     Invalid numbers/timestamps become NULL (counted later by the profile).
     """
-    require_columns(raw, list(RAW_TO_CANONICAL), "raw_input")
+    require_columns(raw, list(RAW_TO_CANONICAL), source_tag or "raw_input")
     r = {canon: F.col(f"`{src}`") for src, canon in RAW_TO_CANONICAL.items()}
     tag = F.lit(source_tag) if source_tag is not None else F.col("source_sheet")
     return raw.select(
@@ -63,15 +63,19 @@ def read_raw_transactions(
     spark: SparkSession, sources: dict[str, str], fmt: str = "csv"
 ) -> DataFrame:
     """Read several untyped sources, tag each with its name, UNION ALL."""
-    frames = []
+    frames = {}
     for tag, path in sources.items():
         if fmt == "csv":
             # all columns as text, told by the header's names
-            raw = spark.read.option("header", True).csv(path)
+            frames[tag] = spark.read.option("header", True).csv(path)
         else:
-            raw = spark.read.format(fmt).load(path)
-        frames.append(standardize(raw, tag))
-    return union_sources(frames)
+            frames[tag] = spark.read.format(fmt).load(path)
+    return ingest(frames)
+
+
+def ingest(sources: dict[str, DataFrame]) -> DataFrame:
+    """Standardise raw frames by column name, tag each with its source's name, UNION ALL."""
+    return union_sources([standardize(raw, tag) for tag, raw in sources.items()])
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
