@@ -113,10 +113,23 @@ def rfm_segment(r, f) -> Column:
     )
 
 
+#: Uniforms of 32 bits that one md5 digest holds.
+DRAWS_PER_MD5 = 4
+
+
+def md5_of(*parts) -> Column:
+    """Hex md5 of 'p1|p2|...'; portable (same value in DuckDB)."""
+    return F.md5(F.concat_ws("|", *[_c(p).cast("string") for p in parts]))
+
+
+def hex_uniform(digest, i: int = 0) -> Column:
+    """The digest's ``i``-th uniform [0,1) (0 to ``DRAWS_PER_MD5`` - 1)."""
+    return F.conv(F.substring(_c(digest), 8 * i + 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
 def md5_uniform(*parts) -> Column:
-    """Uniform [0,1) from md5 of 'p1|p2|...'; portable (same value in DuckDB)."""
-    s = F.concat_ws("|", *[_c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    """Uniform [0,1) from md5 of 'p1|p2|...'."""
+    return hex_uniform(md5_of(*parts))
 
 
 # Poisson(1) probabilities P(K<=k), k = 0..9 (fixed values: e^-1 sum_{j<=k} 1/j!).

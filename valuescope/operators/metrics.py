@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuescope.functions import md5_uniform, money, poisson1_weight, qbin
+from valuescope.functions import DRAWS_PER_MD5, hex_uniform, md5_of, money, poisson1_weight, qbin
 from valuescope.operators.common import attach_one_row
 from valuescope.operators.ordered import average_rank, global_order
 
@@ -46,20 +46,28 @@ def with_deciles(df: DataFrame, score: str, q: int = 10, out: str = "decile") ->
     return o.withColumn(out, qbin("_rn", "_nn", q)).drop("_rn", "_nn")
 
 
+def binned(df: DataFrame, score: str = "clv_horizon", actual: str = "holdout_revenue", q: int = 10) -> DataFrame:
+    """customer_id, ``_s``, ``_y`` and decile; a frame that is binned already is returned as it is."""
+    if {"_s", "_y", "decile"} <= set(df.columns):
+        return df
+    work = df.select("customer_id", F.coalesce(F.col(score), F.lit(0.0)).alias("_s"),
+                     F.coalesce(F.col(actual), F.lit(0.0)).alias("_y"))
+    return with_deciles(work, "_s", q)
+
+
 def decile_lift(df: DataFrame, score: str = "clv_horizon", actual: str = "holdout_revenue",
                 q: int = 10, ci: DataFrame | None = None) -> DataFrame:
     """Customers, mean predicted, mean/total actual and lift per decile
     (decile q = highest score); optional CI table left-joined on decile (J9)."""
-    work = df.select("customer_id", F.coalesce(F.col(score), F.lit(0.0)).alias("_s"),
-                     F.coalesce(F.col(actual), F.lit(0.0)).alias("_y"))
-    d = with_deciles(work, "_s", q)
-    overall = work.agg((F.sum(money("_y")).cast("double") / F.count(F.lit(1))).alias("_mean"))
+    d = binned(df, score, actual, q)
     g = d.groupBy("decile").agg(
         F.count_distinct("customer_id").cast("bigint").alias("customers"),
         F.avg("_s").alias("avg_pred_clv"),
         F.sum(money("_y")).alias("_tot"),
         F.count(F.lit(1)).alias("_n"),
     )
+    # q rows: the overall mean comes from the deciles' sums
+    overall = g.agg((F.sum("_tot").cast("double") / F.sum("_n")).alias("_mean"))
     g = attach_one_row(g, overall)
     avg_y = F.col("_tot").cast("double") / F.col("_n")
     out = g.select(
@@ -78,26 +86,28 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
                         n_boot: int = 500, ci_level: float = 0.95, seed: int = 42, q: int = 10) -> DataFrame:
     """Percentile CI of each decile's mean actual under Poisson(1) bootstrap weights.
 
-    Replicate weights come from md5 of (seed, replicate, customer), so the
-    result does not depend on partitioning.  Rows are expanded to replicates
-    inside the map stage and immediately partially aggregated per
-    (decile, replicate): the shuffle carries at most q * n_boot rows per task.
+    Replicate weights come from md5 of (seed, block, customer), so the result
+    does not depend on partitioning; one digest gives the weights of a block of
+    four replicates.  Rows are expanded to blocks inside the map stage and
+    immediately partially aggregated per (decile, block): the shuffle carries
+    at most q * n_boot / 4 rows per task.  ``df`` may be binned already.
     """
-    work = df.select("customer_id", F.coalesce(F.col(score), F.lit(0.0)).alias("_s"),
-                     F.coalesce(F.col(actual), F.lit(0.0)).alias("_y"))
-    d = with_deciles(work, "_s", q)
-    rep = d.select("customer_id", "decile", "_y", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
-    w = poisson1_weight(md5_uniform(F.lit(seed), F.col("rep"), F.col("customer_id")))
-    rep = rep.withColumn("_w", w)
-    per = rep.groupBy("decile", "rep").agg(
-        F.sum(money("_y") * F.col("_w").cast("decimal(4,0)")).alias("_sy"), F.sum("_w").alias("_sw"))
+    d = binned(df, score, actual, q)
+    blocks = -(-n_boot // DRAWS_PER_MD5)
+    row = d.select("customer_id", "decile", "_y", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    row = row.withColumn("_h", md5_of(F.lit(seed), F.col("_block"), F.col("customer_id")))
+    ws = [poisson1_weight(hex_uniform("_h", i)) for i in range(DRAWS_PER_MD5)]
+    row = row.select("decile", "_block", money("_y").alias("_m"), *[w.alias(f"_w{i}") for i, w in enumerate(ws)])
+    sums = row.groupBy("decile", "_block").agg(*[
+        a for i in range(DRAWS_PER_MD5)
+        for a in (F.sum(F.col("_m") * F.col(f"_w{i}").cast("decimal(4,0)")).alias(f"_sy{i}"), F.sum(f"_w{i}").alias(f"_sw{i}"))])
+    reps = F.explode(F.array(*[
+        F.struct((F.col("_block") * DRAWS_PER_MD5 + (i + 1)).alias("rep"), F.col(f"_sy{i}").alias("_sy"), F.col(f"_sw{i}").alias("_sw"))
+        for i in range(DRAWS_PER_MD5)]))
+    per = sums.select("decile", reps.alias("r")).select("decile", "r.*").filter(F.col("rep") <= n_boot)
     per = per.select("decile", "rep",
                      F.when(F.col("_sw") > 0, F.col("_sy").cast("double") / F.col("_sw")).otherwise(0.0)
-                     .alias("m"))
-    # replicates where a decile drew no weight count as 0 (as an empty resample does)
-    grid = d.select("decile").distinct().join(
-        df.sparkSession.range(1, n_boot + 1).select(F.col("id").cast("int").alias("rep")), how="inner")
-    per = grid.join(per, ["decile", "rep"], "left").select("decile", F.coalesce("m", F.lit(0.0)).alias("m"))
+                     .alias("m"))  # a decile that drew no weight counts as 0
     alpha = 1.0 - ci_level
     return per.groupBy("decile").agg(
         F.round(F.percentile("m", alpha / 2), 6).alias("ci_lower"),

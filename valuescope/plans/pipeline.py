@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from valuescope.operators import btyd, churn, cleaning, cohorts, concentration, features, metrics, policy
 from valuescope.operators import scenarios, segments, spend
 from valuescope.params import Params
+from valuescope.plans.materialize import materialize
 from valuescope.sources.sinks import save_model, write_parquet, write_report_csv
 
 
@@ -96,8 +97,9 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
     act = btyd.holdout_actuals(inv, p.cutoff, p.cutoff + dt.timedelta(days=p.holdout_days), include_start=True)
     ev = clv.select("customer_id", "clv_horizon").join(act, "customer_id", "left").select(
         "customer_id", "clv_horizon", F.coalesce("holdout_revenue", F.lit(0.0)).alias("holdout_revenue"))
-    ci = metrics.bootstrap_decile_ci(ev, n_boot=p.n_bootstrap, ci_level=p.ci_level, seed=p.seed, q=p.n_deciles)
-    out["decile_lift"] = metrics.decile_lift(ev, q=p.n_deciles, ci=ci)
+    bins = materialize(metrics.binned(ev, q=p.n_deciles))
+    ci = metrics.bootstrap_decile_ci(bins, n_boot=p.n_bootstrap, ci_level=p.ci_level, seed=p.seed, q=p.n_deciles)
+    out["decile_lift"] = metrics.decile_lift(bins, q=p.n_deciles, ci=ci)
     sp = metrics.spearman(ev, "clv_horizon", "holdout_revenue")
     unit_cost = policy.median_cost(targeting).first()["unit_cost"] or p.unit_cost
     pol = policy.policy_frame(policy.join_scores(clv, risk, validate=False), unit_cost, p.retention_effectiveness)
