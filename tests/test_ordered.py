@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from valuescope.operators.ordered import average_rank, exact_quantiles, global_order, quantile_bin
+from valuescope.operators.ordered import average_rank, exact_quantiles, global_order, quantile_bin, quantile_bins
 
 
 def _frame(spark, n, hot_frac=0.0, seed=1):
@@ -67,3 +67,25 @@ def test_exact_quantiles_match_numpy(spark):
     got = exact_quantiles(df, "v", [0.05, 0.5, 0.9, 0.99], rows_per_bucket=100).first()
     for p, name in ((0.05, "q5"), (0.5, "q50"), (0.9, "q90"), (0.99, "q99")):
         assert abs(got[name] - np.percentile(vals, p * 100)) < 1e-9
+
+
+@pytest.mark.parametrize("rows_per_bucket", [40, 10_000])
+def test_bins_from_cut_points_match_numbered_rows(spark, rows_per_bucket):
+    for n, q in ((0, 4), (1, 4), (2, 4), (3, 10), (777, 10)):
+        df = _frame(spark, n, 0.35).withColumn("u", -F.col("v"))
+        got = quantile_bins(df, {"b1": "v", "b2": "u"}, q, rows_per_bucket=rows_per_bucket)
+        one = {r["customer_id"]: r["b"] for r in quantile_bin(df, "v", q, "b").collect()}
+        two = {r["customer_id"]: r["b"] for r in quantile_bin(df, "u", q, "b").collect()}
+        rows = got.collect()
+        assert {r["customer_id"]: r["b1"] for r in rows} == one
+        assert {r["customer_id"]: r["b2"] for r in rows} == two
+
+
+def test_average_rank_hot_values(spark):
+    df = _frame(spark, 800, 0.5)
+    for group in (None, "g"):
+        part = [group] if group else []
+        w = Window.partitionBy(*part, "v")
+        ref = df.withColumn("r", F.rank().over(Window.partitionBy(*part).orderBy("v")) + (F.count(F.lit(1)).over(w) - 1) / 2.0)
+        got = average_rank(df, "v", "r", group=group, rows_per_bucket=50)
+        assert {r["customer_id"]: r["r"] for r in got.collect()} == {r["customer_id"]: r["r"] for r in ref.collect()}

@@ -1,13 +1,10 @@
 """Column-expression helpers (JVM-side built-ins only; no Python UDFs)."""
 
 from valuescope.functions.scalar import (  # noqa: F401
-    DRAWS_PER_MD5,
     POISSON1_CDF,
     SEGMENT_ORDER,
     clamp,
     days_between,
-    hex_uniform,
-    md5_of,
     md5_uniform,
     money,
     money_sum,

@@ -11,9 +11,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuescope.functions import DRAWS_PER_MD5, hex_uniform, md5_of, money, poisson1_weight, qbin
+from valuescope.functions import md5_uniform, money, poisson1_weight
 from valuescope.operators.common import attach_one_row
-from valuescope.operators.ordered import average_rank, global_order
+from valuescope.operators.ordered import average_rank, global_order, quantile_bins
 
 
 def regression_metrics(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
@@ -42,8 +42,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def with_deciles(df: DataFrame, score: str, q: int = 10, out: str = "decile") -> DataFrame:
     """W1+W2: rank (ties by customer_id) ascending by score, then q equal-count bins."""
-    o = global_order(df, score, rn="_rn", n="_nn")
-    return o.withColumn(out, qbin("_rn", "_nn", q)).drop("_rn", "_nn")
+    return quantile_bins(df, {out: score}, q)
 
 
 def binned(df: DataFrame, score: str = "clv_horizon", actual: str = "holdout_revenue", q: int = 10) -> DataFrame:
@@ -86,25 +85,17 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
                         n_boot: int = 500, ci_level: float = 0.95, seed: int = 42, q: int = 10) -> DataFrame:
     """Percentile CI of each decile's mean actual under Poisson(1) bootstrap weights.
 
-    Replicate weights come from md5 of (seed, block, customer), so the result
-    does not depend on partitioning; one digest gives the weights of a block of
-    four replicates.  Rows are expanded to blocks inside the map stage and
-    immediately partially aggregated per (decile, block): the shuffle carries
-    at most q * n_boot / 4 rows per task.  ``df`` may be binned already.
+    Replicate weights come from md5 of (seed, replicate, customer), so the
+    result does not depend on partitioning.  Rows are expanded to replicates
+    inside the map stage and immediately partially aggregated per
+    (decile, replicate): the shuffle carries at most q * n_boot rows per task.
+    ``df`` may be binned already.
     """
     d = binned(df, score, actual, q)
-    blocks = -(-n_boot // DRAWS_PER_MD5)
-    row = d.select("customer_id", "decile", "_y", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-    row = row.withColumn("_h", md5_of(F.lit(seed), F.col("_block"), F.col("customer_id")))
-    ws = [poisson1_weight(hex_uniform("_h", i)) for i in range(DRAWS_PER_MD5)]
-    row = row.select("decile", "_block", money("_y").alias("_m"), *[w.alias(f"_w{i}") for i, w in enumerate(ws)])
-    sums = row.groupBy("decile", "_block").agg(*[
-        a for i in range(DRAWS_PER_MD5)
-        for a in (F.sum(F.col("_m") * F.col(f"_w{i}").cast("decimal(4,0)")).alias(f"_sy{i}"), F.sum(f"_w{i}").alias(f"_sw{i}"))])
-    reps = F.explode(F.array(*[
-        F.struct((F.col("_block") * DRAWS_PER_MD5 + (i + 1)).alias("rep"), F.col(f"_sy{i}").alias("_sy"), F.col(f"_sw{i}").alias("_sw"))
-        for i in range(DRAWS_PER_MD5)]))
-    per = sums.select("decile", reps.alias("r")).select("decile", "r.*").filter(F.col("rep") <= n_boot)
+    rep = d.select("customer_id", "decile", money("_y").alias("_m"), F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
+    rep = rep.withColumn("_w", poisson1_weight(md5_uniform(F.lit(seed), F.col("rep"), F.col("customer_id"))))
+    per = rep.groupBy("decile", "rep").agg(
+        F.sum(F.col("_m") * F.col("_w").cast("decimal(4,0)")).alias("_sy"), F.sum("_w").alias("_sw"))
     per = per.select("decile", "rep",
                      F.when(F.col("_sw") > 0, F.col("_sy").cast("double") / F.col("_sw")).otherwise(0.0)
                      .alias("m"))  # a decile that drew no weight counts as 0

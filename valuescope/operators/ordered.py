@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuescope.functions import qbin
+from valuescope.operators.common import attach_one_row
 
 ROWS_PER_BUCKET = 2_000_000  # target rows per window task
 MAX_BUCKETS = 4096
@@ -48,6 +49,36 @@ def _addend(c: Column, field: T.StructField) -> Column:
     return c.cast(T.DecimalType(min(t.precision, 37), t.scale)) if isinstance(t, T.DecimalType) else c
 
 
+def _splits_type(tie: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField("k", T.DoubleType()), T.StructField("t", tie)]))
+
+
+def _splits(points: list[tuple], buckets: int) -> list[dict]:
+    """Evenly spaced ones of the sampled (key, tie) points, without repeats, in order."""
+    points = sorted(points)
+    cuts = [points[(i * len(points)) // buckets] for i in range(1, buckets)] if points else []
+    return [{"k": k, "t": t} for k, t in dict.fromkeys(cuts)]
+
+
+def _bucket_of(splits: Column, longest: int) -> Column:
+    """Number of ``splits`` (at most ``longest``) up to the row's (_k, _t), by binary search."""
+    steps = max(1, math.ceil(math.log2(longest + 1)) + 1)
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
+        s = F.try_element_at(splits, F.greatest(mid, F.lit(1)))
+        le = (s["k"] < F.col("_k")) | ((s["k"] == F.col("_k")) & (s["t"] <= F.col("_t")))
+        active = acc["lo"] < acc["hi"]
+        le = F.coalesce(le, F.lit(False))
+        return F.struct(
+            F.when(active & le, mid).otherwise(acc["lo"]).alias("lo"),
+            F.when(active & ~le, mid - 1).otherwise(acc["hi"]).alias("hi"),
+        )
+
+    init = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def global_order(
     df: DataFrame,
     key,
@@ -100,46 +131,13 @@ def global_order(
         for r in sample:
             by_g.setdefault(r["_g"], []).append((r["_k"], r["_t"]))
         for gv, pts in by_g.items():
-            pts.sort(key=lambda p: (p[0], p[1]))
-            b = nb[gv]
-            cuts = [pts[(i * len(pts)) // b] for i in range(1, b)]
-            dedup = []
-            for c in cuts:
-                if not dedup or c != dedup[-1]:
-                    dedup.append(c)
-            split_rows.append((gv, [{"k": c[0], "t": c[1]} for c in dedup]))
+            split_rows.append((gv, _splits(pts, nb[gv])))
 
     if split_rows:
-        split_schema = T.StructType(
-            [
-                T.StructField("_sg", g_type),
-                T.StructField(
-                    "_splits",
-                    T.ArrayType(
-                        T.StructType([T.StructField("k", T.DoubleType()), T.StructField("t", t_type)])
-                    ),
-                ),
-            ]
-        )
+        split_schema = T.StructType([T.StructField("_sg", g_type), T.StructField("_splits", _splits_type(t_type))])
         splits = spark.createDataFrame(split_rows, split_schema)
-        max_b = max(len(s) for _, s in split_rows) + 1
-        steps = max(1, math.ceil(math.log2(max_b)) + 1)
         arr = F.coalesce(F.col("_splits"), F.array().cast(split_schema["_splits"].dataType))
-        m = F.size(arr)
-
-        def step(acc, _):
-            mid = F.floor((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
-            s = F.try_element_at(arr, F.greatest(mid, F.lit(1)))
-            le = (s["k"] < F.col("_k")) | ((s["k"] == F.col("_k")) & (s["t"] <= F.col("_t")))
-            active = acc["lo"] < acc["hi"]
-            le = F.coalesce(le, F.lit(False))
-            return F.struct(
-                F.when(active & le, mid).otherwise(acc["lo"]).alias("lo"),
-                F.when(active & ~le, mid - 1).otherwise(acc["hi"]).alias("hi"),
-            )
-
-        init = F.struct(F.lit(0).alias("lo"), m.alias("hi"))
-        bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+        bucket = _bucket_of(arr, max(len(s) for _, s in split_rows))
         d = d.join(F.broadcast(splits), F.col("_g").eqNullSafe(F.col("_sg")), "left")
         d = d.withColumn("_b", bucket).drop("_splits", "_sg")
     else:
@@ -168,6 +166,75 @@ def global_order(
     return out.drop(*drop)
 
 
+def quantile_cuts(df: DataFrame, keys: list, q: int, tie="customer_id", rows_per_bucket: int | None = None) -> DataFrame:
+    """One row of (key, tie) structs ``_c{i}_{b}``: the row that ends bin b (1..q-1) in the order of the i-th key.
+
+    Bin b of n rows ends at rank floor(b (n - 1) / q) + 1. Counts by bucket (at
+    most #keys x MAX_BUCKETS numbers) tell which bucket holds that rank; only
+    those buckets' rows are numbered. All keys go through one pass.
+    """
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    names = [f"_k{i}" for i in range(len(keys))]
+    d = df.select(_col(tie).alias("_t"), *[_col(k).cast("double").alias(n) for k, n in zip(keys, names)])
+    n = d.count()
+    buckets = max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
+    rows = d.select("_t", F.posexplode(F.array(*names)).alias("_i", "_k"))
+    if buckets == 1:
+        rows = rows.withColumn("_b", F.lit(0))
+        counts = {i: {0: n} for i in range(len(keys))}
+    else:
+        sample = d.filter(F.rand(SEED) < min(1.0, SAMPLE_PER_BUCKET * buckets / n)).collect()  # about SAMPLE_PER_BUCKET * buckets
+        split_rows = [(i, _splits([(r[c], r["_t"]) for r in sample], buckets)) for i, c in enumerate(names)]
+        schema = T.StructType([T.StructField("_si", T.IntegerType()), T.StructField("_splits", _splits_type(d.schema["_t"].dataType))])
+        splits = df.sparkSession.createDataFrame(split_rows, schema)  # one row a key
+        rows = rows.join(F.broadcast(splits), F.col("_i") == F.col("_si"))
+        rows = rows.select("_t", "_i", "_k", _bucket_of(F.col("_splits"), buckets).alias("_b"))
+        counts = {i: {} for i in range(len(keys))}
+        for r in rows.groupBy("_i", "_b").agg(F.count(F.lit(1)).alias("n")).collect():
+            counts[r["_i"]][r["_b"]] = r["n"]
+
+    places = {}  # (key, bin) -> (bucket, rank in the bucket)
+    for i, by_bucket in counts.items():
+        for b in range(1, q):
+            rank = b * max(n - 1, 0) // q + 1
+            for bucket in sorted(by_bucket):
+                if rank <= by_bucket[bucket]:
+                    places[i, b] = (bucket, rank)
+                    break
+                rank -= by_bucket[bucket]
+    needed = sorted({(i, bucket) for (i, _), (bucket, _) in places.items()})
+    holds = reduce(lambda a, b: a | b, [(F.col("_i") == i) & (F.col("_b") == b) for i, b in needed], F.lit(False))
+    w = Window.partitionBy("_i", "_b").orderBy("_k", "_t")
+    numbered = rows.filter(holds).withColumn("_r", F.row_number().over(w))
+
+    def end(i: int, b: int) -> Column:
+        bucket, rank = places.get((i, b), (-1, -1))
+        here = (F.col("_i") == i) & (F.col("_b") == bucket) & (F.col("_r") == rank)
+        return F.max(F.when(here, F.struct(F.col("_k").alias("k"), F.col("_t").alias("t")))).alias(f"_c{i}_{b}")
+
+    return numbered.agg(*[end(i, b) for i in range(len(keys)) for b in range(1, q)])
+
+
+def quantile_bins(df: DataFrame, keys: dict, q: int, tie="customer_id", **kw) -> DataFrame:
+    """W1+W2 for several orders at once: ``keys`` maps new columns to the keys whose equal-count bin (1..q) they take.
+
+    Same bins as ``quantile_bin``, but by comparing with q - 1 cut points a key, one
+    broadcast row: ``df`` itself is not numbered or shuffled. Keys must not be NULL;
+    ``tie`` tells rows apart.
+    """
+    cuts = quantile_cuts(df, list(keys.values()), q, tie, **kw)
+    t = _col(tie)
+
+    def bin_of(i: int, key) -> Column:
+        k = _col(key).cast("double")
+        ends = [F.col(f"_c{i}_{b}") for b in range(1, q)]
+        past = [F.coalesce(((k > e["k"]) | ((k == e["k"]) & (t > e["t"]))).cast("int"), F.lit(0)) for e in ends]
+        return reduce(lambda a, b: a + b, past, F.lit(1)).cast("int")
+
+    binned = attach_one_row(df, cuts)  # a global aggregate: 1 row
+    return binned.withColumns({out: bin_of(i, key) for i, (out, key) in enumerate(keys.items())}).drop(*cuts.columns)
+
+
 def quantile_bin(
     df: DataFrame, key, q: int, out: str, tie="customer_id", descending=False, group=None, **kw
 ) -> DataFrame:
@@ -176,11 +243,16 @@ def quantile_bin(
     return o.withColumn(out, qbin("_rn", "_nn", q)).drop("_rn", "_nn")
 
 
+#: Values with over 1 / HOT_SHARE of all rows (so fewer than HOT_SHARE values) take their rank by broadcast.
+HOT_SHARE = 64
+
+
 def average_rank(df: DataFrame, value: str, out: str, group=None, **kw) -> DataFrame:
     """Rank with ties sharing the mean of their positions (1-based).
 
     Ranks distinct values (one row per value, so no hot key in the order),
-    then joins the rank back on the value.
+    then joins the rank back on the value: by broadcast for the few values that
+    hold over 1 / ``HOT_SHARE`` of the rows, by a shuffle for the others.
     """
     gcols = [group] if isinstance(group, str) else []
     dv = df.groupBy(*gcols, value).agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
@@ -188,11 +260,18 @@ def average_rank(df: DataFrame, value: str, out: str, group=None, **kw) -> DataF
         dv, value, tie=value, group=group, sums={"_cum": F.col("_cnt")}, rn="_rn", n=None, **kw
     )
     ranked = ranked.select(
-        *gcols, value, (F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0).alias(out)
+        *gcols, value, "_cnt", (F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0).alias(out)
     )
+    total = dv.agg(F.sum("_cnt").alias("_all"))
+    ranked = ranked.join(F.broadcast(total), how="inner")  # total: 1 row
+    is_hot = F.col("_cnt") * HOT_SHARE > F.col("_all")
+    hot = F.broadcast(ranked.filter(is_hot).alias("r"))  # fewer than HOT_SHARE rows
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in gcols]
     on = reduce(lambda a, b: a & b, same, F.col(f"l.{value}") == F.col(f"r.{value}"))
-    return df.alias("l").join(ranked.alias("r"), on, "inner").select("l.*", f"r.{out}")
+    left = df.alias("l")
+    few = left.join(hot, on, "inner").select("l.*", f"r.{out}")
+    rest = left.join(hot, on, "left_anti").alias("l").join(ranked.filter(~is_hot).alias("r"), on, "inner")
+    return few.unionByName(rest.select("l.*", f"r.{out}"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None,

@@ -6,28 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuescope.functions import money, money_sum, rfm_segment
-from valuescope.operators.ordered import exact_quantiles, quantile_bin
+from valuescope.operators.ordered import exact_quantiles, quantile_bins
 from valuescope.schemas import require_columns
 
 # Recency band labels, most recent first.
 RECENCY_BANDS = ["very_recent", "recent", "mid", "old", "very_old"]
 
 
-def quartile_score(df: DataFrame, value: str, out: str, ascending: bool = True, n: int = 4) -> DataFrame:
-    """Equal-count score 1..n of ``value`` (rank ties by customer_id);
-    ``ascending=False`` flips so that small values score high."""
-    b = quantile_bin(df, value, n, "_bin")
-    s = F.col("_bin") if ascending else (F.lit(n + 1) - F.col("_bin"))
-    return b.withColumn(out, F.least(F.greatest(s, F.lit(1)), F.lit(n)).cast("int")).drop("_bin")
+def quantile_scores(df: DataFrame, values: dict[str, str], descending=(), n: int = 4) -> DataFrame:
+    """Equal-count scores 1..n (rank ties by customer_id); ``values`` maps new columns
+    to values, and those in ``descending`` are flipped so that small values score high."""
+    b = quantile_bins(df, values, n)
+    return b.withColumns({out: (F.lit(n + 1) - F.col(out)).cast("int") for out in descending})
 
 
 def rfm_scores(features: DataFrame) -> DataFrame:
-    """R (recent = 4), F, M quartile scores and their sum."""
+    """R (recent = 4), F, M quartile scores from one pass, and their sum."""
     require_columns(features, ["customer_id", "recency_days", "n_invoices", "total_revenue"], "features")
     df = features.select("customer_id", "recency_days", "n_invoices", "total_revenue")
-    df = quartile_score(df, "recency_days", "R", ascending=False)
-    df = quartile_score(df, "n_invoices", "F")
-    df = quartile_score(df, "total_revenue", "M")
+    df = quantile_scores(df, {"R": "recency_days", "F": "n_invoices", "M": "total_revenue"}, descending=["R"])
     return df.withColumn("rfm_score", (F.col("R") + F.col("F") + F.col("M")).cast("int"))
 
 
@@ -83,7 +80,7 @@ def segment_summary(seg: DataFrame) -> DataFrame:
 
 def recency_band_profile(features: DataFrame) -> DataFrame:
     """Five equal-count recency bands with average value metrics."""
-    b = quantile_bin(features, "recency_days", 5, "_band")
+    b = quantile_bins(features, {"_band": "recency_days"}, 5)
     g = b.groupBy("_band").agg(
         F.count_distinct("customer_id").alias("customers"),
         F.sum(money("total_revenue")).alias("_rev"),

@@ -303,8 +303,7 @@ def q_clv_spearman(spark, sf_dir):
 
 
 _POIS = " ".join(f"WHEN u < {dbl(c)} THEN {k}" for k, c in enumerate(POISSON1_CDF))
-_MD5U = ("CAST(('0x' || substr(md5(concat_ws('|', {seed}, (rep - 1) // 4, customer_id)), 8 * ((rep - 1) % 4) + 1, 8)) AS BIGINT)"
-         " / CAST('4294967296.0' AS DOUBLE)")
+_MD5U = "CAST(('0x' || substr(md5(concat_ws('|', {seed}, rep, customer_id)), 1, 8)) AS BIGINT) / CAST('4294967296.0' AS DOUBLE)"
 
 
 @register(
@@ -333,7 +332,7 @@ FROM g CROSS JOIN om LEFT JOIN ci ON g.decile = ci.decile""",
     "W15 W1 W2 J9 B12",
 )
 def q_clv_decile_lift(spark, sf_dir):
-    bins = materialize(metrics.binned(eval_frame(spark, sf_dir)))
+    bins = metrics.binned(eval_frame(spark, sf_dir))
     ci = metrics.bootstrap_decile_ci(bins, n_boot=P.n_bootstrap, ci_level=P.ci_level, seed=P.seed)
     return metrics.decile_lift(bins, ci=ci)
 
