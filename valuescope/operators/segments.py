@@ -78,6 +78,14 @@ def segment_summary(seg: DataFrame) -> DataFrame:
     )
 
 
+def clv_risk_points(seg: DataFrame) -> DataFrame:
+    """One point per customer with both scores (churn probability by CLV, told by segment), with the overall median CLV."""
+    med = exact_quantiles(seg, "clv_score", [0.5], prefix="_med")
+    points = seg.filter(F.col("clv_score").isNotNull() & F.col("churn_probability").isNotNull())
+    return points.join(F.broadcast(med), how="inner").select(  # med: 1 row
+        "customer_id", "segment", "churn_probability", "clv_score", F.col("_med50").alias("median_clv"))
+
+
 def recency_band_profile(features: DataFrame) -> DataFrame:
     """Five equal-count recency bands with average value metrics."""
     b = quantile_bins(features, {"_band": "recency_days"}, 5)

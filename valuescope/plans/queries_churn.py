@@ -211,3 +211,47 @@ def churn_model_comparison(spark, sf_dir):
     dominate its run time on small inputs)."""
     comp, _ = CH.compare_models(snapshot(spark, sf_dir), P.n_folds, P.seed)
     return comp
+
+
+# ---------------------------------------------------------------- M16-M18 under fixed coefficients
+#: Coefficients of the standardised features, in the order of FEATURE_COLUMNS.
+FIXED_COEF = [0.9, -0.2, -0.8, -0.3, 0.1, -0.25, -0.4, 0.05]
+
+
+def fixed_attributions(spark, sf_dir):
+    snap = materialize(snapshot(spark, sf_dir))
+    scaled = CH.preprocess(snap, CH.collect_stats(CH.feature_stats(snap)))
+    return CH.linear_attributions(scaled, FIXED_COEF)
+
+
+_Z = ", ".join(
+    f"(CAST({c} AS DOUBLE) - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 THEN stddev_pop({c}) OVER () ELSE 1.0 END AS {c}"
+    for c in FEATURE_COLUMNS)
+_Z_SQL = BASE_SQL + f", z AS (SELECT customer_id, {_Z} FROM snap)\n"
+
+
+@register(
+    "churn_attributions_fixed",
+    _Z_SQL + "SELECT customer_id, " + ", ".join(
+        f"round({dbl(b)} * {c}, 6) AS attr_{c}" for c, b in zip(FEATURE_COLUMNS, FIXED_COEF)) + " FROM z",
+    "M2 M3 M17",
+)
+def q_churn_attributions_fixed(spark, sf_dir):
+    return fixed_attributions(spark, sf_dir).select("customer_id", *[F.round(f"attr_{c}", 6).alias(f"attr_{c}") for c in FEATURE_COLUMNS])
+
+
+@register(
+    "churn_importance_fixed",
+    _Z_SQL + ", lg AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS x, {dbl(b)} * {c} AS a, {dbl(b)} AS b FROM z" for c, b in zip(FEATURE_COLUMNS, FIXED_COEF))
+    + """)
+SELECT feature, b AS coefficient, abs(b) AS abs_coefficient, CASE WHEN b > 0 THEN 'increases_churn' ELSE 'decreases_churn' END AS coefficient_direction,
+  round(avg(abs(a)), 6) AS importance_score, CASE WHEN corr(x, a) > 0 THEN 'increases_churn' ELSE 'decreases_churn' END AS direction
+FROM lg GROUP BY feature, b""",
+    "M16 M18",
+)
+def q_churn_importance_fixed(spark, sf_dir):
+    by_coef = CH.coefficient_importance(spark, FIXED_COEF).withColumnRenamed("direction", "coefficient_direction")
+    by_attr = CH.attribution_importance(fixed_attributions(spark, sf_dir))
+    return by_coef.join(by_attr, "feature").select(
+        "feature", "coefficient", "abs_coefficient", "coefficient_direction", F.round("importance_score", 6).alias("importance_score"), "direction")

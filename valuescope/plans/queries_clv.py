@@ -344,3 +344,24 @@ def q_clv_scores(spark, sf_dir):
     gg, _ = spend.fit_gamma_gamma(inv, P.cutoff, P.penalizer_gg)
     return spend.score_clv(inv, summary, bg, gg, P.cutoff, hend, P.clv_horizon_days, P.discount_rate_annual,
                            penalizer_bgnbd=P.penalizer_bgnbd, penalizer_gg=P.penalizer_gg)
+
+
+@register(
+    "gg_loglik_fixed",
+    S.with_(S.txn_cte("orders"), S.INVOICES)
+    + f""", mon AS (
+  SELECT customer_id, CAST(count(DISTINCT invoice) AS DOUBLE) AS x, {S.money_sum('revenue')} / count(*) AS m
+  FROM inv WHERE invoice_dt < {C} GROUP BY customer_id HAVING count(DISTINCT invoice) > 1
+),
+ll AS (
+  SELECT lgamma({dbl(GG.p)} * x + {dbl(GG.q)}) - lgamma({dbl(GG.p)} * x) - lgamma({dbl(GG.q)}) + {dbl(GG.q)} * ln({dbl(GG.v)})
+    + ({dbl(GG.p)} * x - 1.0) * ln(m) + {dbl(GG.p)} * x * ln(x) - ({dbl(GG.p)} * x + {dbl(GG.q)}) * ln(x * m + {dbl(GG.v)}) AS l
+  FROM mon
+)
+SELECT CAST(count(*) AS BIGINT) AS customers, round(sum(l), 4) AS loglik, round(avg(l), 8) AS mean_loglik FROM ll""",
+    "C3",
+)
+def q_gg_loglik_fixed(spark, sf_dir):
+    inv = materialize(FE.invoices(txn_orders(spark, sf_dir)))
+    ll = spend.loglik_gamma_gamma(spend.monetary_summary(inv, P.cutoff), GG)
+    return ll.select("customers", F.round("loglik", 4).alias("loglik"), F.round("mean_loglik", 8).alias("mean_loglik"))

@@ -206,6 +206,15 @@ def q_revenue_histogram_log10(spark, sf_dir):
     return C.histogram(feats(spark, sf_dir), "total_revenue", 50, log10=True, lower_clip=1.0)
 
 
+@register(
+    "revenue_histogram_p99",
+    _hist_sql("least(total_revenue, (SELECT quantile_cont(total_revenue, 0.99) FROM features))", 60),
+    "A22",
+)
+def q_revenue_histogram_p99(spark, sf_dir):
+    return C.histogram(feats(spark, sf_dir), "total_revenue", 60, upper_quantile=0.99)
+
+
 @register("recency_histogram", _hist_sql("CAST(recency_days AS DOUBLE)", 30), "A22")
 def q_recency_histogram(spark, sf_dir):
     return C.histogram(feats(spark, sf_dir), "recency_days", 30)

@@ -62,3 +62,14 @@ FROM seg CROSS JOIN tot GROUP BY segment""",
 )
 def q_segment_summary(spark, sf_dir):
     return SG.segment_summary(scored_segments(spark, sf_dir))
+
+
+@register(
+    "segment_points",
+    SEG_SQL + """SELECT customer_id, segment, churn_probability, clv_score,
+  round((SELECT quantile_cont(clv_score, 0.5) FROM seg), 6) AS median_clv
+FROM seg WHERE clv_score IS NOT NULL AND churn_probability IS NOT NULL""",
+    "G2",
+)
+def q_segment_points(spark, sf_dir):
+    return SG.clv_risk_points(scored_segments(spark, sf_dir)).withColumn("median_clv", F.round("median_clv", 6))
