@@ -92,7 +92,10 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
     ``df`` may be binned already.
     """
     d = binned(df, score, actual, q)
-    rep = d.select("customer_id", "decile", money("_y").alias("_m"), F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
+    # each row makes n_boot digests, so small inputs are spread over as many tasks as shuffles have
+    d = d.select("customer_id", "decile", money("_y").alias("_m"))
+    d = d.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id")
+    rep = d.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
     rep = rep.withColumn("_w", poisson1_weight(md5_uniform(F.lit(seed), F.col("rep"), F.col("customer_id"))))
     per = rep.groupBy("decile", "rep").agg(
         F.sum(F.col("_m") * F.col("_w").cast("decimal(4,0)")).alias("_sy"), F.sum("_w").alias("_sw"))

@@ -243,7 +243,7 @@ def quantile_bin(
     return o.withColumn(out, qbin("_rn", "_nn", q)).drop("_rn", "_nn")
 
 
-#: Values with over 1 / HOT_SHARE of all rows (so fewer than HOT_SHARE values) take their rank by broadcast.
+#: Values with over 1 / HOT_SHARE of all rows (so fewer than HOT_SHARE values) are joined in that many parts.
 HOT_SHARE = 64
 
 
@@ -251,27 +251,33 @@ def average_rank(df: DataFrame, value: str, out: str, group=None, **kw) -> DataF
     """Rank with ties sharing the mean of their positions (1-based).
 
     Ranks distinct values (one row per value, so no hot key in the order),
-    then joins the rank back on the value: by broadcast for the few values that
-    hold over 1 / ``HOT_SHARE`` of the rows, by a shuffle for the others.
+    then joins the rank back on the value. Rows of a value that holds over
+    1 / ``HOT_SHARE`` of them are spread by a hash of the row, and its rank is
+    repeated for each part, so no task takes them all.
     """
     gcols = [group] if isinstance(group, str) else []
     dv = df.groupBy(*gcols, value).agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
+    by_value = dv.groupBy(value).agg(F.sum("_cnt").alias("_cnt"))
+    total = dv.agg(F.sum("_cnt").alias("_all"))
+    is_hot = F.col(value).isNotNull() & (F.col("_cnt") * HOT_SHARE > F.col("_all"))
+    hot = [r[0] for r in attach_one_row(by_value, total).filter(is_hot).select(value).collect()]  # fewer than HOT_SHARE
+
     ranked = global_order(
         dv, value, tie=value, group=group, sums={"_cum": F.col("_cnt")}, rn="_rn", n=None, **kw
     )
     ranked = ranked.select(
-        *gcols, value, "_cnt", (F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0).alias(out)
+        *gcols, value, (F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0).alias(out)
     )
-    total = dv.agg(F.sum("_cnt").alias("_all"))
-    ranked = ranked.join(F.broadcast(total), how="inner")  # total: 1 row
-    is_hot = F.col("_cnt") * HOT_SHARE > F.col("_all")
-    hot = F.broadcast(ranked.filter(is_hot).alias("r"))  # fewer than HOT_SHARE rows
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in gcols]
-    on = reduce(lambda a, b: a & b, same, F.col(f"l.{value}") == F.col(f"r.{value}"))
     left = df.alias("l")
-    few = left.join(hot, on, "inner").select("l.*", f"r.{out}")
-    rest = left.join(hot, on, "left_anti").alias("l").join(ranked.filter(~is_hot).alias("r"), on, "inner")
-    return few.unionByName(rest.select("l.*", f"r.{out}"))
+    if hot:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(HOT_SHARE)).cast("int")
+        left = df.withColumn("_part", F.when(F.col(value).isin(hot), part).otherwise(F.lit(0))).alias("l")
+        parts = F.when(F.col(value).isin(hot), F.sequence(F.lit(0), F.lit(HOT_SHARE - 1))).otherwise(F.array(F.lit(0)))
+        ranked = ranked.withColumn("_part", F.explode(parts))
+        same.append(F.col("l._part") == F.col("r._part"))
+    on = reduce(lambda a, b: a & b, same, F.col(f"l.{value}") == F.col(f"r.{value}"))
+    return left.join(ranked.alias("r"), on, "inner").select(*[F.col(f"l.`{c}`") for c in df.columns], f"r.{out}")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None,
