@@ -315,20 +315,19 @@ def texts_of(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str, tex
     return near
 
 
-def own_shingles(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def own_shingles(texts: DataFrame) -> DataFrame:
     """class, own: how many shingles of a class no other text of ``texts`` has."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                ids = batch.column(0).slice(at, 256).to_pylist()
-                sets = list(sets_of(batch.column(1).slice(at, 256)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat([-1 if i is None else i for i in ids], [len(s) for s in sets]))], names=["token", "doc_id"])
+                sets = [s for s in sets_of(batch.column(0).slice(at, 256)) if len(s)]
+                if sets:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(np.array([_class_of(s)[0] for s in sets], np.int64), [len(s) for s in sets]))], names=["token", "class"])
 
-    tokens = texts.mapInArrow(run, "token bigint, doc_id bigint")
-    # a text that comes twice only makes the number smaller, and the bound weaker
-    alone = tokens.groupBy("token").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times")).filter("times = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
-    return alone.join(classes.select("class", F.coalesce("least_id", F.lit(-1)).alias("doc_id")), "doc_id").select("class", "own")
+    tokens = texts.select("text").mapInArrow(run, "token bigint, class bigint")
+    # a text that comes twice only makes its class's number smaller, and the bound weaker
+    return tokens.groupBy("token").agg(F.min("class").alias("class"), F.count("*").alias("times")).filter("times = 1").groupBy("class").agg(F.count("*").alias("own"))
 
 
 def _overlap(nx: Column, ny: Column) -> Column:
@@ -452,7 +451,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     useful = shared.groupBy("signature").agg(F.max("short").alias("any"), F.min(F.when(F.col("short"), F.col("n"))).alias("least"))
     useful = useful.filter("any").select("signature", "least")
     shared = materialise(shared.join(useful, "signature").filter(F.col("n") >= F.col("least")).drop("least"), "signatures")
-    own = own_shingles(texts_of(shared.select("class").distinct(), classes, docs, key, text), classes)
+    own = own_shingles(texts_of(shared.select("class").distinct(), classes, docs, key, text))
     rows = shared.join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     # a class that has too many shingles of its own for any partner leaves
     rows = materialise(rows.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * PERCENT), "groups")
