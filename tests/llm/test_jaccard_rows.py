@@ -1,5 +1,7 @@
 """Near duplicates of rows that repeat an id or have none, against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -39,3 +41,22 @@ def test_own_shingles_are_a_class_s(spark, a, b):
     rows = [(a, text(1, 104)), (b, text(2, 104)), (7, text(1, 104, changed=(50,)))]
     rows += [(k, text(k, 104)) for k in (11, 12)]
     assert found(spark, rows, ["doc_id", "n_shingles", "component_id"]) == sorted([r[:3] for r in brute_force(rows)], key=str)
+
+
+def kept(spark, rows):
+    return Counter((r[0], r[1]) for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+
+
+def test_rows_without_an_id_are_judged_by_their_own_text(spark):
+    a, b, c = text(1), text(2), text(3)
+    assert kept(spark, [(None, a), (None, b)]) == Counter([(None, a), (None, b)])
+    # a near copy of a numbered text goes, unrelated ones stay, and one of exact copies does
+    near = text(3, changed=(60,))
+    got = kept(spark, [(None, a), (None, b), (None, b), (None, near), (7, c), (None, None), (None, " ")])
+    assert got == Counter([(None, a), (None, b), (7, c), (None, None), (None, " ")])
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark):
+    a, b = text(1), text(2)
+    rows = [(5, a), (5, b), (9, text(1, changed=(50,))), (3, text(2, changed=(50,)))]
+    assert kept(spark, rows) == Counter([(5, a), (3, rows[3][1])])

@@ -52,6 +52,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from valuescope.llm.common import materialise
 
@@ -438,8 +439,8 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select("lo", "lo").distinct())
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (linked classes of the row's class) of each row."""
+def class_components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Of each row: doc_id, n, class. Of each class: class, least_id, root (the component's least class), component_id, n_links."""
     seen = materialise(scan(docs, key, text), "scan")
     nodes = seen.filter("n is not null").select("doc_id", "n", "class", "check")
     same = F.when(F.min("check") == F.max("check"), F.max("n")).otherwise(F.raise_error(F.lit("two sets have the same 64-bit hash")))
@@ -477,28 +478,54 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     degree = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
     placed = classes.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     names = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = materialise(placed.join(names, "root").join(degree, "class", "left").select("class", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "components")
+    of_class = materialise(placed.join(names, "root").join(degree, "class", "left").select("class", "least_id", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "components")
+    return nodes.select("doc_id", "n", "class"), of_class
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (linked classes of the row's class) of each row."""
+    nodes, of_class = class_components(docs, key, text)
     some = nodes.filter("n > 0").join(of_class, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
     none = nodes.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
     return some.union(none)
 
 
+def with_class(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` and the class of each text as ``_class``; null for an empty set."""
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                cls = [_class_of(s)[0] if len(s) else None for s in sets_of(batch.column(names.index(text)))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, pa.int64())], names=[*names, "_class"])
+
+    names = docs.columns
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_class", LongType())]))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does, the one with the least id; all columns.
+    """The rows of ``docs`` that stay when one row of each component does, that of the least (id, class); all columns.
 
-    Rows without an id stay only if their component has none; of rows that repeat an id one stays.
+    Each row is judged by its own text, also when its id is null (null ids come last) or repeated. Of rows
+    that repeat both, one stays. Texts with an empty set link with nothing, so all of their rows stay.
     Most texts are told by a part of their id that no removed id has, and needn't be shuffled.
     """
-    found = materialise(jaccard_components(docs, key, text), "deduplicated")
-    counts = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("least"))
-    touched = materialise(counts.filter("rows > 1 or not (doc_id <=> least)"), "touched")
-    part = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(PICKED_PARTS))
-    rows = docs.withColumn("_part", part).withColumn("_key", F.col(key).cast("bigint"))
-    parts = F.broadcast(touched.select(part.alias("_part") if key == "doc_id" else F.pmod(F.xxhash64("doc_id"), F.lit(PICKED_PARTS)).alias("_part")).distinct())
+    nodes, of_class = class_components(docs, key, text)
+    first = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id"), F.col("class"))).alias("k")
+    keepers = materialise(of_class.groupBy("root").agg(first).select(F.col("k.least_id").alias("_id"), F.col("k.class").alias("_of")), "keepers")
+    stays = (F.col("n") == 0) | (F.col("_of").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_id")))
+    counts = nodes.join(keepers, F.col("class") == F.col("_of"), "left").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min(stays).alias("_stays"))
+    touched = materialise(counts.filter("_rows > 1 or not _stays"), "touched")
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(PICKED_PARTS)).alias("_part")
+    rows = docs.withColumn("_key", F.col(key).cast("bigint")).withColumn("_part", part("_key"))
+    parts = F.broadcast(touched.select(part("doc_id")).distinct())
     clear = rows.join(parts, "_part", "left_anti").drop("_part", "_key")
-    near = rows.join(parts, "_part", "left_semi")
-    table = touched.select(F.col("doc_id").alias("_id"), "rows", "least")
-    near = near.join(table, F.col("_key").eqNullSafe(F.col("_id")), "left")
-    single = near.filter("rows is null").select(*docs.columns)
-    repeated = near.filter("rows is not null and _key <=> least").dropDuplicates(["_key"]).select(*docs.columns)
-    return clear.union(single).union(repeated)
+    near = rows.join(parts, "_part", "left_semi").drop("_part")
+    table = touched.select(F.col("doc_id").alias("_touched"), "_rows")
+    near = near.join(table, F.col("_key").eqNullSafe(F.col("_touched")), "left").drop("_touched")
+    single = near.filter("_rows is null").select(*docs.columns)
+    repeated = with_class(near.filter("_rows > 1").drop("_rows"), text)
+    empty = repeated.filter("_class is null").select(*docs.columns)
+    chosen = repeated.join(keepers, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_of")), "left_semi")
+    return clear.union(single).union(empty).union(chosen.dropDuplicates(["_key", "_class"]).select(*docs.columns))
