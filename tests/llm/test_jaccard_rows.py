@@ -60,3 +60,15 @@ def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark):
     a, b = text(1), text(2)
     rows = [(5, a), (5, b), (9, text(1, changed=(50,))), (3, text(2, changed=(50,)))]
     assert kept(spark, rows) == Counter([(5, a), (3, rows[3][1])])
+
+
+@pytest.mark.parametrize("block", [256, 4])
+def test_links_are_counted_in_full(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    # chains and groups of near copies, an exact copy, a pair and a single
+    rows = [(k, text(1, changed=range(10 * (k % 3), 10 * (k % 3) + 1 + k // 3))) for k in range(12)]
+    rows += [(20, text(1)), (21, rows[0][1]), (22, text(2)), (23, text(2, changed=(60,))), (24, text(3))]
+    rows += [(30 + k, text(4, changed=range(60, 60 + 4 * k))) for k in range(8)]
+    want = brute_force(rows)
+    assert {r[3] for r in want} >= {0, 1, 2, 3}
+    assert found(spark, rows, ["doc_id", "n_shingles", "component_id", "n_links"]) == want

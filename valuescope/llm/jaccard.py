@@ -30,7 +30,8 @@ whatever it holds, no link is lost.
 Signatures shared by two classes or more are kept. In each group one class, the
 one with the fewest shingles of its own, is compared with all others (a star);
 linked classes are merged, and then only pairs of a group that are still in
-different components are compared, all of them. Shingles that no other candidate
+different components are compared, all of them. Linked classes share a component,
+so their links are counted by comparing all pairs of each. Shingles that no other candidate
 has can't be common to a pair: their number bounds every overlap, which spares
 noisy copies most comparisons. Every comparison counts the whole sets.
 
@@ -365,6 +366,20 @@ def sets_by_class(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str
     return near.select("text").mapInArrow(sets, "class bigint, tokens binary").dropDuplicates(["class"])
 
 
+def _linked(sets: list[np.ndarray], asks, there: np.ndarray):
+    """For each number in ``asks``: it, and those of ``there`` whose sets are alike enough (itself, where it is there)."""
+    size = np.array([len(sets[i]) for i in there])
+    token, owner = np.concatenate([sets[i] for i in there]), np.repeat(np.arange(len(there)), size)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    for i in asks:
+        first, last = np.searchsorted(token, sets[i], "left"), np.searchsorted(token, sets[i], "right")
+        n = last - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(there))
+        yield i, there[100 * common >= PERCENT * (len(sets[i]) + size - common)]
+
+
 def verify_blocks(mixed: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """a, b of the links between classes of different roots that meet in a group.
 
@@ -389,16 +404,8 @@ def verify_blocks(mixed: DataFrame, classes: DataFrame, docs: DataFrame, key: st
         there = np.flatnonzero(~asks)
         a, b = [], []
         if len(there) and asks.any():
-            size = np.array([len(sets[i]) for i in there])
-            token, owner = np.concatenate([sets[i] for i in there]), np.repeat(np.arange(len(there)), size)
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-            for i in np.flatnonzero(asks):
-                first, last = np.searchsorted(token, sets[i], "left"), np.searchsorted(token, sets[i], "right")
-                n = last - first
-                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-                common = np.bincount(owner[at], minlength=len(there))
-                hit = there[(100 * common >= PERCENT * (len(sets[i]) + size - common)) & (root[there] != root[i])]
+            for i, near in _linked(sets, np.flatnonzero(asks), there):
+                hit = near[root[near] != root[i]]
                 a += [cls[i]] * len(hit)
                 b += cls[hit].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -406,6 +413,38 @@ def verify_blocks(mixed: DataFrame, classes: DataFrame, docs: DataFrame, key: st
     return placed.join(whole, "class").groupBy("main", "xb", "yb").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def count_links(placed: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """class, n_links of the classes whose component (``root``) has others.
+
+    Two that are a component are linked. In larger ones all pairs are compared,
+    block by block: a task holds about ``BLOCK`` classes of either side and
+    returns a number a class, and each pair of blocks meets once.
+    """
+    counts = placed.groupBy("root").agg(F.count("*").alias("all")).filter("all > 1")
+    members = placed.select("class", "root").join(counts, "root")
+    more = materialise(members.filter("all > 2").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int")), "members")
+    cells = more.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("class", "root", "own", F.least("own", "other").alias("xb"), F.greatest("own", "other").alias("yb"))
+    whole = sets_by_class(more.select("class"), classes, docs, key, text)
+
+    def compare(table):
+        cls, own, xb, yb = (table.column(c).to_numpy() for c in ("class", "own", "xb", "yb"))
+        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("tokens")]
+        n = np.zeros(len(sets), np.int64)
+        asks, there = np.flatnonzero(own == xb), np.flatnonzero(own == yb)
+        if len(asks) and len(there):
+            for i, near in _linked(sets, asks, there):
+                if xb[i] == yb[i]:
+                    n[i] = len(near) - 1  # all but itself
+                else:
+                    n[i] = len(near)
+                    n[near] += 1
+        return pa.table({"class": pa.array(cls), "n": pa.array(n)})
+
+    many = cells.join(whole, "class").groupBy("root", "xb", "yb").applyInArrow(compare, "class bigint, n bigint").groupBy("class").agg(F.sum("n").alias("n_links"))
+    return many.union(members.filter("all = 2").select("class", F.lit(1).cast("bigint")))
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """a, b of the pairs whose whole sets are alike enough. Where a class has many partners, it had better be ``a``."""
     whole = sets_by_class(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), classes, docs, key, text)
@@ -475,8 +514,8 @@ def class_components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, D
     links = materialise(links.union(verify_blocks(mixed, classes, docs, key, text)), "verified")
 
     root = components(links)
-    degree = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
-    placed = classes.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    placed = materialise(classes.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "placed")
+    degree = count_links(placed, classes, docs, key, text)
     names = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = materialise(placed.join(names, "root").join(degree, "class", "left").select("class", "least_id", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "components")
     return nodes.select("doc_id", "n", "class"), of_class
