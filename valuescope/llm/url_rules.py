@@ -3,8 +3,8 @@
 A URL becomes a set of tokens: its scheme, the suffixes and labels of its host,
 its path segments (numbers as one class), file ending, query keys and whether a
 fragment stands. Spark's FP-growth mines frequent sets of tokens together with
-the label of the page; rules "tokens -> block" are kept when their support and
-confidence suffice and no kept rule with fewer tokens is at least as confident.
+the label of the page; all rules "tokens -> block" are kept whose support and
+confidence suffice, unless a rule of some of their tokens is at least as confident.
 Rules match through an inverted index: a rule stands under its rarest token,
 and a URL that has that token is checked for the others.
 
@@ -25,8 +25,12 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Least share and least number of the labelled pages that a rule's tokens and label occur in, least confidence, most tokens of a rule, most rules.
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE, MAX_TOKENS, MAX_RULES = 0.001, 10, 0.5, 4, 10_000
+from valuescope.llm.common import materialise
+
+#: Least share and least number of the labelled pages that a rule's tokens and label occur in, least confidence.
+MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE = 0.001, 10, 0.5
+#: Up to so many rules the index is broadcast; more are joined by a shuffle.
+BROADCAST_RULES = 10_000
 BLOCK, ALLOW = "block", "allow"
 _LABEL = "label="
 
@@ -67,7 +71,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     ), lambda x: x.isNotNull()))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS, max_rules: int = MAX_RULES) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """rule_id, tokens, support, confidence from rows of (tokens, label of block or allow)."""
     spark = labelled.sparkSession
     empty = spark.createDataFrame([], "rule_id string, tokens array<string>, support double, confidence double")
@@ -75,34 +79,44 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     if not n:
         return empty
     items = labelled.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("label"))).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_PAGES / n)), minConfidence=min_confidence).fit(items).freqItemsets
+    sets = materialise(FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_PAGES / n)), minConfidence=min_confidence).fit(items).freqItemsets, "item-sets")
     block = _LABEL + BLOCK
-    marked = sets.filter(F.array_contains("items", block)).select(F.array_sort(F.array_remove("items", block)).alias("tokens"), F.col("freq").alias("hits")).filter((F.size("tokens") >= 1) & (F.size("tokens") <= max_tokens))
+    marked = sets.filter(F.array_contains("items", block)).select(F.array_sort(F.array_remove("items", block)).alias("tokens"), F.col("freq").alias("hits")).filter(F.size("tokens") >= 1)
     plain = sets.filter(~F.exists("items", lambda x: F.startswith(x, F.lit(_LABEL)))).select(F.array_sort("items").alias("tokens"), "freq")
-    rules = marked.join(plain, "tokens").select(F.array_join("tokens", " ").alias("rule_id"), "tokens", (F.col("hits") / n).alias("support"), (F.col("hits") / F.col("freq")).alias("confidence")).filter(F.col("confidence") >= min_confidence)
-    kept: list = []
-    for r in sorted(rules.orderBy(F.desc("confidence"), F.desc("support"), "rule_id").limit(max_rules).collect(), key=lambda r: (len(r["tokens"]), r["rule_id"])):
-        if not any(set(k["tokens"]) < set(r["tokens"]) and k["confidence"] >= r["confidence"] for k in kept):
-            kept.append(r)
-    return spark.createDataFrame(kept, empty.schema) if kept else empty
+    scored = marked.join(plain, "tokens").select("tokens", F.size("tokens").alias("size"), (F.col("hits") / n).alias("support"), (F.col("hits") / F.col("freq")).alias("confidence"))
+    scored = materialise(scored, "scored-sets")
+    # size by size: ``below`` is the largest confidence of any proper subset, all of which are frequent too
+    rules, smaller = empty, None
+    for size in range(1, (scored.agg(F.max("size")).first()[0] or 0) + 1):
+        level = scored.filter(F.col("size") == size)
+        if smaller is None:
+            level = level.withColumn("below", F.lit(0.0))
+        else:
+            parts = level.select("tokens", F.explode("tokens").alias("_out")).select("tokens", F.array_remove("tokens", F.col("_out")).alias("_part"))
+            below = parts.join(smaller, "_part").groupBy("tokens").agg(F.max("most").alias("below"))
+            level = level.join(below, "tokens")
+        level = materialise(level, "rule-level")
+        smaller = level.select(F.col("tokens").alias("_part"), F.greatest("confidence", "below").alias("most"))
+        rules = rules.union(level.filter((F.col("confidence") >= min_confidence) & (F.col("confidence") > F.col("below"))).select(F.array_join("tokens", " ").alias("rule_id"), "tokens", "support", "confidence"))
+    return materialise(rules, "rules")
 
 
 def judge(urls: DataFrame, tokens: str, rules: DataFrame) -> DataFrame:
     """``urls`` without ``tokens``, plus rule_id, support, confidence of the best mined rule that matches (else null).
 
-    ``rules`` has at most ``MAX_RULES`` rows (its miner cuts there), which bounds what is broadcast.
+    The index of at most ``BROADCAST_RULES`` rules is broadcast; a larger one and the urls' tokens are shuffled by token.
     """
     keep = [c for c in urls.columns if c != tokens]
     found = F.struct(F.col("_i.confidence").alias("confidence"), F.col("_i.support").alias("support"), F.col("_i.rule_id").alias("rule_id"))
-    frequency = {r["token"]: r["count"] for r in rules.select(F.explode("tokens").alias("token")).groupBy("token").count().collect()}
-    if not frequency:
+    number = rules.count()
+    if not number:
         return urls.select(*keep, F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("double").alias("support"), F.lit(None).cast("double").alias("confidence"))
     # the index: each rule under the token that the fewest rules have
-    count = F.create_map(*[F.lit(x) for pair in frequency.items() for x in pair])
-    rarest = F.array_min(F.transform("tokens", lambda t: F.struct(count[t].alias("n"), t.alias("token"))))["token"]
-    index = rules.select(rarest.alias("_token"), F.struct(F.col("tokens").alias("needed"), "rule_id", "support", "confidence").alias("_i"))
+    each = rules.select("rule_id", F.explode("tokens").alias("_token"))
+    rarest = each.join(each.groupBy("_token").agg(F.count("*").alias("_n")), "_token").groupBy("rule_id").agg(F.min(F.struct("_n", "_token"))["_token"].alias("_token"))
+    index = rules.join(rarest, "rule_id").select("_token", F.struct(F.col("tokens").alias("needed"), "rule_id", "support", "confidence").alias("_i"))
     posted = urls.withColumn("_row", F.monotonically_increasing_id()).withColumn("_token", F.explode_outer(tokens))
-    hits = posted.join(F.broadcast(index), "_token", "left")
+    hits = posted.join(F.broadcast(index) if number <= BROADCAST_RULES else index, "_token", "left")
     match = F.when(F.size(F.array_except("_i.needed", tokens)) == 0, found)
     best = hits.groupBy("_row", *keep).agg(F.max(match).alias("_b"))
     return best.select(*keep, "_b.rule_id", "_b.support", "_b.confidence")
