@@ -21,8 +21,10 @@ two thirds of its words.
 Passages are windows of twice the longest item's words, one item length apart,
 so each run of words as long as an item lies whole in one.
 
-The index is broadcast in shards of at most ``SHARD_ITEMS`` items and
-``SHARD_WORDS`` words; a larger benchmark takes one pass over the texts a shard.
+The index is broadcast in shards of about ``SHARD_ITEMS`` items and ``SHARD_WORDS``
+words; a larger benchmark takes one pass over the texts a shard. Number of items,
+document frequencies, mean and longest length are those of the whole benchmark,
+so rows don't depend on the shards.
 
 Defined cases: null texts and null items have no words; items of fewer than
 ``MIN_ITEM_WORDS`` words prove nothing and match nothing; equal items all
@@ -32,14 +34,19 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import fsum, log1p
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from valuescope.llm.common import let_workers_import, materialise
+
 K1, B = 1.2, 0.75
 THRESHOLD, QUESTION_OVERLAP, ANSWER_OVERLAP, NGRAM = 0.6, 0.6, 0.5, 3
 MIN_ITEM_WORDS, RANGE_ITEMS = 5, 8
@@ -75,8 +82,16 @@ class Index:
     grams: dict = field(default_factory=dict)
 
 
-def build_index(rows: list[tuple[int, str]]) -> Index | None:
-    """Index of (item_id, text)."""
+@dataclass
+class Corpus:
+    n: int
+    mean: float
+    longest: int
+    df: dict[str, int]  # of the words of the items at hand
+
+
+def build_index(rows: list[tuple[int, str]], corpus: Corpus | None = None) -> Index | None:
+    """Index of (item_id, text); ``corpus`` has the statistics of all items where these are a part."""
     kept = [(i, t, w) for i, t in rows if t and len(w := words_of(t)) >= MIN_ITEM_WORDS]
     if not kept:
         return None
@@ -93,18 +108,21 @@ def build_index(rows: list[tuple[int, str]]) -> Index | None:
     df = np.zeros(len(term))
     for c in counts:
         df[list(c)] += 1
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    mean = sum(len(w) for _, _, w in kept) / n
+    if corpus is None:
+        corpus = Corpus(n, sum(len(w) for _, _, w in kept) / n, max(len(w) for _, _, w in kept), {})
+    else:
+        df = np.array([corpus.df[t] for t in term], np.float64)
+    idf = [log1p((corpus.n - x + 0.5) / (x + 0.5)) for x in df.tolist()]  # numpy's last digits depend on the place in the array
     posts: list[list[tuple[int, float]]] = [[] for _ in term]
     range_max = np.zeros((len(term), -(-n // RANGE_ITEMS)), np.float32)
     for d, c in enumerate(counts):
-        norm = K1 * (1 - B + B * len(kept[d][2]) / mean)
+        norm = K1 * (1 - B + B * len(kept[d][2]) / corpus.mean)
         weight = {t: idf[t] * f * (K1 + 1) / (f + norm) for t, f in c.items()}
-        own = sum(weight.values())
+        own = fsum(weight.values())
         for t, w in weight.items():
             posts[t].append((d, w / own))
             range_max[t, d // RANGE_ITEMS] = max(range_max[t, d // RANGE_ITEMS], w / own)
-    return Index([i for i, _, _ in kept], term, posts, [max(w for _, w in p) for p in posts], range_max, [question_and_answer(t) for _, t, _ in kept], max(len(w) for _, _, w in kept))
+    return Index([i for i, _, _ in kept], term, posts, [max(w for _, w in p) for p in posts], range_max, [question_and_answer(t) for _, t, _ in kept], corpus.longest)
 
 
 def wand(index: Index, terms: list[int], low: int, high: int, threshold: float) -> list[tuple[int, float]]:
@@ -127,15 +145,16 @@ def wand(index: Index, terms: list[int], low: int, high: int, threshold: float)
                 break
         if pivot is None:
             break
-        score = 0.0
+        weights = []
         for x in lists:
             block, at, _ = x
             while at < len(block) and block[at][0] < pivot:
                 at += 1
             if at < len(block) and block[at][0] == pivot:
-                score += block[at][1]
+                weights.append(block[at][1])
                 at += 1
             x[1] = at
+        score = fsum(weights)  # the same in any order of terms
         if score >= slack:
             out.append((pivot, score))
         lists = [x for x in lists if x[1] < len(x[0])]
@@ -205,19 +224,34 @@ def blocks(texts, most: int = BLOCK_WORDS):
         yield part
 
 
-def load_shards(items: DataFrame, key: str = "item_id", text: str = "text") -> list[Index]:
-    """The benchmark's index, in shards of bounded size."""
-    shards, rows, words = [], [], 0
-    for r in items.select(key, text).orderBy(key, text).toLocalIterator():
-        n = len(words_of(r[1]))
-        if rows and (len(rows) >= SHARD_ITEMS or words + n > SHARD_WORDS):
-            shards.append(build_index(rows))
-            rows, words = [], 0
-        rows.append((r[0], r[1]))
-        words += n
-    if rows:
-        shards.append(build_index(rows))
-    return [s for s in shards if s is not None]
+def load_shards(items: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[Index]:
+    """The benchmark's index, in shards of bounded size, one at a time; tasks build them."""
+
+    def count(batches):
+        for batch in batches:
+            words = [words_of(t) for t in batch.column(1).to_pylist()]
+            cols = [pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=["item_id", "text", "size", "words"])
+
+    let_workers_import(items.sparkSession)
+    rows = items.select(F.col(key).cast("bigint").alias("item_id"), F.col(text).alias("text")).mapInArrow(count, "item_id bigint, text string, size bigint, words array<string>")
+    rows = materialise(rows.filter(F.col("size") >= MIN_ITEM_WORDS).withColumn("row", F.monotonically_increasing_id()), "items")
+    n, total, longest = rows.agg(F.count("*"), F.sum("size"), F.max("size")).first()
+    if not n:
+        return
+    shards = max(-(-n // SHARD_ITEMS), -(-total // SHARD_WORDS))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+    pairs = rows.select("shard", F.explode("words").alias("word")).groupBy("shard", "word").agg(F.count("*").alias("here"))
+    frequencies = materialise(pairs.join(pairs.groupBy("word").agg(F.sum("here").alias("df")), "word").select("shard", "word", "df"), "frequencies")
+
+    def build(part, words):
+        df = dict(zip(words.column("word").to_pylist(), words.column("df").to_pylist()))
+        index = build_index(list(zip(part.column("item_id").to_pylist(), part.column("text").to_pylist())), Corpus(n, total / n, longest, df))
+        return pa.table({"shard": pa.array([part.column("shard")[0].as_py()], pa.int32()), "index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    built = rows.select("shard", "item_id", "text").groupBy("shard").cogroup(frequencies.groupBy("shard")).applyInArrow(build, "shard int, index binary")
+    for r in materialise(built, "index").toLocalIterator():
+        yield pickle.loads(r["index"])
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
