@@ -76,4 +76,57 @@ select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from m
 """
 
-ORACLE = {"op1_warc_transactions": _OP1, "op2_preference_pairs": _OP2, "op3_risk_controlled_rules": _OP3}
+#: Unsigned crc32 of a list of bytes, bit by bit.
+_CRC = "xor(list_reduce(list_prepend(4294967295::bigint, {0}), lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295)"
+_LATIN_BYTES = "flatten(list_transform(string_split({0}, ''), lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [(192 + (unicode(c) >> 6))::bigint, (128 + (unicode(c) & 63))::bigint] end))"
+_WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
+
+_OP11 = rf"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), d as (select *, sha256(length(role) || ':' || role || text) as digest, {_WORDS.format('text')} as words from t),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, digest) as k from d),
+c as (select conv_id, {_CRC.format(_LATIN_BYTES.format("conv_id::varchar"))} % 4 as h from (select distinct conv_id from t)),
+r as (
+  select c.conv_id, 0 as own, k, digest, words from c join o on o.conv_id = c.conv_id - c.conv_id % 20 and k <= h
+  union all select c.conv_id, 1, k, digest, words from c join o on o.conv_id = c.conv_id and k > h
+), s as (
+  select conv_id, words, row_number() over w as depth, array_to_string(list(digest) over w, '') as node from r
+  window w as (partition by conv_id order by own, k rows between unbounded preceding and current row)
+), p as (select conv_id, depth, node, words from s union all select conv_id, 0, '', 0 from c),
+e as (select *, max(depth) over (partition by conv_id) as n, lag(node) over (partition by conv_id order by depth) as above from p),
+nodes as (
+  select depth, node, any_value(above) as above, any_value(words) as words, min(conv_id) as conv_id, count(*) as n_convs,
+    coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = depth), '') as ends
+  from e group by depth, node
+), kids as (select depth - 1 as depth, above as node, count(*) as n_children from nodes where depth > 0 group by all),
+full_nodes as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (depth, node)),
+below as (
+  select p.depth, p.node, sum((u.n_convs - 1) * u.words)::bigint as saved_tokens, count(*) filter (where u.n_children = 0) as n_leaves
+  from full_nodes u join p on p.conv_id = u.conv_id and p.depth <= u.depth group by p.depth, p.node
+)
+select f.conv_id, f.depth, a.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(f.ends) as ends_sha256
+from full_nodes f join below using (depth, node) left join nodes a on a.depth = f.depth - 1 and a.node = f.above
+"""
+
+_OP13 = rf"""
+with recursive r as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) as run from documents
+), g as (select coalesce(doc_id::varchar, '') as doc_id, run, count(*) as n from r group by all),
+h as (select run, n, {_CRC.format(_LATIN_BYTES.format("(doc_id || ':' || run)"))} as h from g),
+w as (
+  select case when h % 199 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, sum(n)::bigint as n
+  from h group by 1 having length(word) >= 6 and sum(n) >= 5
+), gap as (select word, n, i, word[:i] || word[i + 2:] as rest from w, unnest(range(length(word))) as u(i)),
+near as (
+  select a.word, b.word as other, b.n as other_n from gap a join gap b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select a.word, b.word, b.n from gap a join w b on a.rest = b.word
+  union select b.word, a.word, a.n from gap a join w b on a.rest = b.word
+), best as (select word, count(*) as n_near, first(other order by other_n desc, other) as form, max(other_n) as form_n from near group by word),
+f as (select w.word, case when form_n >= 5 * n then form end as form, n, coalesce(n_near, 0) as n_near, case when form_n >= 5 * n then form_n end as form_n from w left join best using (word)),
+chain as (select word, word as root from f union all select chain.word, f.form from chain join f on chain.root = f.word where f.form is not null)
+select f.word, f.form, chain.root, f.n, f.n_near, f.form_n
+from f join chain on f.word = chain.word join f as last on chain.root = last.word and last.form is null
+"""
+
+ORACLE = {"op1_warc_transactions": _OP1, "op2_preference_pairs": _OP2, "op3_risk_controlled_rules": _OP3, "op11_conversation_trie": _OP11, "op13_spelling_variants": _OP13}

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuescope.llm import bpe, decontaminate, jaccard, langid, preference, quality, quality_rules, training_order, url_rules, warc
+from valuescope.llm import bpe, conversation_trie, decontaminate, jaccard, langid, prefix_tokens, preference, quality, quality_rules, spelling_trie, training_order, url_rules, warc
 from valuescope.llm.common import materialise, shared_path, table
 from valuescope.llm.oracle import ORACLE
 
 #: Explicit URL rules of the filter: host, path prefix, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
+#: Tokens above which op12 calls a text too long.
+TOKEN_LIMIT = 4096
+
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -85,5 +88,19 @@ def op10_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_transactions, op2_preference_pairs, op3_risk_controlled_rules, op4_bm25_decontamination, op5_ngram_jaccard, op6_quality_factorisation, op7_ppm_language, op8_training_order, op9_url_rules, op10_bpe_segment_tree)}
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = conversation_trie.conversations(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(conversation_trie.share_openings(convs))
+
+
+def op12_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), ["doc_id"], TOKEN_LIMIT)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_trie.count_words(table(spark, sf_dir, "documents"), damage=199, min_chars=6, min_n=5)
+    return spelling_trie.variants(words, factor=5)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_transactions, op2_preference_pairs, op3_risk_controlled_rules, op4_bm25_decontamination, op5_ngram_jaccard, op6_quality_factorisation, op7_ppm_language, op8_training_order, op9_url_rules, op10_bpe_segment_tree, op11_conversation_trie, op12_prefix_tokens, op13_spelling_variants)}
 ORACLE_SQL = {k: v for k, v in ORACLE.items() if k in QUERIES}
