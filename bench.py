@@ -2,9 +2,9 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list; default: the headline set below),
-BENCH_PIPELINE_MODEL (churn model for the pipeline run; default "logistic_regression" --
-"auto" adds the 4-candidate x 5-fold comparison, whose 300-iteration boosted
-trees are dominated by per-iteration job overhead on small local inputs).
+BENCH_PIPELINE_MODEL (churn model for the pipeline run; default "auto", the comparison of
+four candidates over five folds).  ``control_sec`` times a fixed query that uses none of the
+library, before and after the others, so that runs on different machines can be compared.
 Prints ONE JSON line.
 """
 
@@ -38,14 +38,28 @@ HEADLINE = [
     "churn_risk_metrics",
     "clv_scores",
     "churn_scores",
+    "churn_model_comparison",
 ]
 
 
+def control(spark, sf_dir: str) -> float:
+    """Seconds of an unchanging join, aggregate and sort over the supplied tables."""
+    from pyspark.sql import functions as F
+
+    t = time.time()
+    li, o = (spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in ("lineitem", "orders"))
+    joined = li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey)
+    for k in range(3):
+        by = joined.groupBy("o_custkey", (F.col("l_partkey") % (k + 7)).alias("part")).agg(F.sum("l_extendedprice").alias("s"), F.max("o_orderdate").alias("d"))
+        by.orderBy("s").write.format("noop").mode("overwrite").save()
+    return round(time.time() - t, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    model = os.environ.get("BENCH_PIPELINE_MODEL", "logistic_regression")
+    model = os.environ.get("BENCH_PIPELINE_MODEL", "auto")
 
     from valuescope.session import get_spark
 
@@ -55,6 +69,8 @@ def main() -> None:
     from valuescope.plans.catalog import load_all
 
     reg = load_all()
+    control(spark, sf_dir)  # warm-up
+    before = control(spark, sf_dir)
     times: dict[str, float] = {}
     for name in names:
         q = reg[name]
@@ -81,6 +97,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "control_sec": [before, control(spark, sf_dir)],
         "pipeline_stages": stage_times,
         "pipeline_churn_model": model,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,

@@ -89,3 +89,30 @@ def test_average_rank_hot_values(spark):
         ref = df.withColumn("r", F.rank().over(Window.partitionBy(*part).orderBy("v")) + (F.count(F.lit(1)).over(w) - 1) / 2.0)
         got = average_rank(df, "v", "r", group=group, rows_per_bucket=50)
         assert {r["customer_id"]: r["r"] for r in got.collect()} == {r["customer_id"]: r["r"] for r in ref.collect()}
+
+
+def test_two_levels_of_splits_equal_a_plain_window(spark, monkeypatch):
+    from valuescope.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_BUCKETS", 64)
+    df = spark.range(20_000).select(F.col("id").alias("customer_id"), F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(F.hash("id"), F.lit(1000)).cast("double")).alias("v"), (F.col("id") % 2).alias("g"))
+    buckets = ordered._bucketed(df, "v", "customer_id", "g", 10)
+    sizes = [r["n"] for r in buckets.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 1000 and max(sizes) <= 100
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "customer_id"))).withColumn("s", F.sum("v").over(Window.partitionBy("g").orderBy("v", "customer_id").rowsBetween(Window.unboundedPreceding, 0)))
+    got = global_order(df, "v", group="g", sums={"s": F.col("v")}, rows_per_bucket=10)
+    assert {(r["customer_id"], r["rn"], r["s"]) for r in got.collect()} == {(r["customer_id"], r["rn"], r["s"]) for r in ref.collect()}
+    rank = average_rank(df, "v", "r", group="g", rows_per_bucket=10)
+    w = Window.partitionBy("g", "v")
+    ref = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy("v")) + (F.count(F.lit(1)).over(w) - 1) / 2.0)
+    assert {(r["customer_id"], r["r"]) for r in rank.collect()} == {(r["customer_id"], r["r"]) for r in ref.collect()}
+
+
+def test_average_rank_joins_nothing_on_the_value(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = average_rank(_frame(spark, 800, 0.5), "v", "r", rows_per_bucket=50)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert average_rank(spark.createDataFrame([(1, None), (2, 3.0)], "customer_id long, v double"), "v", "r").collect()[0]["r"] == 1.0

@@ -1,14 +1,12 @@
 """Column-expression helpers (JVM-side built-ins only; no Python UDFs)."""
 
 from valuescope.functions.scalar import (  # noqa: F401
-    POISSON1_CDF,
     SEGMENT_ORDER,
     clamp,
     days_between,
     md5_uniform,
     money,
     money_sum,
-    poisson1_weight,
     qbin,
     risk_band,
     rfm_segment,

@@ -117,28 +117,3 @@ def md5_uniform(*parts) -> Column:
     """Uniform [0,1) from md5 of 'p1|p2|...'; portable (same value in DuckDB)."""
     s = F.concat_ws("|", *[_c(p).cast("string") for p in parts])
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-
-
-# Poisson(1) probabilities P(K<=k), k = 0..9 (fixed values: e^-1 sum_{j<=k} 1/j!).
-def _poisson1_cdf(kmax: int = 9) -> list[float]:
-    import math
-
-    out, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(kmax + 1):
-        if k > 0:
-            term /= k
-        acc += term
-        out.append(acc)
-    return out
-
-
-POISSON1_CDF = _poisson1_cdf()
-
-
-def poisson1_weight(u) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform ``u`` (bootstrap weight)."""
-    u = _c(u)
-    expr = F.lit(len(POISSON1_CDF))
-    for k in reversed(range(len(POISSON1_CDF))):
-        expr = F.when(u < F.lit(POISSON1_CDF[k]), F.lit(k)).otherwise(expr)
-    return expr.cast("int")

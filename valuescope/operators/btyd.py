@@ -1,15 +1,17 @@
 """BG/NBD purchase-count model.
 
 Fitting never moves customer rows to the driver: customers are compressed
-to the sufficient statistics (x, t_x, T, count); each objective evaluation
-is one Spark aggregate over that table, returning the likelihood at the
-current parameters and at the finite-difference neighbours (one job per
-optimiser step).  Only the 4 parameters live on the driver.
+to the sufficient statistics (x, t_x, T, count); each Newton step is one
+pass over that table, which returns log-likelihood, gradient and observed
+information (16 sums, taken by numpy over the column batches of a task, then
+by Spark over tasks).  Only these and the 4 parameters live on
+the driver.
 
 Log-gamma terms depend only on the integer repeat count x, so
   sum_i [lnG(r+x_i) - lnG(r)] = sum_k N(x>k) ln(r+k)
   sum_i [lnG(b+x_i) - lnG(b) + lnG(a+b) - lnG(a+b+x_i)] = sum_k N(x>k) [ln(b+k) - ln(a+b+k)]
-with the tail counts N(x>k) gathered once (length = max x).
+with the tail counts N(x>k) gathered once (length = max x); their derivatives
+(differences of digammas and trigammas) are the sums of 1/(r+k) and -1/(r+k)^2.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuescope.functions import money, ts_lit
-from valuescope.operators.optimize import minimize_bfgs
+from valuescope.operators.optimize import minimize_newton, summed
+from valuescope.session import checkpoint_dir
 
 # Published BG/NBD estimates for the CDNOW sample (Fader, Hardie & Lee 2005),
 # used as fixed parameters when a deterministic score is needed.
@@ -156,16 +159,14 @@ def hyp2f1(a: float, b: float, c: Column, z: Column) -> Column:
     return F.when(z <= z0, start["f"]).otherwise(F.aggregate(steps, begin, step)["f"])
 
 
-def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T="T_cal") -> Column:
-    """E[purchases in (T, T+t] | x, t_x, T].
+def _purchase_factor(p: BGNBDParams, t: float, x: Column, T: Column) -> Column:
+    """The part of C5 that depends on (x, T) alone.
 
-    Uses Euler's transform: with z = t/(alpha+T+t) the numerator is
+    Uses Euler's transform: with z = t/(alpha+T+t) it is
     (a+b+x-1)/(a-1) * [1 - (1-z)^(a-1) * 2F1(a+b-1-r, a-1; a+b+x-1; z)],
     whose first two arguments do not grow with x (no overflow).  It has a
     removable gap at a = 1, where it is interpolated in ``a``.
     """
-    p = _p(params)
-    x, t_x, T = (F.col(c) if isinstance(c, str) else c for c in (x, t_x, T))
     z = F.lit(float(t)) / (F.lit(p.alpha) + T + F.lit(float(t)))
 
     def numerator(a: float) -> Column:
@@ -176,12 +177,42 @@ def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T
     if abs(p.a - 1.0) < NEAR_ONE:
         nodes = [1.0 + k * NODE_SPACING for k in (-2, -1, 1, 2)]
         weight = [math.prod((p.a - m) / (n - m) for m in nodes if m != n) for n in nodes]
-        num = sum((F.lit(w) * numerator(n) for w, n in zip(weight, nodes)), F.lit(0.0))
-    else:
-        num = numerator(p.a)
-    den = 1.0 + F.when(x > 0, F.lit(p.a) / (F.lit(p.b) + x - 1.0)
-                       * F.pow((p.alpha + T) / (p.alpha + t_x), F.lit(p.r) + x)).otherwise(F.lit(0.0))
-    return num / den
+        return sum((F.lit(w) * numerator(n) for w, n in zip(weight, nodes)), F.lit(0.0))
+    return numerator(p.a)
+
+
+def _dropout_divisor(p: BGNBDParams, x: Column, t_x: Column, T: Column) -> Column:
+    return 1.0 + F.when(x > 0, F.lit(p.a) / (F.lit(p.b) + x - 1.0)
+                        * F.pow((p.alpha + T) / (p.alpha + t_x), F.lit(p.r) + x)).otherwise(F.lit(0.0))
+
+
+def expected_purchases(params, t: float, x="frequency_cal", t_x="recency_cal", T="T_cal") -> Column:
+    """E[purchases in (T, T+t] | x, t_x, T] as a Column; ``with_expected_purchases`` is cheaper on many rows."""
+    p = _p(params)
+    x, t_x, T = (F.col(c) if isinstance(c, str) else c for c in (x, t_x, T))
+    return _purchase_factor(p, t, x, T) / _dropout_divisor(p, x, t_x, T)
+
+
+#: Distinct (x, T) that are broadcast at most (24 bytes each); more are joined by a shuffle.
+MAX_FACTORS = 1_000_000
+
+
+def with_expected_purchases(df: DataFrame, params, t: float, out: str, x: str = "frequency_cal", t_x: str = "recency_cal",
+                            T: str = "T_cal", max_factors: int = MAX_FACTORS) -> DataFrame:
+    """C5 for every row of ``df``: the hypergeometric factor is evaluated once for each distinct (x, T).
+
+    Whole days and counts repeat, so these are far fewer than customers. Their table is
+    materialised and counted: up to ``max_factors`` rows it is broadcast, else joined by a shuffle.
+    Rows with a null x or T get null.
+    """
+    p = _p(params)
+    checkpoint_dir(df.sparkSession)
+    pairs = df.select(F.col(x).alias("_x"), F.col(T).alias("_T")).filter(F.col("_x").isNotNull() & F.col("_T").isNotNull()).distinct()
+    factors = pairs.withColumn("_factor", _purchase_factor(p, t, F.col("_x"), F.col("_T"))).checkpoint(eager=True)
+    if factors.limit(max_factors + 1).count() <= max_factors:
+        factors = F.broadcast(factors)
+    j = df.join(factors, (F.col(x) == F.col("_x")) & (F.col(T) == F.col("_T")), "left")
+    return j.withColumn(out, F.col("_factor") / _dropout_divisor(p, F.col(x), F.col(t_x), F.col(T))).drop("_x", "_T", "_factor")
 
 
 # ------------------------------------------------------------------ likelihood & fit
@@ -192,22 +223,6 @@ def sufficient_stats(summary: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 
-def _row_term(r, alpha, a, b, scale):
-    """Per-row part of the log-likelihood (no log-gamma), as a Column.
-
-    Parameters may be Columns (values of a one-row parameter table) so the
-    generated code is identical at every optimiser step (no recompilation).
-    """
-    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-    r, alpha, a, b, scale = (lit(v) for v in (r, alpha, a, b, scale))
-    x, tx, T = F.col("x"), F.col("tx") * scale, F.col("T") * scale
-    a3 = -(r + x) * F.log(alpha + T)
-    a4 = F.log(a) - F.log(b + F.greatest(x, F.lit(1.0)) - 1.0) - (r + x) * F.log(tx + alpha)
-    mx = F.greatest(a3, a4)
-    lse = mx + F.log(F.exp(a3 - mx) + F.when(x > 0, F.exp(a4 - mx)).otherwise(F.lit(0.0)))
-    return r * F.log(alpha) + lse
-
-
 def _tail_counts(stats: DataFrame) -> np.ndarray:
     """N(x > k) for k = 0..max_x-1 (collected: max_x numbers)."""
     rows = stats.groupBy("x").agg(F.sum("w").alias("w")).collect()
@@ -226,75 +241,105 @@ def _gamma_part(tail: np.ndarray, r, a, b) -> float:
     return float(np.sum(tail * (np.log(r + k) + np.log(b + k) - np.log(a + b + k))))
 
 
-_AGG_CACHE: dict = {}
+PARAMETERS = ("r", "alpha", "a", "b")
+#: A direction whose curvature is below this share of the largest is flat: data without dropouts, for one, push a to 0.
+FLAT = 1e-8
 
 
-def _point_aggs(n_points: int) -> list:
-    """Aggregate Columns for n parameter points (built once and reused: the
-    Column tree is independent of the parameter values)."""
-    if n_points not in _AGG_CACHE:
-        aggs = [
-            F.sum(F.col("w") * _row_term(*[F.col(f"p{i}_{k}") for k in range(4)], F.col("scale"))).alias(f"l{i}")
-            for i in range(n_points)
-        ]
-        _AGG_CACHE[n_points] = aggs + [F.sum("w").alias("n")]
-    return _AGG_CACHE[n_points]
+def _gamma_derivatives(tail: np.ndarray, r, a, b) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of ``_gamma_part`` in (r, alpha, a, b)."""
+    k = np.arange(len(tail))
+    one = [float(np.sum(tail / (v + k))) for v in (r, b, a + b)]
+    two = [-float(np.sum(tail / (v + k) ** 2)) for v in (r, b, a + b)]
+    g = np.array([one[0], 0.0, -one[2], one[1] - one[2]])
+    H = np.zeros((4, 4))
+    H[0, 0] = two[0]
+    H[2, 2] = H[2, 3] = H[3, 2] = -two[2]
+    H[3, 3] = two[1] - two[2]
+    return g, H
 
 
-def loglik_table(stats: DataFrame, points: list[tuple], scale: float):
-    """Sum of per-row terms at several parameter points in ONE aggregate.
+def _row_derivatives(point, scale: float, x, tx, T, w) -> np.ndarray:
+    """Weighted sums over rows, all but the log-gammas: value, customers, gradient and (upper) Hessian in (r, alpha, a, b).
 
-    The points travel as a one-row broadcast table, not as literals, so every
-    optimiser step reuses the same expressions and generated code.
+    A row's term is r ln(alpha) + ln(e^u + e^v); with s = e^v / (e^u + e^v) its derivatives are the
+    weighted ones of u and v, and s (1 - s) times the products of their differences.
     """
-    spark = stats.sparkSession
-    names = [f"p{i}_{j}" for i in range(len(points)) for j in range(4)]
-    flat = [float(v) for pt in points for v in pt]
-    params = spark.createDataFrame([tuple(flat) + (float(scale),)], [*names, "scale"])
-    j = stats.join(F.broadcast(params), how="inner")  # one parameter row
-    row = j.agg(*_point_aggs(len(points))).first()
-    return [row[f"l{i}"] for i in range(len(points))], row["n"]
+    r, alpha, a, b = point
+    at_T, at_tx, back = alpha + T * scale, alpha + tx * scale, b + np.maximum(x, 1.0) - 1.0
+    u = -(r + x) * np.log(at_T)
+    v = np.where(x > 0, math.log(a) - np.log(back) - (r + x) * np.log(at_tx), -np.inf)
+    both = np.logaddexp(u, v)
+    s = np.exp(v - both)
+    zero = np.zeros_like(x)
+    du = [-np.log(at_T), -(r + x) / at_T, zero, zero]
+    dv = [-np.log(at_tx), -(r + x) / at_tx, zero + 1.0 / a, -1.0 / back]
+    ddu = {(0, 1): -1.0 / at_T, (1, 1): (r + x) / at_T**2}
+    ddv = {(0, 1): -1.0 / at_tx, (1, 1): (r + x) / at_tx**2, (2, 2): zero - 1.0 / a**2, (3, 3): 1.0 / back**2}
+    n = w.sum()
+    g = [w @ ((1.0 - s) * p + s * q) for p, q in zip(du, dv)]
+    g[0], g[1] = g[0] + n * math.log(alpha), g[1] + n * r / alpha
+    H = {(i, j): w @ (s * (1.0 - s) * (dv[i] - du[i]) * (dv[j] - du[j]) + (1.0 - s) * ddu.get((i, j), zero) + s * ddv.get((i, j), zero))
+         for i in range(4) for j in range(i, 4)}
+    H[0, 1] += n / alpha
+    H[1, 1] -= n * r / alpha**2
+    return np.array([w @ both + n * r * math.log(alpha), n, *g, *H.values()])
+
+
+def loglik_with_derivatives(stats: DataFrame, point, scale: float):
+    """(sum of row terms, gradient, Hessian, customers) at one parameter point, in ONE aggregate over (x, tx, T, w)."""
+    point = tuple(map(float, point))
+    value, n, *rest = summed(stats, ["x", "tx", "T", "w"], lambda *rows: _row_derivatives(point, scale, *rows), 16)
+    H = np.zeros((4, 4))
+    H[np.triu_indices(4)] = rest[4:]
+    return value, np.array(rest[:4]), np.triu(H) + np.triu(H, 1).T, n
 
 
 def fit_bgnbd(summary: DataFrame, penalizer: float = 0.0, x0=(1.0, 1.0, 1.0, 1.0),
               max_iter: int = 200) -> tuple[BGNBDParams, dict]:
-    """Penalised maximum likelihood in log-parameters.
+    """Penalised maximum likelihood by Newton's method in log-parameters.
 
     Objective = -(mean log-likelihood) + penalizer * sum(params^2) with T
-    scaled so that max(T) = 10 before the penalty.
+    scaled so that max(T) = 10 before the penalty.  ``info`` has, besides the
+    optimiser's, ``standard_errors`` of the parameters from the observed
+    information (None where a direction is flat, as at the border of the parameters).
     """
     # checkpoint: the optimiser re-reads this small table every step; cutting
     # the lineage keeps each step's planning and recovery independent of the
     # upstream pipeline (written to the shared spark.checkpoint.dir).
     stats = sufficient_stats(summary).checkpoint(eager=True)
-    try:
-        t_max = stats.agg(F.max("T")).first()[0]
-        scale = 10.0 / t_max if t_max else 1.0
-        tail = _tail_counts(stats)
-        h = 1e-5
-
-        def f_and_grad(theta):
-            base = np.exp(theta)
-            pts = [tuple(base)]
-            for i in range(4):
-                for sgn in (1, -1):
-                    th = theta.copy()
-                    th[i] += sgn * h
-                    pts.append(tuple(np.exp(th)))
-            vals, n = loglik_table(stats, pts, scale)
-            obj = []
-            for pt, v in zip(pts, vals):
-                r, al, a, b = pt
-                ll = (v + _gamma_part(tail, r, a, b)) / n
-                obj.append(-ll + penalizer * float(np.sum(np.square(pt))))
-            g = np.array([(obj[1 + 2 * i] - obj[2 + 2 * i]) / (2 * h) for i in range(4)])
-            return obj[0], g
-
-        theta, info = minimize_bfgs(f_and_grad, np.log(np.asarray(x0, dtype=float)), max_iter=max_iter)
-        r, alpha, a, b = np.exp(theta)
-        return BGNBDParams(float(r), float(alpha / scale), float(a), float(b)), info
-    finally:
-        stats.unpersist()  # checkpoint files are cleaned with the context
+    t_max = stats.agg(F.max("T")).first()[0]
+    scale = 10.0 / t_max if t_max else 1.0
+    tail = _tail_counts(stats)
+
+    def objective(theta):
+        p = np.exp(theta)
+        value, g, H, n = loglik_with_derivatives(stats, p, scale)
+        dg, dH = _gamma_derivatives(tail, p[0], p[2], p[3])
+        f = -(value + _gamma_part(tail, p[0], p[2], p[3])) / n + penalizer * float(np.sum(p * p))
+        return f, *_in_logs(p, -(g + dg) / n + 2.0 * penalizer * p, -(H + dH) / n + 2.0 * penalizer * np.eye(4))
+
+    theta, info = minimize_newton(objective, np.log(np.asarray(x0, dtype=float)), max_iter=max_iter)
+    n = stats.agg(F.sum("w")).first()[0]
+    r, alpha, a, b = np.exp(theta)
+    params = BGNBDParams(float(r), float(alpha / scale), float(a), float(b))
+    info["standard_errors"] = standard_errors(info["hessian"], n, np.array([r, alpha / scale, a, b]), PARAMETERS)
+    return params, info
+
+
+def _in_logs(p: np.ndarray, g: np.ndarray, H: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian in the parameters' logarithms."""
+    return p * g, H * np.outer(p, p) + np.diag(p * g)
+
+
+def standard_errors(hessian: np.ndarray, n: float, p: np.ndarray, names) -> dict | None:
+    """Standard errors of parameters ``p`` from the Hessian of the mean objective in their logarithms."""
+    if not np.all(np.isfinite(hessian)):
+        return None
+    curvature = np.linalg.eigvalsh(hessian)
+    if curvature[0] <= FLAT * curvature[-1]:
+        return None
+    return dict(zip(names, (p * np.sqrt(np.diag(np.linalg.inv(hessian)) / n)).tolist()))
 
 
 def loglik(summary: DataFrame, params) -> DataFrame:
@@ -307,9 +352,9 @@ def loglik(summary: DataFrame, params) -> DataFrame:
     """
     p = _p(params)
     stats = sufficient_stats(summary)
-    vals, n = loglik_table(stats, [(p.r, p.alpha, p.a, p.b)], 1.0)
+    value, _, _, n = loglik_with_derivatives(stats, (p.r, p.alpha, p.a, p.b), 1.0)
     tail = _tail_counts(stats)
-    total = vals[0] + _gamma_part(tail, p.r, p.a, p.b) if n else 0.0
+    total = value + _gamma_part(tail, p.r, p.a, p.b) if n else 0.0
     spark = summary.sparkSession
     return spark.createDataFrame([(float(n or 0), total, total / n if n else None)],
                                  "customers double, loglik double, mean_loglik double")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from valuescope.functions import money_sum
 from valuescope.operators.common import attach_one_row
 from valuescope.schemas import TXN_COLUMNS, require_columns
+from valuescope.sources.transactions import MAX_PRICE, MAX_QUANTITY
 
 # Rule names in the order the rules are applied.
 RULES = [
@@ -29,11 +30,9 @@ def rule_predicates() -> list[tuple[str, Column]]:
     """(rule, keep-predicate) pairs; a row passes when every predicate is true."""
     return [
         ("cancelled_invoice", ~F.coalesce(F.col("invoice").startswith("C"), F.lit(False))),
-        ("non_positive_quantity", F.coalesce(F.col("quantity") > 0, F.lit(False))),
-        (
-            "invalid_unit_price",
-            F.coalesce((F.col("unit_price") > 0) & ~F.isnan("unit_price"), F.lit(False)),
-        ),
+        ("non_positive_quantity", F.coalesce((F.col("quantity") > 0) & (F.col("quantity") <= MAX_QUANTITY), F.lit(False))),
+        # NaN is above every number; infinite and absurd prices would overflow the exact money type
+        ("invalid_unit_price", F.coalesce((F.col("unit_price") > 0) & (F.col("unit_price") <= MAX_PRICE), F.lit(False))),
         ("missing_customer_id", F.col("customer_id").isNotNull()),
         ("missing_invoice_dt", F.col("invoice_dt").isNotNull()),
     ]
@@ -67,87 +66,79 @@ def first_failing_rule(df: DataFrame) -> Column:
     return expr
 
 
+def counted_rows(df: DataFrame, cols: list[str], *more: Column) -> DataFrame:
+    """Distinct rows (NULLs equal) and ``_n``, how often each occurs: one grouping by all columns.
+
+    Rows, duplicates, rates and distinct values all follow from it, so the table is read and shuffled
+    once. Equal rows are combined before the shuffle.
+    """
+    rows = df.select(*cols, *more)
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def cleaning_waterfall(raw: DataFrame) -> DataFrame:
-    """Rows removed by each rule in order, in one pass plus one dedup count.
+    """Rows removed by each rule in order, from one grouping of the rows.
 
     Columns: step, rule, rows_removed, rows_remaining.
     """
     require_columns(raw, TXN_COLUMNS, "transactions_raw")
     spark = raw.sparkSession
-    tagged = raw.select(*TXN_COLUMNS, first_failing_rule(raw).alias("rule"))
-    by_rule = tagged.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
-    passing = tagged.filter(F.col("rule").isNull()).drop("rule")
-    dups = passing.agg(
-        (F.count(F.lit(1)) - F.count_distinct(F.struct(*TXN_COLUMNS))).alias("n")
-    ).select(F.lit(DEDUP_RULE).alias("rule"), "n")
+    rows = counted_rows(raw, TXN_COLUMNS, first_failing_rule(raw).alias("rule"))
+    by_rule = rows.groupBy("rule").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("distinct"))  # at most 6 rows
+    # rows that pass all rules: what is beyond the first of equal ones
+    counts = by_rule.select(
+        F.coalesce("rule", F.lit(DEDUP_RULE)).alias("rule"),
+        F.when(F.col("rule").isNull(), F.col("n") - F.col("distinct")).otherwise(F.col("n")).alias("n"), F.col("n").alias("_rows"))
     # 6-row rule-order table (fixed, not data-dependent)
     order = spark.createDataFrame(
         [(i + 1, r) for i, r in enumerate(RULES + [DEDUP_RULE])], "step int, rule string"
     )
-    counts = by_rule.filter(F.col("rule").isNotNull()).unionByName(dups)
-    total = by_rule.agg(F.sum("n").alias("rows_in"))
-    out = (
-        F.broadcast(order)
-        .join(counts, "rule", "left")
-        .transform(lambda d: attach_one_row(d, total))
-        .select(
-            F.col("step"),
-            F.col("rule"),
-            F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_removed"),
-            "rows_in",
-        )
-    )
     from pyspark.sql import Window
 
     w = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)  # 6 rows
-    return out.select(
-        "step",
-        "rule",
-        "rows_removed",
-        (F.col("rows_in") - F.sum("rows_removed").over(w)).cast("bigint").alias("rows_remaining"),
-    )
+    total = F.coalesce(F.sum("_rows").over(Window.partitionBy()), F.lit(0))
+    removed = F.coalesce("n", F.lit(0))
+    return F.broadcast(order).join(counts, "rule", "left").select(
+        "step", "rule", removed.cast("bigint").alias("rows_removed"), (total - F.sum(removed).over(w)).cast("bigint").alias("rows_remaining"))
+
 
+def _profile(counted: DataFrame, rates: dict[str, Column], by_customer: bool) -> DataFrame:
+    """One row from ``counted_rows``: rows, unique_customers (if asked), the rates and duplicate_row_rate.
 
-def _dup_count(df: DataFrame, cols: list[str]) -> Column:
-    return F.count(F.lit(1)) - F.count_distinct(F.struct(*cols))
+    Customers are grouped after the rows, so that no distinct count has to expand them.
+    """
+    sums = [F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_distinct"), *[F.sum(F.when(c, F.col("_n")).otherwise(0)).alias(name) for name, c in rates.items()]]
+    customers = []
+    if by_customer:
+        counted = counted.groupBy("customer_id").agg(*sums)
+        sums = [F.sum(c).alias(c) for c in ("_n", "_distinct", *rates)]
+        customers = [F.col("unique_customers").cast("bigint")]
+        sums.append(F.count("customer_id").alias("unique_customers"))
+    one = counted.agg(*sums)
+    n = F.nullif(F.col("_n"), F.lit(0))
+    return one.select(F.coalesce("_n", F.lit(0)).cast("bigint").alias("rows"), *customers, *[F.round(F.col(name) / n, 6).alias(name) for name in rates],
+                      F.round((F.col("_n") - F.col("_distinct")) / n, 6).alias("duplicate_row_rate"))
 
 
 def basic_profile(raw: DataFrame) -> DataFrame:
     """Ingestion-time quality indicators, one row."""
-    n = F.count(F.lit(1))
-    return raw.agg(
-        n.cast("bigint").alias("rows"),
-        F.round(F.avg(F.col("customer_id").isNull().cast("double")), 6).alias("missing_customer_id_rate"),
-        F.round(F.avg(F.col("invoice_dt").isNull().cast("double")), 6).alias("missing_invoice_dt_rate"),
-        F.round(F.avg((F.coalesce("unit_price", F.lit(0.0)) <= 0).cast("double")), 6).alias(
-            "nonpositive_price_rate"
-        ),
-        F.round(F.avg((F.coalesce("quantity", F.lit(0)) < 0).cast("double")), 6).alias(
-            "negative_quantity_rate"
-        ),
-        F.round(_dup_count(raw, TXN_COLUMNS) / n, 6).alias("duplicate_row_rate"),
-    )
+    return _profile(counted_rows(raw, TXN_COLUMNS), {
+        "missing_customer_id_rate": F.col("customer_id").isNull(),
+        "missing_invoice_dt_rate": F.col("invoice_dt").isNull(),
+        "nonpositive_price_rate": F.coalesce("unit_price", F.lit(0.0)) <= 0,
+        "negative_quantity_rate": F.coalesce("quantity", F.lit(0)) < 0,
+    }, by_customer=False)
 
 
 def profile_dataset(df: DataFrame) -> DataFrame:
-    """Profile of any transaction table (adds distinct customers)."""
-    n = F.count(F.lit(1))
-    cols = [c for c in df.columns]
-    return df.agg(
-        n.cast("bigint").alias("rows"),
-        F.count_distinct("customer_id").cast("bigint").alias("unique_customers"),
-        F.round(F.avg(F.col("customer_id").isNull().cast("double")), 6).alias("missing_customer_id_rate"),
-        F.round(F.avg(F.col("invoice_dt").isNull().cast("double")), 6).alias("missing_invoice_dt_rate"),
-        F.round(F.avg((F.coalesce("unit_price", F.lit(0.0)) <= 0).cast("double")), 6).alias(
-            "nonpositive_price_rate"
-        ),
-        F.round(F.avg((F.coalesce("quantity", F.lit(0)) <= 0).cast("double")), 6).alias(
-            "nonpositive_quantity_rate"
-        ),
-        F.round(F.avg(F.coalesce(F.col("invoice").startswith("C"), F.lit(False)).cast("double")), 6)
-        .alias("cancellation_rate"),
-        F.round(_dup_count(df, cols) / n, 6).alias("duplicate_row_rate"),
-    )
+    """Profile of any transaction table (adds distinct customers, D3)."""
+    return _profile(counted_rows(df, df.columns), {
+        "missing_customer_id_rate": F.col("customer_id").isNull(),
+        "missing_invoice_dt_rate": F.col("invoice_dt").isNull(),
+        "nonpositive_price_rate": F.coalesce("unit_price", F.lit(0.0)) <= 0,
+        "nonpositive_quantity_rate": F.coalesce("quantity", F.lit(0)) <= 0,
+        "cancellation_rate": F.coalesce(F.col("invoice").startswith("C"), F.lit(False)),
+    }, by_customer=True)
 
 
 def cleaning_impact(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuescope.functions import md5_uniform, money, poisson1_weight
+from valuescope.functions import md5_uniform, money
 from valuescope.operators.common import attach_one_row
 from valuescope.operators.ordered import average_rank, global_order, quantile_bins
 
@@ -35,7 +35,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     r = average_rank(rx, "_y", "_ry")
     return r.agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
-        F.when((F.count_distinct("_x") > 1) & (F.count_distinct("_y") > 1), F.corr("_rx", "_ry"))
+        F.when((F.min("_x") < F.max("_x")) & (F.min("_y") < F.max("_y")), F.corr("_rx", "_ry"))
         .alias("spearman"),
     )
 
@@ -81,24 +81,49 @@ def decile_lift(df: DataFrame, score: str = "clv_horizon", actual: str = "holdou
     return out
 
 
+#: Customers of one bin and amount that share a draw at most; the terms of their Poisson distribution are bounded by it.
+DRAW_SIZE = 512
+
+
+def poisson_table(sizes: DataFrame) -> DataFrame:
+    """n and cdf, the distribution function of Poisson(n) at 0, 1, ..., for distinct n; as far as a 32-bit uniform reaches."""
+    n = F.col("n").cast("double")
+    last = (n + 8.0 * F.sqrt(n) + 16.0).cast("int")
+
+    def step(s, k):
+        p = s["p"] * n / k
+        return F.struct(p.alias("p"), (s["c"] + p).alias("c"), F.concat(s["cdf"], F.array(s["c"] + p)).alias("cdf"))
+
+    p0 = F.exp(-n)
+    start = F.struct(p0.alias("p"), p0.alias("c"), F.array(p0).alias("cdf"))
+    return sizes.select("n").distinct().select("n", F.aggregate(F.sequence(F.lit(1), last), start, step)["cdf"].alias("cdf"))
+
+
 def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str = "holdout_revenue",
                         n_boot: int = 500, ci_level: float = 0.95, seed: int = 42, q: int = 10) -> DataFrame:
-    """Percentile CI of each decile's mean actual under Poisson(1) bootstrap weights.
-
-    Replicate weights come from md5 of (seed, replicate, customer), so the
-    result does not depend on partitioning.  Rows are expanded to replicates
-    inside the map stage and immediately partially aggregated per
+    """Percentile CI of each decile's mean actual under Poisson bootstrap weights.
+
+    Customers of one decile with equal actuals are one row of count n, whose
+    weight in a replicate is Poisson(n): the sum of their n Poisson(1) weights.
+    It comes by inversion from one md5 of (seed, replicate, decile, part, amount),
+    so the result does not depend on partitioning. Counts above ``DRAW_SIZE`` are
+    drawn in parts of that size. Work thus grows with distinct amounts, not with
+    customers, and the many without revenue are a few rows. Rows are expanded
+    to replicates inside the map stage and immediately partially aggregated per
     (decile, replicate): the shuffle carries at most q * n_boot rows per task.
     ``df`` may be binned already.
     """
-    d = binned(df, score, actual, q)
+    d = binned(df, score, actual, q).groupBy("decile", money("_y").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    d = d.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / DRAW_SIZE))).alias("part"))
+    d = d.withColumn("n", F.least(F.lit(DRAW_SIZE), F.col("_n") - F.col("part") * DRAW_SIZE))
     # each row makes n_boot digests, so small inputs are spread over as many tasks as shuffles have
-    d = d.select("customer_id", "decile", money("_y").alias("_m"))
-    d = d.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id")
+    d = d.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "decile", "_m", "part")
+    d = d.join(F.broadcast(poisson_table(d)), "n")  # at most DRAW_SIZE rows
     rep = d.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
-    rep = rep.withColumn("_w", poisson1_weight(md5_uniform(F.lit(seed), F.col("rep"), F.col("customer_id"))))
+    u = md5_uniform(F.lit(seed), F.col("rep"), F.col("decile"), F.col("part"), F.col("_m").cast("string"))
+    rep = rep.withColumn("_u", u).withColumn("_w", F.size(F.filter("cdf", lambda c: c <= F.col("_u"))))
     per = rep.groupBy("decile", "rep").agg(
-        F.sum(F.col("_m") * F.col("_w").cast("decimal(4,0)")).alias("_sy"), F.sum("_w").alias("_sw"))
+        F.sum(F.col("_m") * F.col("_w").cast("decimal(6,0)")).alias("_sy"), F.sum("_w").alias("_sw"))
     per = per.select("decile", "rep",
                      F.when(F.col("_sw") > 0, F.col("_sy").cast("double") / F.col("_sw")).otherwise(0.0)
                      .alias("m"))  # a decile that drew no weight counts as 0
@@ -112,29 +137,35 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
 
 
 # ------------------------------------------------------------------ classification
-def _score_table(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(score, pos, neg) per distinct score."""
-    return df.groupBy(F.col(score).alias("_p")).agg(
+def _score_table(df: DataFrame, label: str, score: str, *by: str) -> DataFrame:
+    """(score, pos, neg) per distinct score (of each group)."""
+    return df.groupBy(*by, F.col(score).alias("_p")).agg(
         F.sum(F.col(label).cast("long")).alias("_pos"),
         F.sum((1 - F.col(label).cast("long"))).alias("_neg"),
     )
 
 
-def classification_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
+def classification_metrics(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
     """ROC AUC (rank-sum, ties averaged), average precision (step-wise)
-    and base rate; AUC/AP NULL when only one class is present. One row."""
-    tab = _score_table(df, label, score)
+    and base rate; AUC/AP NULL when only one class is present. One row, or one
+    per value of ``by`` (few values, such as folds), in one pass."""
+    groups = [by] if by else []
+    tab = _score_table(df, label, score, *groups)
     # descending score order with running TP/FP (one row per distinct score)
-    o = global_order(tab, "_p", tie="_p", descending=True, n=None,
+    o = global_order(tab, "_p", tie="_p", descending=True, n=None, group=by,
                      sums={"_tp": F.col("_pos"), "_fp": F.col("_neg")})
-    tot = tab.agg(F.sum("_pos").alias("_n1"), F.sum("_neg").alias("_n0"))
-    o = attach_one_row(o, tot)
+    tot = tab.groupBy(*groups).agg(F.sum("_pos").alias("_n1"), F.sum("_neg").alias("_n0"))
+    if by:
+        tot = tot.withColumnRenamed(by, "_tby")
+        o = o.join(F.broadcast(tot), F.col(by).eqNullSafe(F.col("_tby")), "inner").drop("_tby")
+    else:
+        o = attach_one_row(o, tot)
     # rank-sum AUC with ascending average ranks: rank = n - (cum before desc) ... computed per distinct score
     n_all = F.col("_n1") + F.col("_n0")
     cnt = F.col("_pos") + F.col("_neg")
     before_desc = F.col("_tp") + F.col("_fp") - cnt
     avg_rank_asc = n_all - before_desc - (cnt - 1) / 2.0
-    res = o.agg(
+    res = o.groupBy(*groups).agg(
         F.first("_n1").alias("n1"), F.first("_n0").alias("n0"),
         F.sum(F.col("_pos") * avg_rank_asc).alias("rank_sum"),
         F.sum(F.when(F.col("_n1") > 0, F.col("_pos") / F.col("_n1") * (F.col("_tp") / (F.col("_tp") + F.col("_fp")))))
@@ -143,6 +174,7 @@ def classification_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     both = (F.col("n1") > 0) & (F.col("n0") > 0)
     auc = (F.col("rank_sum") - F.col("n1") * (F.col("n1") + 1) / 2.0) / (F.col("n1") * F.col("n0"))
     return res.select(
+        *groups,
         (F.col("n1") + F.col("n0")).cast("bigint").alias("n"),
         F.when(both, auc).alias("roc_auc"),
         F.when(both, F.col("ap")).alias("avg_precision"),

@@ -11,9 +11,12 @@ Here the order key is cut into contiguous buckets instead:
    the same buckets);
 3. give each row the number of splits <= (key, tie) by binary search in a
    higher-order function (JVM-side, O(log B) per row);
-4. aggregate count/sums per (group, bucket) -- a table of at most
+4. where more than ``MAX_BUCKETS`` buckets are wanted, split each of these
+   ranges again: a sample of every range is gathered and cut by the
+   executors, range by range, and written before it is used;
+5. aggregate count/sums per (group, bucket) -- a table of at most
    #groups x B rows, broadcast back -- and turn them into offsets;
-5. number rows inside ``Window.partitionBy(group, bucket)`` and add offsets.
+6. number rows inside ``Window.partitionBy(group, bucket)`` and add offsets.
 
 The splits are composite (key, tie), so one key value holding a third of
 all rows is still spread over many buckets by the tie key.  Any splits
@@ -33,7 +36,8 @@ from valuescope.functions import qbin
 from valuescope.operators.common import attach_one_row
 
 ROWS_PER_BUCKET = 2_000_000  # target rows per window task
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 4096  # of one level of splits
+MAX_FINE_BUCKETS = 1 << 20  # of both levels: 2e12 rows at ROWS_PER_BUCKET; the splits' broadcast is bounded by it
 MAX_GROUPS = 10_000  # groups are few by contract (segments, deciles, labels)
 SAMPLE_PER_BUCKET = 64
 SEED = 42
@@ -79,6 +83,70 @@ def _bucket_of(splits: Column, longest: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
+def _sampled(d: DataFrame, fractions: dict) -> DataFrame:
+    """(_g, _k, _t) of a random share of the rows of each group named; other groups have none."""
+    share = F.lit(0.0)
+    for g, f in fractions.items():
+        share = F.when(F.col("_g").eqNullSafe(F.lit(g)), F.lit(f)).otherwise(share)
+    return d.filter(F.rand(SEED) < share)
+
+
+def _coarse_buckets(d: DataFrame, sizes: dict, buckets: dict) -> DataFrame:
+    """Adds ``_b``: at most ``buckets[g]`` contiguous ranges of (_k, _t) in group g, cut at sampled points."""
+    fractions = {g: min(1.0, SAMPLE_PER_BUCKET * b / sizes[g]) for g, b in buckets.items() if b > 1}
+    if not fractions:
+        return d.withColumn("_b", F.lit(0))
+    by_g: dict = {}
+    for r in _sampled(d, fractions).select("_g", "_k", "_t").collect():  # about SAMPLE_PER_BUCKET * buckets rows a group
+        by_g.setdefault(r["_g"], []).append((r["_k"], r["_t"]))
+    split_rows = [(g, _splits(points, buckets[g])) for g, points in by_g.items()]
+    schema = T.StructType([T.StructField("_sg", d.schema["_g"].dataType), T.StructField("_splits", _splits_type(d.schema["_t"].dataType))])
+    splits = d.sparkSession.createDataFrame(split_rows, schema)
+    arr = F.coalesce(F.col("_splits"), F.array().cast(schema["_splits"].dataType))
+    bucket = _bucket_of(arr, max((len(s) for _, s in split_rows), default=0))
+    d = d.join(F.broadcast(splits), F.col("_g").eqNullSafe(F.col("_sg")), "left")
+    return d.withColumn("_b", bucket).drop("_splits", "_sg")
+
+
+def _fine_buckets(d: DataFrame, fractions: dict, parts: int) -> DataFrame:
+    """Cuts each range ``_b`` of the groups named into at most ``parts``.
+
+    Each range's sample is cut where it is gathered. The splits (fewer than
+    ``MAX_FINE_BUCKETS`` a group) are checkpointed, so that a recomputed task meets the same
+    ones, and broadcast.
+    """
+    from valuescope.session import checkpoint_dir
+
+    checkpoint_dir(d.sparkSession)
+    points = F.array_sort(F.collect_list(F.struct(F.col("_k").alias("k"), F.col("_t").alias("t"))))
+    gathered = _sampled(d, fractions).groupBy("_g", "_b").agg(points.alias("_points"))
+    at = F.sequence(F.lit(1), F.lit(parts - 1))
+    cuts = F.array_distinct(F.transform(at, lambda i: F.get("_points", F.floor(i * F.size("_points") / parts).cast("int"))))
+    splits = gathered.select(F.col("_g").alias("_sg"), F.col("_b").alias("_sb"), cuts.alias("_splits")).checkpoint(eager=True)
+    d = d.join(F.broadcast(splits), F.col("_g").eqNullSafe(F.col("_sg")) & (F.col("_b") == F.col("_sb")), "left")
+    arr = F.coalesce(F.col("_splits"), F.array().cast(_splits_type(d.schema["_t"].dataType)))
+    return d.withColumn("_b", F.col("_b") * parts + _bucket_of(arr, parts - 1)).drop("_splits", "_sg", "_sb")
+
+
+def _bucketed(df: DataFrame, key, tie, group, rows_per_bucket: int | None) -> DataFrame:
+    """``df`` with _k (the key), _t (the tie), _g (the group) and _b, the row's bucket in the order (_k, _t) of its group."""
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    g = _col(group) if group is not None else F.lit(0)
+    d = df.withColumn("_k", _col(key).cast("double")).withColumn("_t", _col(tie)).withColumn("_g", g)
+    counts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
+    if len(counts) > MAX_GROUPS:
+        raise ValueError(f"global_order: more than {MAX_GROUPS} groups; use a partitioned window instead")
+    sizes = {r["_g"]: r["_n"] for r in counts}
+    wanted = {g: max(1, min(MAX_FINE_BUCKETS, math.ceil(c / rows_per_bucket))) for g, c in sizes.items()}
+    # more than MAX_BUCKETS: about the square root of them on either level
+    coarse = {g: b if b <= MAX_BUCKETS else math.ceil(math.sqrt(b)) for g, b in wanted.items()}
+    fine = max((math.ceil(wanted[g] / coarse[g]) for g in wanted), default=1)
+    d = _coarse_buckets(d, sizes, coarse)
+    if fine > 1:
+        d = _fine_buckets(d, {g: min(1.0, SAMPLE_PER_BUCKET * wanted[g] / sizes[g]) for g in sizes if wanted[g] > coarse[g]}, fine)
+    return d
+
+
 def global_order(
     df: DataFrame,
     key,
@@ -99,51 +167,12 @@ def global_order(
     ``rows_per_bucket`` only sets how many rows a window task takes.
     """
     sums = sums or {}
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    spark = df.sparkSession
     k = _col(key).cast("double")
-    k = -k if descending else k
-    g = _col(group) if group is not None else F.lit(0)
-    d = df.withColumn("_k", k).withColumn("_t", _col(tie)).withColumn("_g", g)
     for name, c in sums.items():
-        d = d.withColumn(f"_s_{name}", c)
-
-    counts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
-    if len(counts) > MAX_GROUPS:
-        raise ValueError(f"global_order: more than {MAX_GROUPS} groups; use a partitioned window instead")
-    nb = {r["_g"]: max(1, min(MAX_BUCKETS, math.ceil(r["_n"] / rows_per_bucket))) for r in counts}
-    g_type = d.schema["_g"].dataType
-    t_type = d.schema["_t"].dataType
-
-    split_rows = []
-    if any(b > 1 for b in nb.values()):
-        frac = {gv: min(1.0, SAMPLE_PER_BUCKET * nb[gv] / r["_n"]) for r in counts for gv in [r["_g"]]}
-        f_expr = F.lit(0.0)
-        for gv, f in frac.items():
-            if nb[gv] > 1:
-                f_expr = F.when(F.col("_g").eqNullSafe(F.lit(gv)), F.lit(f)).otherwise(f_expr)
-        sample = (
-            d.select("_g", "_k", "_t")
-            .filter(F.rand(SEED) < f_expr)
-            .collect()  # bounded: about SAMPLE_PER_BUCKET * B rows per group
-        )
-        by_g: dict = {}
-        for r in sample:
-            by_g.setdefault(r["_g"], []).append((r["_k"], r["_t"]))
-        for gv, pts in by_g.items():
-            split_rows.append((gv, _splits(pts, nb[gv])))
-
-    if split_rows:
-        split_schema = T.StructType([T.StructField("_sg", g_type), T.StructField("_splits", _splits_type(t_type))])
-        splits = spark.createDataFrame(split_rows, split_schema)
-        arr = F.coalesce(F.col("_splits"), F.array().cast(split_schema["_splits"].dataType))
-        bucket = _bucket_of(arr, max(len(s) for _, s in split_rows))
-        d = d.join(F.broadcast(splits), F.col("_g").eqNullSafe(F.col("_sg")), "left")
-        d = d.withColumn("_b", bucket).drop("_splits", "_sg")
-    else:
-        d = d.withColumn("_b", F.lit(0))
+        df = df.withColumn(f"_s_{name}", c)
+    d = _bucketed(df, -k if descending else k, tie, group, rows_per_bucket)
 
-    # per-(group, bucket) totals -> offsets; at most #groups x MAX_BUCKETS rows
+    # per-(group, bucket) totals -> offsets; at most #groups x (buckets) rows
     aggs = [F.count(F.lit(1)).alias("_c")] + [F.sum(f"_s_{s}").alias(f"_bs_{s}") for s in sums]
     stats = d.groupBy("_g", "_b").agg(*aggs)
     wb = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -243,41 +272,37 @@ def quantile_bin(
     return o.withColumn(out, qbin("_rn", "_nn", q)).drop("_rn", "_nn")
 
 
-#: Values with over 1 / HOT_SHARE of all rows (so fewer than HOT_SHARE values) are joined in that many parts.
-HOT_SHARE = 64
-
-
-def average_rank(df: DataFrame, value: str, out: str, group=None, **kw) -> DataFrame:
-    """Rank with ties sharing the mean of their positions (1-based).
+def average_rank(df: DataFrame, value: str, out: str, group=None, rows_per_bucket: int | None = None) -> DataFrame:
+    """Rank with ties sharing the mean of their positions (1-based); rows of NULL ``value`` are left out.
 
-    Ranks distinct values (one row per value, so no hot key in the order),
-    then joins the rank back on the value. Rows of a value that holds over
-    1 / ``HOT_SHARE`` of them are spread by a hash of the row, and its rank is
-    repeated for each part, so no task takes them all.
+    Values are compared as doubles. Rows are ordered by (value, row hash) over buckets. Inside a bucket a value's
+    first position and count come from the bucket's own window; a value
+    that goes on into the next bucket stands at the bucket's edge, and the
+    few such values (fewer than buckets) get their first position and count from the
+    buckets' counts, broadcast. Nothing is joined on the value, and a value of a
+    third of all rows is spread over many buckets.
     """
-    gcols = [group] if isinstance(group, str) else []
-    dv = df.groupBy(*gcols, value).agg(F.count(F.lit(1)).cast("bigint").alias("_cnt"))
-    by_value = dv.groupBy(value).agg(F.sum("_cnt").alias("_cnt"))
-    total = dv.agg(F.sum("_cnt").alias("_all"))
-    is_hot = F.col(value).isNotNull() & (F.col("_cnt") * HOT_SHARE > F.col("_all"))
-    hot = [r[0] for r in attach_one_row(by_value, total).filter(is_hot).select(value).collect()]  # fewer than HOT_SHARE
-
-    ranked = global_order(
-        dv, value, tie=value, group=group, sums={"_cum": F.col("_cnt")}, rn="_rn", n=None, **kw
-    )
-    ranked = ranked.select(
-        *gcols, value, (F.col("_cum") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0).alias(out)
-    )
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in gcols]
-    left = df.alias("l")
-    if hot:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(HOT_SHARE)).cast("int")
-        left = df.withColumn("_part", F.when(F.col(value).isin(hot), part).otherwise(F.lit(0))).alias("l")
-        parts = F.when(F.col(value).isin(hot), F.sequence(F.lit(0), F.lit(HOT_SHARE - 1))).otherwise(F.array(F.lit(0)))
-        ranked = ranked.withColumn("_part", F.explode(parts))
-        same.append(F.col("l._part") == F.col("r._part"))
-    on = reduce(lambda a, b: a & b, same, F.col(f"l.{value}") == F.col(f"r.{value}"))
-    return left.join(ranked.alias("r"), on, "inner").select(*[F.col(f"l.`{c}`") for c in df.columns], f"r.{out}")
+    d = df.filter(F.col(value).isNotNull())
+    d = _bucketed(d, value, F.xxhash64(*df.columns), group, rows_per_bucket)
+    stats = d.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
+    wb = Window.partitionBy("_g").orderBy("_b")
+    stats = stats.select("_g", "_b", "_lo", "_hi", F.coalesce(F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_oc"),
+                         F.lead("_lo").over(wb).alias("_next"))
+    # values that cross an edge; their rows are counted by bucket
+    crossing = stats.filter(F.col("_hi") == F.col("_next")).select(F.col("_g").alias("_eg"), F.col("_hi").alias("_ek")).distinct()
+    same_value = F.col("_g").eqNullSafe(F.col("_eg")) & (F.col("_k") == F.col("_ek"))
+    runs = d.join(F.broadcast(crossing), same_value).groupBy("_g", "_b", "_k").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = stats.select(F.col("_g").alias("_og"), F.col("_b").alias("_ob"), "_oc")
+    same_bucket = F.col("_g").eqNullSafe(F.col("_og")) & (F.col("_b") == F.col("_ob"))
+    # the run ends its first bucket, so it begins that many rows before the next bucket's offset
+    ends = stats.select(F.col("_g").alias("_og"), F.col("_b").alias("_ob"), F.coalesce(F.lead("_oc").over(wb), F.lit(0)).alias("_end"))
+    runs = runs.join(F.broadcast(ends), same_bucket).groupBy(F.col("_g").alias("_eg"), F.col("_k").alias("_ek")).agg(
+        F.min_by(F.col("_end") - F.col("_c"), "_b").alias("_before"), F.sum("_c").alias("_run"))
+    d = d.join(F.broadcast(offsets), same_bucket, "inner").join(F.broadcast(runs), same_value, "left")
+    inside = Window.partitionBy("_g", "_b")
+    before = F.coalesce("_before", F.col("_oc") + F.rank().over(inside.orderBy("_k")) - 1)
+    run = F.coalesce("_run", F.count(F.lit(1)).over(Window.partitionBy("_g", "_b", "_k")))
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], (before + (run + 1) / 2.0).alias(out))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None,

@@ -11,7 +11,7 @@ in rounds of prefix sums.
 from __future__ import annotations
 
 import math
-from decimal import Decimal
+from decimal import ROUND_DOWN, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from valuescope.operators.common import attach_one_row, require_single_key
 from valuescope.operators.ordered import global_order
 
 EXACT_SUM = "decimal(30,10)"  # prefix sums of benefits: exact and order-free
+COST_UNIT = Decimal("1e-10")  # the least difference that EXACT_SUM tells
 TARGETING_ORDER = ["recommended_action", "priority_rank", "customer_id"]
 
 
@@ -87,29 +88,44 @@ def select_targets(econ: DataFrame, budget: float, solver: str = "exact") -> Dat
 def take_while_affordable(elig: DataFrame, budget: float) -> DataFrame:
     """Best gain per cost first; whoever costs more than what is left is passed over.
 
-    A round takes the run of ranks up to the first misfit.  What is left then
-    excludes all that is dearer at once, and the next round starts behind the
-    misfit.  Equal costs need one round; only three numbers a round are held.
+    A round looks at the customers behind the last one decided who cost at most
+    what is left, in two cost classes: up to half of what is left, and above.
+    Those of the lower class are affordable as long as half is left, so a prefix sum over
+    them alone decides who is taken, until they have spent half, or until
+    the first of the upper class who still fits is met and taken. Either way less than
+    half is left, so there are at most log2(budget / lowest cost) + 1 rounds
+    whatever the order of costs. Only a few numbers a round are held.
     """
     ratio = F.col("net_gain") / F.col("cost")
+    exact = F.col("cost").cast(EXACT_SUM)
     ranked = global_order(elig.select("customer_id", "net_gain", "cost", ratio.alias("_ratio")), "_ratio",
                           descending=True, n=None).checkpoint(eager=True)
+    cheapest = ranked.agg(F.min(exact)).first()[0]
     left, after = Decimal(str(budget)), 0
     taken = F.lit(False)
-    while True:
-        limit = F.lit(str(left)).cast(EXACT_SUM)
-        open_ = (F.col("rn") > after) & (F.col("cost").cast(EXACT_SUM) <= limit)
-        run = global_order(ranked.filter(open_), "rn", n=None, rn="_place",
-                           sums={"_cum": F.col("cost").cast(EXACT_SUM)})
-        end = run.agg(F.min(F.when(F.col("_cum") > limit, F.col("rn"))).alias("misfit"),
-                      F.max(F.when(F.col("_cum") <= limit, F.col("_cum"))).alias("spent"),
-                      F.min("cost").alias("cheapest")).first()
-        taken = taken | (open_ if end["misfit"] is None else open_ & (F.col("rn") < end["misfit"]))
-        if end["misfit"] is None:
-            return ranked.filter(taken)
-        left, after = left - end["spent"], end["misfit"]
-        if left < Decimal(str(end["cheapest"])):
-            return ranked.filter(taken)
+    while cheapest is not None and left >= cheapest:
+        half = (left / 2).quantize(COST_UNIT, rounding=ROUND_DOWN)
+        limit, middle = (F.lit(str(v)).cast(EXACT_SUM) for v in (left, half))
+        low = exact <= middle
+        rows = ranked.filter((F.col("rn") > after) & (exact <= limit))
+        rows = global_order(rows, "rn", n=None, rn="_place", sums={"_cum": F.when(low, exact).otherwise(F.lit(0).cast(EXACT_SUM))})
+        first = rows.agg(F.min(F.when(~low & (exact + F.col("_cum") <= limit), F.struct("rn", exact.alias("cost"), "_cum"))).alias("fits"),
+                         F.min(F.when(low & (F.col("_cum") > limit - middle), F.struct("rn", "_cum"))).alias("half_spent")).first()
+        fits, crossing = first["fits"], first["half_spent"]
+        if crossing is not None and fits is not None and fits["rn"] > crossing["rn"]:
+            fits = None
+        end = fits["rn"] if fits is not None else crossing["rn"] if crossing is not None else None
+        upto = F.lit(True) if end is None else F.col("rn") <= end
+        taken = taken | ((F.col("rn") > after) & upto & low)
+        if fits is not None:
+            taken = taken | (F.col("rn") == end)
+            left -= fits["_cum"] + fits["cost"]
+        elif crossing is not None:
+            left -= crossing["_cum"]
+        else:
+            break
+        after = end
+    return ranked.filter(taken)
 
 
 def targeting_list(selected: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from valuescope.operators import btyd, churn, cleaning, cohorts, concentration,
 from valuescope.operators import scenarios, segments, spend
 from valuescope.params import Params
 from valuescope.plans.materialize import materialize
-from valuescope.sources.sinks import save_model, write_parquet, write_report_csv
+from valuescope.sources.sinks import save_model, write_ordered, write_parquet, write_report_csv
 
 
 def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
@@ -27,6 +27,11 @@ def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by=None) ->
     return spark.read.parquet(path)
 
 
+def _ordered_stage(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    write_ordered(df, path, keys)
+    return spark.read.parquet(path)
+
+
 def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
             churn_model: str = "auto", write_reports: bool = True, report_parallelism: int = 4) -> dict:
     """Run ingest -> clean -> features -> CLV -> churn -> budget -> backtest ->
@@ -41,8 +46,7 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
 
     # 1-2 ingest + clean (profiles are one-pass aggregates)
     out["ingest_profile"] = cleaning.basic_profile(raw)
-    txn = _stage(spark, cleaning.clean_transactions(raw).orderBy("customer_id", "invoice_dt", "invoice"),
-                 f"{out_dir}/transactions_clean")
+    txn = _ordered_stage(spark, cleaning.clean_transactions(raw), f"{out_dir}/transactions_clean", ["customer_id", "invoice_dt", "invoice"])
     out["cleaning_waterfall"] = cleaning.cleaning_waterfall(raw)
     mark("clean")
 
@@ -88,7 +92,7 @@ def run_all(spark: SparkSession, raw: DataFrame, params: Params, out_dir: str,
     joined = policy.join_scores(clv, risk)
     econ = policy.build_economics(joined, p.unit_cost, p.retention_effectiveness, p.min_clv)
     selected = policy.select_targets(econ, p.budget, "exact" if p.solver == "exact" else "greedy")
-    targeting = _stage(spark, policy.targeting_list(selected).orderBy(*policy.TARGETING_ORDER), f"{out_dir}/targeting_list")
+    targeting = _ordered_stage(spark, policy.targeting_list(selected), f"{out_dir}/targeting_list", policy.TARGETING_ORDER)
     out["targeting_list"] = targeting
     out["allocation_summary"] = policy.allocation_summary(selected)
     mark("budget")

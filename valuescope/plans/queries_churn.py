@@ -4,6 +4,7 @@ classification metrics and curves (SQL-checked), model training (rows-only)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from valuescope.plans.queries_clv import dbl
 from valuescope.plans.queries_core import txn_orders
 from valuescope.plans.queries_policy import INPUTS, policy_inputs
 from valuescope.schemas import FEATURE_COLUMNS
+from valuescope.session import checkpoint_dir
+from valuescope.sources.sinks import load_model, save_model
 
 P = TESTDATA_PARAMS
 C = S.ts(P.cutoff)
@@ -205,12 +208,27 @@ def q_churn_cv_logistic(spark, sf_dir):
     return CH.cross_validate(snapshot(spark, sf_dir), "logistic_regression", P.n_folds, P.seed)
 
 
-def churn_model_comparison(spark, sf_dir):
-    """All four candidates x 5 folds (run by the pipeline in ``auto``
-    mode; not registered as a check query because 300-iteration boosted trees
-    dominate its run time on small inputs)."""
-    comp, _ = CH.compare_models(snapshot(spark, sf_dir), P.n_folds, P.seed)
-    return comp
+@register("churn_model_comparison", None, "M5 M6 M7 M8 M9 M10 M11 (four candidates x five folds; rows-only)")
+def q_churn_model_comparison(spark, sf_dir):
+    comp, best = CH.compare_models(snapshot(spark, sf_dir), P.n_folds, P.seed)
+    return comp.withColumn("chosen", F.col("model") == best)
+
+
+@register(
+    "saved_model_scores",
+    BASE_SQL + "SELECT customer_id, true AS equal_scores FROM features",
+    "S7 S8 (a saved whole model scores raw features as the fitted one does)",
+)
+def q_saved_model_scores(spark, sf_dir):
+    """Fits, saves and loads the whole model, and scores raw features with both."""
+    snap = materialize(snapshot(spark, sf_dir))
+    model, _, score = CH.fit_model(snap, "logistic_regression", P.seed)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/churn-model-{uuid.uuid4().hex}"
+    save_model(model, path)
+    raw = snap.select("customer_id", *FEATURE_COLUMNS)
+    loaded = CH.score_with(load_model(path), raw).withColumnRenamed("churn_probability", "loaded")
+    return score(raw).join(loaded, "customer_id").select(
+        "customer_id", (F.abs(F.col("churn_probability") - F.col("loaded")) <= 1e-12).alias("equal_scores"))
 
 
 # ---------------------------------------------------------------- M16-M18 under fixed coefficients

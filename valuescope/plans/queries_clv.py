@@ -8,7 +8,6 @@ import math
 
 from pyspark.sql import functions as F
 
-from valuescope.functions import POISSON1_CDF
 from valuescope.operators import btyd, metrics, spend
 from valuescope.operators import features as FE
 from valuescope.params import TESTDATA_PARAMS
@@ -264,10 +263,8 @@ def q_clv_holdout_metrics(spark, sf_dir):
     inv, hend, summary = clv_inputs(spark, sf_dir)
     t = float((hend.date() - P.cutoff.date()).days)
     act = btyd.holdout_actuals(inv, P.cutoff, hend)
-    ev = summary.join(act, "customer_id", "left").select(
-        F.coalesce(F.col("holdout_transactions"), F.lit(0)).cast("double").alias("y"),
-        btyd.expected_purchases(BG, t).alias("yhat"),
-    )
+    ev = btyd.with_expected_purchases(summary.join(act, "customer_id", "left"), BG, t, "yhat").select(
+        F.coalesce(F.col("holdout_transactions"), F.lit(0)).cast("double").alias("y"), "yhat")
     m = metrics.regression_metrics(ev, "y", "yhat")
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "mape")])
 
@@ -302,19 +299,26 @@ def q_clv_spearman(spark, sf_dir):
     return sp.select("n", F.round("spearman", 6).alias("spearman"))
 
 
-_POIS = " ".join(f"WHEN u < {dbl(c)} THEN {k}" for k, c in enumerate(POISSON1_CDF))
-_MD5U = "CAST(('0x' || substr(md5(concat_ws('|', {seed}, rep, customer_id)), 1, 8)) AS BIGINT) / CAST('4294967296.0' AS DOUBLE)"
+_MD5U = "CAST(('0x' || substr(md5(concat_ws('|', {seed}, rep, decile, part, CAST(m AS VARCHAR))), 1, 8)) AS BIGINT) / CAST('4294967296.0' AS DOUBLE)"
+_DRAW = metrics.DRAW_SIZE
 
 
 @register(
     "clv_decile_lift",
-    _EVAL + f""", boot AS (
-  SELECT d.decile, r.rep, d.y, d.customer_id, {_MD5U.format(seed=P.seed)} AS u
-  FROM dec d CROSS JOIN range(1, {P.n_bootstrap + 1}) r(rep)
+    _EVAL + f""", amounts AS (SELECT decile, {S.money('y')} AS m, count(*) AS total FROM dec GROUP BY ALL),
+parts AS (
+  SELECT decile, m, part, least({_DRAW}, total - part * {_DRAW}) AS n
+  FROM amounts, unnest(range(0, (total - 1) // {_DRAW} + 1)) AS t(part)
+),
+pois(n, k, p, c) AS (
+  SELECT DISTINCT n, 0, exp(-CAST(n AS DOUBLE)), exp(-CAST(n AS DOUBLE)) FROM parts
+  UNION ALL SELECT n, k + 1, p * n / (k + 1), c + p * n / (k + 1) FROM pois WHERE k < floor(n + 8.0 * sqrt(n) + 16.0)
 ),
-bw AS (SELECT decile, rep, y, CASE {_POIS} ELSE {len(POISSON1_CDF)} END AS w FROM boot),
+cdfs AS (SELECT n, list(c ORDER BY k) AS cdf FROM pois GROUP BY n),
+boot AS (SELECT decile, rep, m, cdf, {_MD5U.format(seed=P.seed)} AS u FROM parts JOIN cdfs USING (n) CROSS JOIN range(1, {P.n_bootstrap + 1}) r(rep)),
+bw AS (SELECT decile, rep, m, len(list_filter(cdf, lambda c: c <= u)) AS w FROM boot),
 per AS (
-  SELECT decile, rep, CASE WHEN sum(w) > 0 THEN CAST(sum({S.money('y')} * w) AS DOUBLE) / sum(w) ELSE 0.0 END AS m
+  SELECT decile, rep, CASE WHEN sum(w) > 0 THEN CAST(sum(m * w) AS DOUBLE) / sum(w) ELSE 0.0 END AS m
   FROM bw GROUP BY decile, rep
 ),
 ci AS (
@@ -346,6 +350,46 @@ def q_clv_scores(spark, sf_dir):
                            penalizer_bgnbd=P.penalizer_bgnbd, penalizer_gg=P.penalizer_gg)
 
 
+_OPTIMA = [("bgnbd", name) for name in btyd.PARAMETERS] + [("gamma_gamma", name) for name in ("p", "q", "v")]
+
+
+@register(
+    "fit_optimum",
+    "SELECT model, parameter, false AS better_below, false AS better_above, true AS converged FROM (VALUES "
+    + ", ".join(f"('{m}', '{name}')" for m, name in _OPTIMA) + ") AS t(model, parameter)",
+    "C1 C3 (the penalised log-likelihood is no better on either side of any fitted parameter)",
+)
+def q_fit_optimum(spark, sf_dir):
+    """Penalised mean log-likelihood at the fit and a hundredth to either side of each parameter.
+
+    Values come from the per-row likelihoods, not from the sums that the fits use. Better is what
+    exceeds the fit by more than rounding: where customers don't drop out, as in these tables, a goes to 0
+    and the value is flat in a and b.
+    """
+    inv, _, summary = clv_inputs(spark, sf_dir)
+    summary = materialize(summary)
+    monetary = materialize(spend.monetary_summary(inv, P.cutoff))
+    scale = 10.0 / summary.agg(F.max("T_cal")).first()[0]
+    bg, bg_info = btyd.fit_bgnbd(summary, P.penalizer_bgnbd)
+    gg, gg_info = spend.fit_gamma_gamma_summary(monetary, P.penalizer_gg)
+    rows = []
+    for model, best, converged in (("bgnbd", bg.as_dict(), bg_info["converged"]), ("gamma_gamma", gg.as_dict(), gg_info["converged"])):
+        def moved(name, factor, best=best):
+            return best | {name: best[name] * factor}
+
+        for name in best:
+            points = [moved(name, f) for f in (0.99, 1.0, 1.01)]
+            if model == "bgnbd":
+                means = summary.agg(*[F.avg(btyd.loglik_rows(p)).alias(f"m{i}") for i, p in enumerate(points)]).first()
+                penalty = [P.penalizer_bgnbd * sum((v * scale if k == "alpha" else v) ** 2 for k, v in p.items()) for p in points]
+            else:
+                means = [spend.loglik_gamma_gamma(monetary, p).first()["mean_loglik"] for p in points]
+                penalty = [P.penalizer_gg * sum(v ** 2 for v in p.values()) for p in points]
+            below, at, above = (m - c for m, c in zip(means, penalty))
+            rows.append((model, name, below > at + 1e-9, above > at + 1e-9, bool(converged)))
+    return spark.createDataFrame(rows, "model string, parameter string, better_below boolean, better_above boolean, converged boolean")
+
+
 @register(
     "gg_loglik_fixed",
     S.with_(S.txn_cte("orders"), S.INVOICES)

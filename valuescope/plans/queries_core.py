@@ -53,8 +53,8 @@ _WATERFALL_SQL = S.with_(
     f"""tagged AS (
   SELECT {S.TXN_COLS},
     CASE WHEN coalesce(starts_with(invoice, 'C'), false) THEN 'cancelled_invoice'
-         WHEN NOT coalesce(quantity > 0, false) THEN 'non_positive_quantity'
-         WHEN NOT coalesce(unit_price > 0 AND NOT isnan(unit_price), false) THEN 'invalid_unit_price'
+         WHEN NOT coalesce(quantity > 0 AND quantity <= 1000000000, false) THEN 'non_positive_quantity'
+         WHEN NOT coalesce(unit_price > 0 AND unit_price <= 1e9, false) THEN 'invalid_unit_price'
          WHEN customer_id IS NULL THEN 'missing_customer_id'
          WHEN invoice_dt IS NULL THEN 'missing_invoice_dt' END AS rule
   FROM raw

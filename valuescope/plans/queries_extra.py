@@ -7,15 +7,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from valuescope.functions import md5_uniform
 from valuescope.operators import churn as CH
 from valuescope.operators import metrics as ME
+from valuescope.operators.sampling import bottom_k
 from valuescope.params import TESTDATA_PARAMS
 from valuescope.plans import sql as S
 from valuescope.plans.catalog import register
 from valuescope.plans.queries_churn import snapshot
 from valuescope.plans.queries_clv import _EVAL, eval_frame, fixed_scores
 from valuescope.plans.queries_ordered import FEAT, feats
+from valuescope.plans.queries_segments import SEG_SQL, scored_segments
 from valuescope.plans.queries_policy import _SCEN_T, _BUD_T, _scenario_sql, _sens_inputs
 from valuescope.operators import scenarios as SC
 from valuescope.session import checkpoint_dir
@@ -64,6 +65,21 @@ def q_transactions_sorted(spark, sf_dir):
     return full.orderBy("customer_id", "invoice_dt", "invoice")
 
 
+@register(
+    "transactions_written",
+    S.with_(S.txn_cte("orders")) + "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS violations FROM txn",
+    "O1 S5 (the clean table's files, read back, are in order)",
+)
+def q_transactions_written(spark, sf_dir):
+    from valuescope.operators.cleaning import clean_transactions
+    from valuescope.sources import order_violations, transactions_from_orders, write_ordered
+
+    keys = ["customer_id", "invoice_dt", "invoice"]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/transactions-{uuid.uuid4().hex}"
+    write_ordered(clean_transactions(transactions_from_orders(spark, sf_dir, descriptive=False)), path, keys, max_file_rows=5000)
+    return order_violations(spark, path, keys).select("rows", "violations")
+
+
 @register(
     "tornado_top_driver",
     _scenario_sql(_SCEN_T, _BUD_T) + """, rr AS (SELECT scenario_id, roi FROM roi),
@@ -92,8 +108,19 @@ _MD5 = "CAST(('0x' || substr(md5(concat_ws('|', {seed}, customer_id)), 1, 8)) AS
 )
 def q_sample_customers(spark, sf_dir):
     """Seeded sample of 10 customers without replacement (md5 order), portable across engines."""
-    f = feats(spark, sf_dir).select("customer_id", "total_revenue")
-    return f.orderBy(md5_uniform(F.lit(P.seed), F.col("customer_id")), "customer_id").limit(10)
+    return bottom_k(feats(spark, sf_dir).select("customer_id", "total_revenue"), 10, P.seed)
+
+
+@register(
+    "sample_by_segment",
+    SEG_SQL + f"""SELECT customer_id, segment, total_revenue FROM (
+  SELECT *, row_number() OVER (PARTITION BY segment ORDER BY {_MD5.format(seed=P.seed)}, customer_id) AS k FROM seg) t WHERE k <= 5""",
+    "O6",
+)
+def q_sample_by_segment(spark, sf_dir):
+    """Five customers of each segment."""
+    rows = scored_segments(spark, sf_dir).select("customer_id", "segment", "total_revenue")
+    return bottom_k(rows, 5, P.seed, strata=["segment"])
 
 
 _MM = ["recency_days", "n_invoices", "total_revenue"]
@@ -121,17 +148,17 @@ def q_churn_tree_importance(spark, sf_dir):
     snap = snapshot(spark, sf_dir)
     model, _, score = CH.fit_model(snap, "random_forest", P.seed)
     scored = snap.join(score(snap).select("customer_id", "churn_probability"), "customer_id")
-    return CH.tree_importance(model, scored)
+    return CH.tree_importance(model.stages[-1], scored)
 
 
 @register("pipeline_run", None, "G6 S5 S6 S7 S8 A30 (whole batch; rows-only)")
 def q_pipeline_run(spark, sf_dir):
-    """Runs the whole batch (logistic churn model) with outputs under the shared
-    checkpoint folder; returns the executive summary."""
+    """Runs the whole batch, comparison of the four churn models included, with outputs under
+    the shared checkpoint folder; returns the executive summary."""
     from valuescope.plans.pipeline import run_all
     from valuescope.sources import transactions_from_orders
 
     out_dir = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     res = run_all(spark, transactions_from_orders(spark, sf_dir, descriptive=True), P, out_dir,
-                  churn_model="logistic_regression")
+                  churn_model="auto")
     return res["executive_summary"]

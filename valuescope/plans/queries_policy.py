@@ -8,6 +8,8 @@ full pipeline feeds the same operators with fitted models.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from valuescope.functions import risk_band
@@ -18,6 +20,8 @@ from valuescope.params import TESTDATA_PARAMS
 from valuescope.plans.catalog import register
 from valuescope.plans.materialize import materialize
 from valuescope.plans.queries_clv import CLV_BASE, dbl, fixed_scores
+from valuescope.session import checkpoint_dir
+from valuescope.sources import read_ordered, write_ordered
 
 P = TESTDATA_PARAMS
 BUDGET_SMALL = 200.0  # binding budget for the oracle checks (cap 100 customers)
@@ -111,6 +115,19 @@ def q_targeting_list(spark, sf_dir):
     return _round_targets(PO.targeting_list(PO.select_targets(e, P.budget, "exact")))
 
 
+@register(
+    "targeting_list_written",
+    _selected(P.budget) + f"""SELECT row_number() OVER (ORDER BY recommended_action, priority_rank, customer_id) AS position,
+  customer_id, recommended_action, priority_rank FROM (SELECT {TARGET_COLS_SQL} FROM sel) t""",
+    "O2 S5",
+)
+def q_targeting_list_written(spark, sf_dir):
+    """The targeting list as it stands in the files that the batch's ordered write makes."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/targeting-{uuid.uuid4().hex}"
+    write_ordered(q_targeting_list(spark, sf_dir), path, PO.TARGETING_ORDER, max_file_rows=1000)
+    return read_ordered(spark, path).select("position", "customer_id", "recommended_action", "priority_rank")
+
+
 @register("targeting_list_greedy", _selected(BUDGET_SMALL) + f"SELECT {TARGET_COLS_SQL} FROM sel", "B4 W6")
 def q_targeting_list_greedy(spark, sf_dir):
     e = PO.build_economics(scores_joined(spark, sf_dir), P.unit_cost, P.retention_effectiveness, P.min_clv)

@@ -8,6 +8,7 @@ from valuescope.operators import segments as SG
 from valuescope.params import TESTDATA_PARAMS
 from valuescope.plans import sql as S
 from valuescope.plans.catalog import register
+from valuescope.plans.materialize import materialize
 from valuescope.plans.queries_clv import dbl, fixed_scores
 from valuescope.plans.queries_ordered import feats
 from valuescope.plans.queries_policy import INPUTS
@@ -61,7 +62,7 @@ FROM seg CROSS JOIN tot GROUP BY segment""",
     "A24 G2",
 )
 def q_segment_summary(spark, sf_dir):
-    return SG.segment_summary(scored_segments(spark, sf_dir))
+    return SG.segment_summary(materialize(scored_segments(spark, sf_dir)))  # medians and sums read it
 
 
 @register(
@@ -72,4 +73,4 @@ FROM seg WHERE clv_score IS NOT NULL AND churn_probability IS NOT NULL""",
     "G2",
 )
 def q_segment_points(spark, sf_dir):
-    return SG.clv_risk_points(scored_segments(spark, sf_dir)).withColumn("median_clv", F.round("median_clv", 6))
+    return SG.clv_risk_points(materialize(scored_segments(spark, sf_dir))).withColumn("median_clv", F.round("median_clv", 6))

@@ -71,8 +71,8 @@ raw AS (
 )"""
 
 KEEP = """NOT coalesce(starts_with(invoice, 'C'), false)
-    AND coalesce(quantity > 0, false)
-    AND coalesce(unit_price > 0 AND NOT isnan(unit_price), false)
+    AND coalesce(quantity > 0 AND quantity <= 1000000000, false)
+    AND coalesce(unit_price > 0 AND unit_price <= 1e9, false)
     AND customer_id IS NOT NULL
     AND invoice_dt IS NOT NULL"""
 

@@ -3,11 +3,21 @@
 from valuescope.sources.transactions import (  # noqa: F401
     dirty_transactions,
     ingest,
+    ingest_rejects,
     read_raw_transactions,
     read_table,
+    rejects,
     standardize,
     transactions_from_events,
     transactions_from_orders,
     union_sources,
 )
-from valuescope.sources.sinks import write_parquet, write_report_csv, save_model  # noqa: F401
+from valuescope.sources.sinks import (  # noqa: F401
+    load_model,
+    order_violations,
+    read_ordered,
+    save_model,
+    write_ordered,
+    write_parquet,
+    write_report_csv,
+)

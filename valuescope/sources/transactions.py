@@ -2,7 +2,8 @@
 
 ``read_raw_transactions`` is the production path: untyped sheets/CSV/Parquet
 with the workbook header names, unioned with a provenance tag and then
-parsed by ``standardize`` (invalid values become NULL, never truncated).
+parsed by ``standardize`` (invalid values become NULL, never truncated, and
+``rejects`` tells each with a reason).
 
 ``transactions_from_orders`` adapts the supplied TPC-H-like tables to the
 same canonical schema (see FIXTURES.md section 3).  ``dirty_transactions``
@@ -26,37 +27,88 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _integral_or_null(x: Column) -> Column:
-    """Parse text/number to BIGINT, exactly; non-numeric, non-integral or too large -> NULL."""
-    d = x.try_cast("decimal(38,10)")
-    return F.when(d == F.floor(d), F.floor(d).try_cast("bigint"))
+#: Quantities and prices beyond these are no amounts of a retail line; their product still fits the exact money type.
+MAX_QUANTITY, MAX_PRICE = 10**9, 1e9
 
+#: Month/day/year forms of spreadsheet exports; two-digit years are 1969 to 2068.
+SHEET_FORMS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy"]
+SHORT_YEAR_FORMS = ["M/d/yy H:mm", "M/d/yy H:mm:ss", "M/d/yy"]
 
-def _timestamp_or_null(x: Column) -> Column:
-    """ISO texts, else the month/day/year form of spreadsheet exports (``12/1/2010 8:26``); others -> NULL."""
-    sheet = F.try_to_timestamp(x, F.lit("M/d/yyyy H:mm")).cast("timestamp_ntz")
-    return F.coalesce(x.try_cast("timestamp_ntz"), sheet)
+#: Columns that are parsed, and the reasons for which a text gives NULL.
+PARSED = ["quantity", "invoice_dt", "unit_price", "customer_id"]
+REASONS = ["not_a_number", "not_finite", "not_whole", "out_of_range", "not_a_time"]
 
 
-def standardize(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
-    """Rename workbook headers to canonical names and coerce types.
+def _text(x: Column) -> Column:
+    """The trimmed text; a blank one is a missing value, not an invalid one."""
+    return F.nullif(F.trim(x.cast("string")), F.lit(""))
+
+
+def _parsed(text: Column, value: Column, reason: Column) -> Column:
+    """Struct of value and reason; a reason stands for each text without a value."""
+    return F.struct(value.alias("value"), F.when(text.isNotNull() & value.isNull(), reason).alias("reason"))
+
+
+def parse_whole(x: Column, limit: int | None = None) -> Column:
+    """Text/number to BIGINT, exactly (P3): ``17850.0`` is whole, ``1.5`` isn't; ``limit`` bounds its size."""
+    t = _text(x)
+    d, double = t.try_cast("decimal(38,10)"), t.try_cast("double")
+    whole = F.floor(d).try_cast("bigint")
+    within = F.lit(True) if limit is None else F.abs(whole) <= limit
+    reason = (F.when(double.isNull(), "not_a_number").when(F.isnan(double) | (F.abs(double) == float("inf")), "not_finite")
+              .when(d != F.floor(d), "not_whole").otherwise("out_of_range"))
+    return _parsed(t, F.when((d == F.floor(d)) & within, whole), reason)
 
-    Invalid numbers/timestamps become NULL (counted later by the profile).
+
+def parse_price(x: Column, limit: float = MAX_PRICE) -> Column:
+    """Text/number to DOUBLE (P3), finite and of at most ``limit``."""
+    t = _text(x)
+    d = t.try_cast("double")
+    finite = ~F.isnan(d) & (F.abs(d) != float("inf"))
+    reason = F.when(d.isNull(), "not_a_number").when(~finite, "not_finite").otherwise("out_of_range")
+    return _parsed(t, F.when(finite & (F.abs(d) <= limit), d), reason)
+
+
+def parse_time(x: Column) -> Column:
+    """Text to a zone-less timestamp.
+
+    ISO texts; those with an offset or Z become the UTC time of that moment. Else the month/day/year
+    forms above, with or without seconds or time.
     """
+    t = _text(x)
+    moment = F.convert_timezone(F.current_timezone(), F.lit("UTC"), t.try_cast("timestamp").cast("timestamp_ntz"))
+    iso = F.when(t.rlike(r"[0-9]:[0-9]{2}.*(Z|z|[+-][0-9]{2}:?[0-9]{2})$"), moment).otherwise(t.try_cast("timestamp_ntz"))
+    sheet = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in SHEET_FORMS]).cast("timestamp_ntz")
+    short = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in SHORT_YEAR_FORMS]).cast("timestamp_ntz")
+    short = F.when(F.year(short) >= 2069, F.timestamp_add("YEAR", F.lit(-100), short)).otherwise(short)
+    return _parsed(t, F.coalesce(iso, sheet, short), F.lit("not_a_time"))
+
+
+def parsed_columns(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
+    """Canonical columns from workbook headers (P1, P2), where the parsed ones are structs of value and reason."""
     require_columns(raw, list(RAW_TO_CANONICAL), source_tag or "raw_input")
     r = {canon: F.col(f"`{src}`") for src, canon in RAW_TO_CANONICAL.items()}
     tag = F.lit(source_tag) if source_tag is not None else F.col("source_sheet")
-    return raw.select(
-        r["invoice"].cast("string").alias("invoice"),
-        r["stock_code"].cast("string").alias("stock_code"),
-        r["description"].cast("string").alias("description"),
-        _integral_or_null(r["quantity"].cast("string")).alias("quantity"),
-        _timestamp_or_null(r["invoice_dt"].cast("string")).alias("invoice_dt"),
-        r["unit_price"].cast("string").try_cast("double").alias("unit_price"),
-        _integral_or_null(r["customer_id"].cast("string")).alias("customer_id"),
-        r["country"].cast("string").alias("country"),
-        tag.cast("string").alias("source_sheet"),
-    )
+    parse = {"quantity": lambda c: parse_whole(c, MAX_QUANTITY), "invoice_dt": parse_time, "unit_price": parse_price, "customer_id": parse_whole}
+    made = [(parse[c](r[c]) if c in parse else r[c].cast("string")).alias(c) for c in RAW_TO_CANONICAL.values()]
+    texts = [r[c].cast("string").alias(f"{c}_text") for c in PARSED]
+    return raw.select(*made, tag.cast("string").alias("source_sheet"), *texts)
+
+
+def standardize(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
+    """Rename workbook headers to canonical names and coerce types.
+
+    Invalid numbers/timestamps become NULL; ``rejects`` lists them with reasons.
+    """
+    parsed = parsed_columns(raw, source_tag)
+    return parsed.select(*[(F.col(f"{c}.value") if c in PARSED else F.col(c)).alias(c) for c in TXN_COLUMNS])
+
+
+def rejects(raw: DataFrame, source_tag: str | None = None) -> DataFrame:
+    """One row per text that ``standardize`` turns into NULL: source_sheet, invoice, column, text, reason."""
+    found = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}_text").alias("text"), F.col(f"{c}.reason").alias("reason")) for c in PARSED])
+    rows = parsed_columns(raw, source_tag).select("source_sheet", "invoice", F.explode(F.filter(found, lambda f: f["reason"].isNotNull())).alias("f"))
+    return rows.select("source_sheet", "invoice", "f.*")
 
 
 def read_raw_transactions(
@@ -78,6 +130,11 @@ def ingest(sources: dict[str, DataFrame]) -> DataFrame:
     return union_sources([standardize(raw, tag) for tag, raw in sources.items()])
 
 
+def ingest_rejects(sources: dict[str, DataFrame]) -> DataFrame:
+    """Rejects of several raw frames, each tagged with its source's name."""
+    return union_sources([rejects(raw, tag) for tag, raw in sources.items()])
+
+
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
