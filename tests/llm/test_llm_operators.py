@@ -2,6 +2,8 @@
 
 from collections import defaultdict
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -164,7 +166,19 @@ def test_shards_round_trip(spark, odd, nothing):
         by[r["doc_id"]].append((r["chunk"], np.frombuffer(r["tokens"], "<u2")[: r["n_tokens"]]))
     ids = np.concatenate([x for _, x in sorted(by[4], key=lambda p: p[0])])
     assert bytes(ids[:-1].astype(np.uint8)).decode() == ODD[4][1] and ids[-1] == training_order.END
-    assert {r["slot"] for r in training_order.read_from(spark, path, 20, 16).collect()} == set(range(20, n))
+    for start in (0, 20, 32, n - 1, n):
+        assert [r["slot"] for r in training_order.read_from(spark, path, start, 16).collect()] == list(range(start, n))
+    # every shard is one file whose rows stand by slot, all of one stride
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+    assert len(files) == -(-n // 16)
+    for shard in range(len(files)):
+        here = training_order.read_shard(spark, path, shard).selectExpr("slot", "length(tokens) as size", "_metadata.row_index as at").collect()
+        assert [r["slot"] for r in here] == list(range(shard * 16, min(n, shard * 16 + 16)))
+        assert all(r["at"] * r["size"] == r["slot"] % 16 * 128 for r in here)
+        assert [r["slot"] for r in training_order.read_shard(spark, path, shard, skip=5).collect()] == [r["slot"] for r in here][5:]
+    # a sequence's slot is the permutation of its place among the documents, task by task
+    placed = {(r["doc_id"], r["chunk"]): r["slot"] for r in rows}
+    assert sorted(training_order.index_of(np.array(sorted(placed.values())), n).tolist()) == list(range(n))
     empty = shared_path(spark, "t")
     assert training_order.write_shards(nothing, empty) == 0 and training_order.read_from(spark, empty).count() == 0
 

@@ -6,10 +6,10 @@ root's minimum is the leftmost pair of lowest rank. A merge changes at most
 three leaves, each with a logarithmic update, and the loop ends when the root
 is empty: O(n log n) for a piece of n bytes, so very long words are no danger.
 
-Texts are handled per white-space chunk: no piece crosses white space and the
-normaliser works character by character around it. Each Python worker keeps a
-bounded memo of chunks. The pieces that a block of texts brings anew are merged
-side by side: one segment tree per row of a matrix, one merge per row and step.
+Texts are normalised whole and cut into pieces, of which a task keeps a memo
+bounded by bytes; it is dropped when the task ends. The pieces that a block of
+texts brings anew are merged side by side: one segment tree per row of a
+matrix, one merge per row and step.
 
 Defined cases: a null text encodes as the empty text (0 tokens); special
 tokens that stand in a text are matched before normalisation, as the
@@ -30,8 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Chunks that a worker remembers before it starts anew, and the longest chunk among them.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
+#: Bytes of pieces that a task remembers before it starts anew, the longest piece among them, and what an entry needs besides characters.
+MEMO_BYTES, MEMO_CHARS, ENTRY_BYTES = 96 << 20, 64, 300
 #: Characters of text that are handled together.
 BLOCK_CHARS = 2_000_000
 #: Piece lengths that share a matrix; a tree has one leaf more. Longer pieces go one by one.
@@ -41,9 +41,10 @@ MAX_FILE_BYTES = 64 << 20
 
 #: Unicode White_Space, which the tokenizer's \s means (fixed values).
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_SPLIT = regex.compile(f"[{SPACE}]+")
-#: Python's str.split() also splits at these; they aren't White_Space.
-_ODD = regex.compile("[\\x1c-\\x1f]")
+
+
+#: In front of a special token among pieces; no piece begins so and holds more.
+_MARK = "\x00special "
 
 
 def byte_alphabet() -> list[str]:
@@ -71,18 +72,30 @@ class SegmentTreeBpe:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.made.append(vocab[a + b])
             self.rank[vocab[a] << 20 | vocab[b]] = r
-        self._keys = np.fromiter(self.rank, np.int64, len(self.rank))
-        by_key = np.argsort(self._keys)
-        self._keys = self._keys[by_key]
-        self._ranks = np.fromiter(self.rank.values(), np.int64, len(self.rank))[by_key]
-        self._made = np.array(self.made, np.int64)
-        self._inner, self._last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        # ids, ranks and tree cells of small vocabularies fit 32 bits, also two ids side by side
+        small = len(self.token) < 0xFFFF and len(self.made) < 1 << 25
+        self._shift, self._key, self._cell = (16, np.uint32, np.int32) if small else (20, np.int64, np.int64)
+        self._none = (1 << self._shift) - 1  # an id without pairs
+        pairs = np.fromiter(self.rank, np.int64, len(self.rank))
+        keys = (pairs >> 20 << self._shift | (pairs & 0xFFFFF)).astype(self._key)
+        by_key = np.argsort(keys)
+        self._keys = keys[by_key]
+        self._ranks = (np.fromiter(self.rank.values(), np.int64, len(self.rank))[by_key] << 6).astype(self._cell)
+        self._made = np.array(self.made, self._cell)
+        self._inner, self._last = np.array(self.inner, self._cell), np.array(self.last, self._cell)
+        self._number = [str(i) for i in range(max(self.token) + 1)]
         self.special = {a["content"]: a["id"] for a in d["added_tokens"]}
         self._specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         split = next(p for p in d["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # \s inside the file's pattern means White_Space
         self._pieces = regex.compile(split["pattern"]["Regex"].replace("\\s", SPACE))
-        self.memo: dict[str, tuple[int, str, str]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops what is remembered of pieces: ids and tokens of each as text, joined by a blank."""
+        self._ids: dict[str, str] = {_MARK + s: str(i) for s, i in self.special.items()}
+        self._tokens: dict[str, str] = {_MARK + s: s for s in self.special}
+        self._bytes = 0
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one piece."""
@@ -135,9 +148,9 @@ class SegmentTreeBpe:
         return [x for x in ids if x >= 0]
 
     def _leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, empty: int) -> np.ndarray:
-        key = left << 20 | right
+        key = left.astype(self._key) << self._shift | right.astype(self._key)
         k = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
-        return np.where(self._keys[k] == key, self._ranks[k] << 6 | at, empty)
+        return np.where(self._keys[k] == key, self._ranks[k] | at, empty).astype(self._cell, copy=False)
 
     def merge_side_by_side(self, pieces: list[bytes], width: int) -> list[list[int]]:
         """Token ids of each piece of at most ``width`` bytes (width + 1 is a power of two)."""
@@ -146,7 +159,7 @@ class SegmentTreeBpe:
         lens = np.fromiter(map(len, pieces), np.int64, m)
         data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(m, width)
         cols, rows = np.arange(size), np.arange(m)
-        ids = np.full((m, size), (1 << 20) - 1, np.int64)  # an id without pairs
+        ids = np.full((m, size), self._none, self._cell)
         inside = cols[:width] < lens[:, None]
         ids[:, :width][inside] = self._inner[data[inside]]
         ids[rows, lens - 1] = self._last[data[rows, lens - 1]]
@@ -154,7 +167,7 @@ class SegmentTreeBpe:
         after[rows, lens - 1] = width
         before = np.broadcast_to(cols - 1, (m, size)).copy()
         before[:, 0] = width  # the last column stands for "none"
-        tree = np.full((m, 2 * size), empty, np.int64)
+        tree = np.full((m, 2 * size), empty, self._cell)
         tree[:, size : size + width - 1] = self._leaves(ids[:, : width - 1], ids[:, 1:width], cols[: width - 1], empty)
         for p in range(size - 1, 0, -1):
             tree[:, p] = np.minimum(tree[:, 2 * p], tree[:, 2 * p + 1])
@@ -170,9 +183,11 @@ class SegmentTreeBpe:
             after[row, i] = k
             before[row, k] = i
             tree[row, size + j] = empty
-            tree[row, size + i] = self._leaves(ids[row, i], ids[row, k], i, empty)
-            tree[row, size + p] = self._leaves(ids[row, p], ids[row, i], p, empty)
-            ids[row, width] = (1 << 20) - 1
+            ids[row, width] = self._none
+            n = len(row)
+            put = self._leaves(ids[np.tile(row, 2), np.concatenate((i, p))], ids[np.tile(row, 2), np.concatenate((k, i))], np.concatenate((i, p)), empty)
+            tree[row, size + i] = put[:n]
+            tree[row, size + p] = put[n:]
             nodes = [size + i, size + j, size + p]
             for _ in range(size.bit_length() - 1):
                 nodes = [n >> 1 for n in nodes]
@@ -201,54 +216,41 @@ class SegmentTreeBpe:
                 out |= zip((p for p, _ in part), self.merge_side_by_side([d for _, d in part], width))
         return out
 
-    def learn(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
-        """(number of ids, ids as text, tokens as text) of chunks without white space."""
-        found = {}
-        for raw in chunks:
-            if raw.isascii():
-                text = raw.lower()
-            else:
-                text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()  # character by character: no final sigma
-            found[raw] = [text] if text.isalpha() else self._pieces.findall(text)
-        merged = self.merge_all({p for pieces in found.values() for p in pieces})
-        token = self.token
-        out = {}
-        for raw, pieces in found.items():
-            ids = [x for p in pieces for x in merged[p]]
-            out[raw] = (len(ids), " ".join(map(str, ids)), " ".join([token[x] for x in ids]))
+    def learn(self, pieces: set[str]) -> None:
+        """Remembers ids and tokens of new pieces."""
+        number, token = self._number, self.token
+        for piece, ids in self.merge_all(pieces).items():
+            self._ids[piece] = " ".join([number[x] for x in ids])
+            self._tokens[piece] = " ".join([token[x] for x in ids])
+            self._bytes += ENTRY_BYTES + 8 * len(piece)
+
+    def pieces(self, text: str) -> list[str]:
+        """Pieces of a whole text; special tokens, marked, stand for themselves."""
+        out = []
+        for part in self._specials.split(text) if self._specials else [text]:
+            if part in self.special:
+                out.append(_MARK + part)
+            elif part.isascii():
+                out += self._pieces.findall(part.lower())
+            else:  # character by character: no final sigma
+                out += self._pieces.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
         return out
 
     def encode_block(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of ids, ids joined by a space, decoded text) of each whole text."""
-        split = []
-        for text in texts:
-            parts = []
-            for part in self._specials.split(text) if self._specials else [text]:
-                if part in self.special:
-                    parts.append(part)
-                else:
-                    parts += _SPLIT.split(part) if _ODD.search(part) else part.split()
-            split.append(parts)
-        memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        if not memo:
-            memo |= {s: (1, str(i), s) for s, i in self.special.items()} | {"": (0, "", "")}
-        here = dict.fromkeys(c for parts in split for c in parts)  # the block's own chunks, close together in memory
-        new = [c for c in here if c not in memo]
-        memo |= self.learn(new)
-        counts, ids, tokens = {}, {}, {}
-        for c in here:
-            counts[c], ids[c], tokens[c] = memo[c]
-        silent = 0 in counts.values()  # chunks without a piece
+        if self._bytes > MEMO_BYTES:
+            self.forget()
+        split = [self.pieces(t) for t in texts]
+        new = set().union(*split).difference(self._ids)
+        self.learn(new)
+        ids, tokens = self._ids.__getitem__, self._tokens.__getitem__
         out = []
         for parts in split:
-            if silent:
-                parts = [c for c in parts if counts[c]]
-            out.append((sum(map(counts.__getitem__, parts)), " ".join(map(ids.__getitem__, parts)), " ".join(map(tokens.__getitem__, parts))))
-        for c in new:
-            if len(c) > MEMO_CHARS:
-                del memo[c]
+            text = " ".join(map(ids, parts))
+            out.append((text.count(" ") + 1 if parts else 0, text, " ".join(map(tokens, parts))))
+        for piece in new:
+            if len(piece) > MEMO_CHARS:
+                del self._ids[piece], self._tokens[piece]
         return out
 
 
@@ -265,6 +267,7 @@ def blocks(texts: list[str], most: int):
         yield part
 
 
+#: The tokenizer that a worker has parsed last, without memo.
 _LOADED: dict[str, SegmentTreeBpe] = {}
 
 
@@ -291,20 +294,26 @@ def encode_decode(df: DataFrame, tokenizer_path: str, keep: list[str], text: str
     schema += ", n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids string, decoded string" if with_ids else "")
 
     def run(batches):
-        gc.disable()  # the memo's many small tuples hold no cycles; scanning them costs more than the work
         bpe = _model(sent.value)
-        for batch in batches:
-            at = 0
-            for part in blocks([t or "" for t in batch.column("_text").to_pylist()], BLOCK_CHARS):
-                rows = bpe.encode_block(part)
-                cols = {c: batch.column(c).slice(at, len(part)) for c in keep}
-                at += len(part)
-                cols["n_tokens"] = pa.array([r[0] for r in rows], pa.int64())
-                for k, name in ((1, "ids_sha256"), (2, "decoded_sha256")):
-                    cols[name] = pa.array([hashlib.sha256(r[k].encode("utf-8")).hexdigest() for r in rows], pa.string())
-                if with_ids:
-                    cols["ids"] = pa.array([r[1] for r in rows], pa.string())
-                    cols["decoded"] = pa.array([r[2] for r in rows], pa.string())
-                yield pa.RecordBatch.from_pydict(cols)
+        collected = gc.isenabled()
+        gc.disable()  # the memo's many strings hold no cycles; scanning them costs more than the work
+        try:
+            for batch in batches:
+                at = 0
+                for part in blocks([t or "" for t in batch.column("_text").to_pylist()], BLOCK_CHARS):
+                    rows = bpe.encode_block(part)
+                    cols = {c: batch.column(c).slice(at, len(part)) for c in keep}
+                    at += len(part)
+                    cols["n_tokens"] = pa.array([r[0] for r in rows], pa.int64())
+                    for k, name in ((1, "ids_sha256"), (2, "decoded_sha256")):
+                        cols[name] = pa.array([hashlib.sha256(r[k].encode("utf-8")).hexdigest() for r in rows], pa.string())
+                    if with_ids:
+                        cols["ids"] = pa.array([r[1] for r in rows], pa.string())
+                        cols["decoded"] = pa.array([r[2] for r in rows], pa.string())
+                    yield pa.RecordBatch.from_pydict(cols)
+        finally:
+            bpe.forget()
+            if collected:
+                gc.enable()
 
     return base.mapInArrow(run, schema)

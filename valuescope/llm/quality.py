@@ -38,8 +38,8 @@ from valuescope.llm.common import bounded_sample, crc_mod, materialise
 #: Hash space of words, bins of a statistic, factors.
 WORD_SLOTS, BINS, FACTORS = 1 << 14, 12, 8
 DOCS_PER_LABEL, PARTS, ROUNDS, BATCH, RATE, DECAY, SEED = 6000, 6, 8, 64, 0.1, 1e-4, 20
-#: Words that a worker remembers the slot of.
-MEMO_WORDS = 300_000
+#: Words that a task remembers the slot of.
+MEMO_WORDS = 100_000
 
 #: Structure statistics, in the order of their bins; the last is metadata.
 STATISTICS = ("n_words", "word_length", "upper", "symbols", "digits", "marks", "distinct_words", "top_word", "same_as_previous", "same_lines", "letters", "recorded_length")
@@ -63,7 +63,9 @@ class Machine:
         return self.bias + np.add.reduceat(self.linear[idx] * val, starts) + 0.5 * (total * total - squares).sum(axis=1)
 
 
-class _Slots(dict):
+class Slots(dict):
+    """Slots of words, remembered while a task runs."""
+
     def __missing__(self, word: str) -> int:
         if len(self) > MEMO_WORDS:
             self.clear()
@@ -71,9 +73,6 @@ class _Slots(dict):
         return slot
 
 
-_SLOTS = _Slots()
-
-
 def _share(part: float, whole: float) -> int:
     """Bin of a share: 0 for none, then by powers of 2 below 1, the last for all."""
     if part <= 0 or whole <= 0:
@@ -81,7 +80,7 @@ def _share(part: float, whole: float) -> int:
     return max(1, BINS - 1 + int(np.floor(np.log2(min(1.0, part / whole)) * 1.5)))
 
 
-def features(text: str | None, recorded: int | None) -> tuple[list[int], list[float]]:
+def features(text: str | None, recorded: int | None, known: Slots) -> tuple[list[int], list[float]]:
     """Slots and values of one whole text."""
     text = text or ""
     words = text.lower().split()
@@ -109,7 +108,7 @@ def features(text: str | None, recorded: int | None) -> tuple[list[int], list[fl
     if n:
         slots: dict[int, int] = {}
         for word, c in counts.items():
-            s = _SLOTS[word]
+            s = known[word]
             slots[s] = slots.get(s, 0) + c
         x = 1.0 + np.log(np.fromiter(slots.values(), np.float64, len(slots)))
         idx += slots
@@ -160,8 +159,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     sample = rows.join(F.broadcast(keys), "key").dropDuplicates(["key"])
 
     def extract(batches):
+        known = Slots()
         for batch in batches:
-            got = [features(t, r) for t, r in zip(batch.column("text").to_pylist(), batch.column("recorded").to_pylist())]
+            got = [features(t, r, known) for t, r in zip(batch.column("text").to_pylist(), batch.column("recorded").to_pylist())]
             yield pa.RecordBatch.from_pydict({"key": batch.column("key").cast(pa.string()), "label": batch.column("label"), "idx": pa.array([g[0] for g in got], pa.list_(pa.int32())), "val": pa.array([g[1] for g in got], pa.list_(pa.float32()))})
 
     vectors = materialise(sample.mapInArrow(extract, "key string, label int, idx array<int>, val array<float>"), "quality-sample")
@@ -192,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
                 yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64()), "machine": pa.array([pickle.dumps((m.bias, m.linear.astype(np.float32), m.factors.astype(np.float32)))], pa.binary())})
 
         got = parts.mapInArrow(run, "n bigint, machine binary").collect()
+        sent.destroy()
         each = [(r["n"], *pickle.loads(r["machine"])) for r in sorted(got, key=lambda r: bytes(r["machine"]))]
         n = sum(e[0] for e in each)
         machine = Machine(*(sum(e[0] / n * np.asarray(e[k], np.float64) for e in each) for k in (1, 2, 3)))
@@ -199,13 +200,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     return machine
 
 
-def judge(machine: Machine | None, texts: list[str | None], recorded: list[int | None]) -> np.ndarray:
-    """Scores of texts, 0 to 1."""
+def judge(machine: Machine | None, texts: list[str | None], recorded: list[int | None], known: Slots | None = None) -> np.ndarray:
+    """Scores of texts, 0 to 1; ``known`` is a task's memo."""
+    known = Slots() if known is None else known
     if machine is None:
         return np.full(len(texts), 0.5)
     out = [np.zeros(0)]
     for at in range(0, len(texts), 500):
-        rows = [features(t, r) for t, r in zip(texts[at : at + 500], recorded[at : at + 500])]
+        rows = [features(t, r, known) for t, r in zip(texts[at : at + 500], recorded[at : at + 500])]
         out.append(1.0 / (1.0 + np.exp(-np.clip(machine.raw(*_packed(rows)), -500, 500))))
     return np.concatenate(out)
 
@@ -217,8 +219,9 @@ def score(df: DataFrame, machine: Machine | None, keep: list[str], text: str = "
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name not in ("_text", "_recorded"))
 
     def run(batches):
+        known = Slots()
         for batch in batches:
-            p = judge(sent.value, batch.column("_text").to_pylist(), batch.column("_recorded").to_pylist())
+            p = judge(sent.value, batch.column("_text").to_pylist(), batch.column("_recorded").to_pylist(), known)
             cols = {c: batch.column(c) for c in keep} | {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32))}
             yield pa.RecordBatch.from_pydict(cols)
 

@@ -64,8 +64,9 @@ def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "shards")
     training_order.write_shards(table(spark, sf_dir, "documents"), path)
     row_bytes = 2 * training_order.LENGTH
-    return training_order.read_from(spark, path).select(
-        "slot", F.col("shard"), (F.col("slot") % training_order.SHARD_SLOTS * row_bytes).alias("shard_offset"), "doc_id", "chunk", F.col("n_tokens").cast("bigint").alias("n_tokens"), F.sha1("tokens").alias("tokens_sha1")
+    rows = spark.read.schema(training_order.SHARD_SCHEMA).parquet(path)  # whole shards, where they stand
+    return rows.select(
+        "slot", "shard", (F.col("_metadata.row_index") * row_bytes).alias("shard_offset"), "doc_id", "chunk", F.col("n_tokens").cast("bigint").alias("n_tokens"), F.sha1("tokens").alias("tokens_sha1")
     )
 
 

@@ -8,11 +8,15 @@ at or above n, and walking its cycle from an index until a value below n turns
 up is a permutation of 0 .. n - 1: the sequence's slot. Nothing is sorted
 globally and no table of the permutation exists; ``index_of`` inverts it.
 
-Shard s holds slots s * shard_slots .. in order, one row a slot, each row the
-same number of bytes (uint16, little endian), so slot k stands at row
-k mod shard_slots of its shard. Shards are Parquet files written through Spark's
-committer: lost executors only repeat their tasks. ``read_from`` continues at any
-slot by skipping the shards before it.
+Slots are dealt by range: shard s is the range s * shard_slots .. of slots and
+the partition of that number, one task and one file, ``part-<s>``. Its rows stand in
+the order of their slots, one row a slot, each with the same number of token bytes
+(uint16, little endian; the stride is a row): slot k stands at row
+k mod shard_slots of its file, byte k mod shard_slots * 2 * length of its token
+column. Shards are Parquet files written through Spark's committer: lost
+executors only repeat their tasks. ``read_from`` continues at any slot: it opens
+no shard before the slot's, and in that one Parquet's statistics of the sorted
+slots skip what stands before it. ``read_shard`` reads one shard in order.
 
 Defined cases: a null text is an empty document, which is one sequence with
 only the end id; long texts give as many sequences as they need; repeated rows
@@ -32,7 +36,8 @@ from pyspark.sql import functions as F
 from valuescope.llm.common import shared_path
 
 END, PAD = 256, 257
-LENGTH, SHARD_SLOTS, KEY, FEISTEL_ROUNDS = 1024, 8192, 20240101, 6
+#: 512 MiB of ids a shard.
+LENGTH, SHARD_SLOTS, KEY, FEISTEL_ROUNDS = 1024, 1 << 18, 20240101, 6
 #: Multipliers of the 64-bit finaliser that mixes a half with its round's key (fixed values).
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Odd constant that tells the rounds' keys apart (fixed value).
@@ -151,16 +156,30 @@ def write_shards(docs: DataFrame, path: str, key_column: str = "doc_id", text: s
                 n = [len(d) + e for d, e in zip(data, ends)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "slot", "doc_id", "chunk")), pa.array(n, pa.int32()), pa.array([r.tobytes() for r in out], pa.binary())], names=["shard", "slot", "doc_id", "chunk", "n_tokens", "tokens"])
 
-    # every shard is a range of slots that lies whole in one task
-    ordered = placed.repartition("shard").sortWithinPartitions("shard", "slot")
-    ordered.mapInArrow(ids, "shard bigint, slot bigint, doc_id bigint, chunk bigint, n_tokens int, tokens binary").write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    # a shard's number is its partition's; a partition without rows writes no file
+    shards = max(1, -(-total // shard_slots))
+    ordered = placed.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+    ordered.mapInArrow(ids, SHARD_SCHEMA).write.option("compression", "zstd").parquet(path)
     return total
 
 
-SHARD_SCHEMA = "slot bigint, doc_id bigint, chunk bigint, n_tokens int, tokens binary, shard bigint"
+SHARD_SCHEMA = "shard bigint, slot bigint, doc_id bigint, chunk bigint, n_tokens int, tokens binary"
+
+
+def _part(shard: int) -> str:
+    return f"part-{shard:05d}-*"
 
 
 def read_from(spark: SparkSession, path: str, slot: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """Rows of the shards from ``slot`` on; whole shards before it aren't opened."""
+    """Rows from ``slot`` on, in the order of slots: range partitions over what is left, each sorted."""
     rows = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    return rows.filter((F.col("shard") >= slot // shard_slots) & (F.col("slot") >= slot))
+    if slot > 0:
+        number = F.regexp_extract(F.col("_metadata.file_name"), "^part-([0-9]+)-", 1).cast("bigint")
+        rows = rows.filter((number >= slot // shard_slots) & (F.col("slot") >= slot))
+    return rows.orderBy("slot")
+
+
+def read_shard(spark: SparkSession, path: str, shard: int, skip: int = 0) -> DataFrame:
+    """Rows of one shard as they stand in its file, without the first ``skip`` (from whole row groups and pages on)."""
+    rows = spark.read.schema(SHARD_SCHEMA).option("pathGlobFilter", _part(shard)).parquet(path)
+    return rows.filter(F.col("_metadata.row_index") >= skip) if skip else rows
