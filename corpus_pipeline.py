@@ -38,7 +38,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality machine scores at 0.5 or more."""
     labels = table(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id")))
     sent = spark.sparkContext.broadcast(quality.train(docs, labels))
-    return keep_rows(docs, ["text", "n_chars"], lambda: lambda texts, sizes: quality.judge(sent.value, texts, sizes) >= 0.5)
+
+    def make():
+        known = quality.Slots()
+        return lambda texts, sizes: quality.judge(sent.value, texts, sizes, known) >= 0.5
+
+    return keep_rows(docs, ["text", "n_chars"], make)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
