@@ -38,7 +38,6 @@ HEADLINE = [
     "churn_risk_metrics",
     "clv_scores",
     "churn_scores",
-    "churn_model_comparison",
 ]
 
 
