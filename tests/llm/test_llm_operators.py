@@ -177,8 +177,7 @@ def test_shards_round_trip(spark, odd, nothing):
         assert all(r["at"] * r["size"] == r["slot"] % 16 * 128 for r in here)
         assert [r["slot"] for r in training_order.read_shard(spark, path, shard, skip=5).collect()] == [r["slot"] for r in here][5:]
     # a sequence's slot is the permutation of its place among the documents, task by task
-    placed = {(r["doc_id"], r["chunk"]): r["slot"] for r in rows}
-    assert sorted(training_order.index_of(np.array(sorted(placed.values())), n).tolist()) == list(range(n))
+    assert sorted(training_order.index_of(np.array([r["slot"] for r in rows]), n).tolist()) == list(range(n))
     empty = shared_path(spark, "t")
     assert training_order.write_shards(nothing, empty) == 0 and training_order.read_from(spark, empty).count() == 0
 
@@ -208,11 +207,56 @@ def test_preference_prefix(spark):
     assert got[2]["rejected"] == "" and got[3]["chosen"] == ""
 
 
-def test_cutoffs_keep_the_exact_bound(spark):
-    rows = [("en", 1, 0 if k else 1) for k in range(4000)] + [("en", 0, 1)] * 50 + [("xx", 1, 0)] * 10 + [("xx", 0, 1)] * 10
-    df = spark.createDataFrame(rows, "stratum string, label int, m int")
-    got = quality_rules.choose_cutoffs(df, {"m": ("m", (0,))}, alpha=0.01, delta=0.05).collect()
-    assert [(r["stratum"], r["cutoff"], r["k"]) for r in got] == [("en", 0, 1)]
+def test_binomial_tail_equals_the_sum(spark):
+    from math import comb, log
+
+    cases = [(0, 0, 0.02), (1, 0, 0.02), (500, 3, 0.02), (500, 9, 0.02), (3000, 40, 0.02), (200, 1, 0.1), (100, 30, 0.02)]
+    for n, k, a in cases:
+        got = spark.range(1).select(quality_rules.log_tail(F.lit(n), F.lit(k), a)).first()[0]
+        want = log(sum(comb(n, i) * a**i * (1 - a) ** (n - i) for i in range(k + 1))) if k < n * a else 0.0
+        assert abs(got - want) < 1e-8 * max(1, abs(want))
+    far = spark.range(1).select(quality_rules.log_tail(F.lit(10**9), F.lit(19_990_000), 0.02)).first()[0]  # 2.26 deviations below the mean
+    assert abs(far - log(0.0119)) < 0.02
+
+
+def _labelled(spark, rows):
+    import hashlib
+
+    return spark.createDataFrame([(s, hashlib.md5(f"{s}{i}".encode()).hexdigest(), m, y) for i, (s, m, y) in enumerate(rows)], "stratum string, digest string, m int, label int")
+
+
+def test_cutoffs_keep_their_promise(spark):
+    rules = {"m": ("m", (0, 10, 20, 30))}
+    # 500 labels: bad texts lie above 20, good ones below 12; a small stratum is pooled with another
+    rows = [("en", 25 + i % 9, 0) for i in range(60)] + [("en", i % 12, 1) for i in range(500)]
+    rows += [(s, 40, 0) for s in ("de", "fr") for _ in range(20)] + [(s, 1, 1) for s in ("de", "fr") for _ in range(180)]
+    rows += [("es", 40, 0)] * 20 + [("es", 39, 1)] * 500
+    got = {(r["stratum"], r["rule"]): r for r in quality_rules.choose_cutoffs(_labelled(spark, rows), rules).collect()}
+    assert {k: r["cutoff"] for k, r in got.items()} == {("en", "m"): 20, ("de", "m"): 10, ("fr", "m"): 10}
+    assert got["de", "m"]["judged_with"] is None and got["de", "m"]["n"] == got["fr", "m"]["n"] and got["en", "m"]["judged_with"] == "en"
+    assert ("es", "m") not in got  # what catches bad texts there rejects the good ones
+    copies = _labelled(spark, [("en", 25, 0)] * 30 + [("en", 1, 1)] * 500).withColumn("digest", F.when(F.col("label") == 1, F.lit("f0")).otherwise(F.col("digest")))
+    assert quality_rules.choose_cutoffs(copies, rules).collect() == []  # 500 copies of a good text are one trial
+    assert quality_rules.choose_cutoffs(copies.limit(0), rules).collect() == []
+
+
+def test_false_rejections_stay_bounded_on_new_texts(spark):
+    import random
+
+    rng = random.Random(4)
+    rules = {"m": ("m", tuple(range(0, 100, 5))), "w": ("w", tuple(range(0, 100, 5)))}
+
+    def draw(n):
+        rows = []
+        for i in range(n):
+            y = int(rng.random() < 0.8)
+            rows.append(("en", f"{rng.getrandbits(128):032x}", int(rng.gauss(20 if y else 60, 15)), int(rng.gauss(30 if y else 50, 20)), y))
+        return spark.createDataFrame(rows, "stratum string, digest string, m int, w int, label int")
+
+    cut = {r["rule"]: r["cutoff"] for r in quality_rules.choose_cutoffs(draw(6000), rules).collect()}
+    rejected = F.expr(" or ".join(f"{name} > {c}" for name, c in cut.items()))
+    shares = {r["label"]: r["s"] for r in draw(6000).groupBy("label").agg(F.avg(rejected.cast("int")).alias("s")).collect()}
+    assert shares[1] <= 0.025 and shares[0] > 0.3
 
 
 def test_url_rules(spark):

@@ -42,9 +42,7 @@ select ra.pair_id, n.n as n_prompt_turns, prompt, chosen, chosen_mask, rejected,
 from ra join rb on ra.pair_id = rb.pair_id join n on ra.pair_id = n.pair_id
 """
 
-_CELLS = " union all ".join(f"select '{name}' as rule, {c} as cutoff, doc_id, ({measure.replace(' div ', ' // ')}) > {c} as over from m" for name, (measure, cutoffs) in RULES.items() for c in cutoffs)
-_N_CELLS = sum(len(c) for _, c in RULES.values())
-_A = ALPHA / len(RULES)
+_CELLS = " union all ".join(f"select '{name}' as rule, {c} as cutoff, grp, digest, stratum, label, explore, ({measure.replace(' div ', ' // ')}) > {c} as over from one join grps using (stratum)" for name, (measure, cutoffs) in RULES.items() for c in cutoffs)
 _BLANK = r"[\x20\x09-\x0D]"
 _OP3 = rf"""
 with t as (select row_number() over () as r, doc_id, coalesce(lang, 'und') as stratum, coalesce(text, '') as text from documents),
@@ -55,20 +53,30 @@ h as (select r, i, list_slice(words, i, i + 7) as win from g),
 dup as (select r, i from (select r, i, count(*) over (partition by r, win) as c from h) where c > 1),
 cov as (select r, count(distinct pos) as n_repeat_words from (select r, unnest(range(i, i + 8)) as pos from dup) group by r),
 m as (
-  select w.r, doc_id, stratum, len(words) as n_words, length(regexp_replace(text, '{_BLANK}', '', 'g')) as word_chars,
+  select w.r, doc_id, stratum, md5(text) as digest, len(words) as n_words, length(regexp_replace(text, '{_BLANK}', '', 'g')) as word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines, len(lines) as n_lines,
     coalesce(n_repeat_words, 0) as n_repeat_words
   from w left join cov on w.r = cov.r
 ), lab as (select doc_id, max(quality) as label from labels where doc_id is not null and quality in (0, 1) group by doc_id),
+one as (
+  select stratum, digest, max(label) as label, substr(digest, 1, 1) < '8' as explore, {", ".join(f"any_value({c}) as {c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words"))}
+  from m join lab on m.doc_id = lab.doc_id group by stratum, digest
+), sizes as (select stratum, coalesce(sum(label) filter (not explore), 0) as n from one group by stratum),
+grps as (select stratum, case when n * ln(1 - {ALPHA}) <= ln({DELTA} / (select count(*) from sizes)) then 's:' || stratum else 'pool' end as grp from sizes),
+tests as (select count(distinct grp) as tests from grps),
 cells as ({_CELLS}),
-cnt as (
-  select m.stratum, rule, cutoff, sum(label) as n, sum(case when over and label = 1 then 1 else 0 end) as k, sum(case when over and label = 0 then 1 else 0 end) as bad
-  from cells join lab on cells.doc_id = lab.doc_id join (select distinct doc_id, stratum from m) m on m.doc_id = cells.doc_id group by all
-), tests as (select count(distinct stratum) * {_N_CELLS} as tests from cnt),
-tail as (
-  select c.*, (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_A}) + (n - i) * ln(1 - {_A}))) from (select unnest(range(0, cast(k as bigint) + 1)) as i)) as p from cnt c
-), good as (select * from tail, tests where k < n * {_A} and p <= {DELTA} / tests and bad > 0),
-best as (select stratum, rule, max(struct_pack(bad := bad, cutoff := cutoff)).cutoff as cutoff from good group by stratum, rule)
+explored as (select grp, rule, cutoff, sum(label) as k, sum(1 - label) as bad from cells where explore and over group by all having sum(1 - label) > 0),
+steps as (select *, row_number() over (partition by grp order by k / bad, bad desc, rule, cutoff desc) as step from explored),
+fallen as (select grp, stratum, digest, label, min(step) as step from cells join steps using (grp, rule, cutoff) where over and not explore group by all),
+falls as (select grp, step, sum(label) as good from fallen group by all),
+path as (
+  select steps.grp, rule, cutoff, sum(coalesce(good, 0)) over (partition by steps.grp order by steps.step) as k, n
+  from steps left join falls using (grp, step) join (select grp, sum(label) as n from one join grps using (stratum) where not explore group by grp) using (grp)
+), tail as (
+  select path.*, (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({ALPHA}) + (n - i) * ln(1 - {ALPHA}))) from (select unnest(range(0, cast(k as bigint) + 1)) as i)) as p from path
+), best as (
+  select stratum, rule, min(cutoff) as cutoff from tail join grps using (grp), tests where k < n * {ALPHA} and p <= {DELTA} / tests group by stratum, rule
+)
 select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
   not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and not exists (
