@@ -229,7 +229,7 @@ def test_cutoffs_keep_their_promise(spark):
     rules = {"m": ("m", (0, 10, 20, 30))}
     # 500 labels: bad texts lie above 20, good ones below 12; a small stratum is pooled with another
     rows = [("en", 25 + i % 9, 0) for i in range(60)] + [("en", i % 12, 1) for i in range(500)]
-    rows += [(s, 40, 0) for s in ("de", "fr") for _ in range(20)] + [(s, 1, 1) for s in ("de", "fr") for _ in range(180)]
+    rows += [(s, 40, 0) for s in ("de", "fr") for _ in range(20)] + [(s, 1, 1) for s in ("de", "fr") for _ in range(280)]
     rows += [("es", 40, 0)] * 20 + [("es", 39, 1)] * 500
     got = {(r["stratum"], r["rule"]): r for r in quality_rules.choose_cutoffs(_labelled(spark, rows), rules).collect()}
     assert {k: r["cutoff"] for k, r in got.items()} == {("en", "m"): 20, ("de", "m"): 10, ("fr", "m"): 10}
