@@ -12,8 +12,11 @@ The context trees of all languages are compiled into one automaton: its states
 are the contexts that any language has, its step goes to the longest known
 suffix. The state before a byte depends on no more than ``order`` bytes, so
 numpy finds the states of a whole block with ``order`` look-ups a byte. A text's
-language is that with the shortest code; its score is that language's share
-2^-bits among the learned ones.
+language is that with the shortest code; its score is that language's share of
+2^-(``EVIDENCE`` * bits a byte) among the learned ones and plain bytes of 8 bits: as
+sure as so many bytes of the text's kind would make one, however long it is, and
+near 0 for a text in none of the learned languages, whose code is longer than
+the plain bytes.
 
 Training reads a sample of at most ``docs_per_lang`` documents a language (a
 documented bound; the rest of the counts is Spark's). The model's size depends
@@ -44,6 +47,10 @@ MAX_SAMPLE_CHARS = 200_000
 #: Bytes that are scored together.
 BLOCK_BYTES = 1 << 20
 UNDETERMINED = "und"
+#: Bytes of evidence that a score stands for.
+EVIDENCE = 8
+#: Bits that a byte takes without any model.
+PLAIN_BITS = 8.0
 #: A byte that no UTF-8 text holds: it stands between texts.
 GAP = 0xFF
 
@@ -194,8 +201,10 @@ def judge(model: PpmModel | None, texts: list[str | None]) -> tuple[list[str], n
     data = [t.encode("utf-8") if k else b"" for t, k in zip(texts, known)]
     bits = code_lengths(model, data)
     best, least = bits.argmin(axis=1), bits.min(axis=1)
-    share = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
-    rate = least / np.maximum([len(d) for d in data], 1)
+    size = np.maximum([len(d) for d in data], 1)
+    rate = least / size
+    rivals = np.column_stack([bits / size[:, None], np.full(len(texts), PLAIN_BITS)])
+    share = 1.0 / np.exp2(np.clip((rate[:, None] - rivals) * EVIDENCE, -1000.0, 1000.0)).sum(axis=1)
     return [model.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], np.where(known, share, 0.0), np.where(known, rate, 0.0)
 
 

@@ -169,7 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         return None
     rng = np.random.default_rng(SEED)
     machine = Machine(0.0, np.zeros(SLOTS), rng.normal(0, 0.02, (SLOTS, FACTORS)))
-    parts = vectors.coalesce(PARTS)
+    # dealt by key, so that the parts, and with them the machine, don't depend on the sample's files
+    parts = vectors.repartitionById(PARTS, F.pmod(F.xxhash64("key"), F.lit(PARTS)).cast("int"))
     for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast(machine)
 
