@@ -16,18 +16,15 @@ from valuescope.llm import bpe, decontaminate, jaccard, langid, quality
 from valuescope.llm.common import keep_rows, shared_path, table
 from valuescope.llm.queries import tokenizer_path
 
-#: Least share of the best language's code among the learned ones.
-MIN_LANGUAGE_SHARE = 0.5
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents with letters that the best learned language codes shorter than plain bytes."""
     sent = spark.sparkContext.broadcast(langid.train(docs.filter(~langid.held_out(F.col("doc_id")))))
 
     def make():
         def mask(texts):
-            langs, share, _ = langid.judge(sent.value, texts)
-            return [x != langid.UNDETERMINED and s >= MIN_LANGUAGE_SHARE for x, s in zip(langs, share)]
+            langs, _, rate = langid.judge(sent.value, texts)
+            return [x != langid.UNDETERMINED and r < langid.PLAIN_BITS for x, r in zip(langs, rate)]
 
         return mask
 
