@@ -26,9 +26,13 @@ words; a larger benchmark takes one pass over the texts a shard. Number of items
 document frequencies, mean and longest length are those of the whole benchmark,
 so rows don't depend on the shards.
 
-Defined cases: null texts and null items have no words; items of fewer than
-``MIN_ITEM_WORDS`` words prove nothing and match nothing; equal items all
-match; repeated documents each give their rows; empty tables give an empty
+Items too short to score (fewer than ``MIN_ITEM_WORDS`` words) are matched exactly:
+all their words, one after another, found in one pass of an Aho-Corasick automaton over
+the words of a text; of scripts written without blanks, all their letters. Their score
+and overlaps are 1. Items of fewer than ``EXACT_WORDS`` words (``EXACT_LETTERS`` letters
+without blanks) match nothing, as any text may hold them.
+
+Defined cases: null texts and null items have no words; equal items all match; repeated documents each give their rows; empty tables give an empty
 result; other columns are ignored.
 """
 
@@ -36,6 +40,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import fsum, log1p
@@ -50,11 +55,15 @@ from valuescope.llm.common import let_workers_import, materialise
 K1, B = 1.2, 0.75
 THRESHOLD, QUESTION_OVERLAP, ANSWER_OVERLAP, NGRAM = 0.6, 0.6, 0.5, 3
 MIN_ITEM_WORDS, RANGE_ITEMS = 5, 8
+#: Least words of an item that is matched exactly, and least letters of one in a script without blanks.
+EXACT_WORDS, EXACT_LETTERS = 3, 6
 SHARD_ITEMS, SHARD_WORDS = 512, 200_000
 #: Words of text that are looked up together.
 BLOCK_WORDS = 200_000
 
 _WORD, _SENTENCE = re.compile(r"\w+"), re.compile(r"[.!?\n]+")
+#: Letters of scripts that put no blanks between words: Thai, Lao, Burmese, Khmer, Kana, Han (fixed ranges).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -70,6 +79,52 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return whole[:cut], whole[cut:]
 
 
+def exact_pattern(words: list[str]) -> tuple[bool, str] | None:
+    """How a short item is matched: (whether without blanks, its text); None if it is too short for that too."""
+    joined = "".join(words)
+    if _UNSPACED.search(joined):
+        return (True, joined) if len(joined) >= EXACT_LETTERS else None
+    return (False, f" {' '.join(words)} ") if len(words) >= EXACT_WORDS else None
+
+
+class ExactItems:
+    """Numbers of short items by pattern; the automata are built where they are used."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]):
+        self.items: dict[tuple[bool, str], list[int]] = {}
+        for item, words in items:
+            if pattern := exact_pattern(words):
+                self.items.setdefault(pattern, []).append(item)
+        self._automata: list | None = None
+
+    def __getstate__(self):
+        return {"items": self.items, "_automata": None}
+
+    def _built(self) -> list:
+        if self._automata is None:
+            import ahocorasick
+
+            self._automata = []
+            for unspaced in (False, True):
+                automaton = ahocorasick.Automaton()
+                for (kind, text), items in self.items.items():
+                    if kind == unspaced:
+                        automaton.add_word(text, items)
+                if len(automaton):
+                    automaton.make_automaton()
+                    self._automata.append((unspaced, automaton))
+        return self._automata
+
+    def find(self, words: list[str]) -> set[int]:
+        """Items that stand in a text of these words."""
+        found: set[int] = set()
+        for unspaced, automaton in self._built() if self.items and words else ():
+            text = "".join(words) if unspaced else f" {' '.join(words)} "
+            for _, items in automaton.iter(text):
+                found.update(items)
+        return found
+
+
 @dataclass
 class Index:
     items: list[int]
@@ -79,7 +134,7 @@ class Index:
     range_max: np.ndarray  # term x range
     parts: list[tuple[list[str], list[str]]]
     longest: int
-    grams: dict = field(default_factory=dict)
+    exact: ExactItems = field(default_factory=lambda: ExactItems([]))
 
 
 @dataclass
@@ -92,9 +147,12 @@ class Corpus:
 
 def build_index(rows: list[tuple[int, str]], corpus: Corpus | None = None) -> Index | None:
     """Index of (item_id, text); ``corpus`` has the statistics of all items where these are a part."""
-    kept = [(i, t, w) for i, t in rows if t and len(w := words_of(t)) >= MIN_ITEM_WORDS]
+    every = [(i, t, words_of(t)) for i, t in rows if t]
+    kept = [r for r in every if len(r[2]) >= MIN_ITEM_WORDS]
+    short = [(i, w) for i, _, w in every if 0 < len(w) < MIN_ITEM_WORDS]
+    exact = ExactItems([(len(kept) + k, w) for k, (_, w) in enumerate(short)])  # their numbers follow the scored items'
     if not kept:
-        return None
+        return Index([i for i, _ in short], {}, [], [], np.zeros((0, 0), np.float32), [], 1, exact) if exact.items else None
     kept.sort(key=lambda r: (r[0] is None, r[0], r[1]))
     term: dict[str, int] = {}
     counts = []
@@ -122,7 +180,7 @@ def build_index(rows: list[tuple[int, str]], corpus: Corpus | None = None) -> In
         for t, w in weight.items():
             posts[t].append((d, w / own))
             range_max[t, d // RANGE_ITEMS] = max(range_max[t, d // RANGE_ITEMS], w / own)
-    return Index([i for i, _, _ in kept], term, posts, [max(w for _, w in p) for p in posts], range_max, [question_and_answer(t) for _, t, _ in kept], corpus.longest)
+    return Index([i for i, _, _ in kept] + [i for i, _ in short], term, posts, [max(w for _, w in p) for p in posts], range_max, [question_and_answer(t) for _, t, _ in kept], corpus.longest, exact)
 
 
 def wand(index: Index, terms: list[int], low: int, high: int, threshold: float) -> list[tuple[int, float]]:
@@ -131,7 +189,8 @@ def wand(index: Index, terms: list[int], low: int, high: int, threshold: float)
     part = low // RANGE_ITEMS
     lists = []
     for t in terms:
-        block = [p for p in index.posts[t] if low <= p[0] < high]
+        posts = index.posts[t]  # in item order: a search finds the block, nothing before it is read
+        block = posts[bisect_left(posts, (low,)) : bisect_left(posts, (high,))]
         if block:
             lists.append([block, 0, float(index.range_max[t, part]) + 1e-7])
     out = []
@@ -148,8 +207,7 @@ def wand(index: Index, terms: list[int], low: int, high: int, threshold: float)
         weights = []
         for x in lists:
             block, at, _ = x
-            while at < len(block) and block[at][0] < pivot:
-                at += 1
+            at = bisect_left(block, (pivot,), at)
             if at < len(block) and block[at][0] == pivot:
                 weights.append(block[at][1])
                 at += 1
@@ -174,7 +232,9 @@ def overlap(part: list[str], text: list[str]) -> float:
 def find_leaks(index: Index, texts: list[list[str]], threshold: float = THRESHOLD) -> list[dict[int, tuple[float, float, float]]]:
     """For each text (a list of words): item number -> (score, question overlap, answer overlap)."""
     step = index.longest
-    found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
+    found: list[dict[int, tuple[float, float, float]]] = [dict.fromkeys(index.exact.find(words), (1.0, 1.0, 1.0)) for words in texts]
+    if not index.parts:
+        return found
     # blocks of one item length; a passage is two of them that follow each other
     terms, starts, of, at = [], [], [], []
     get = index.term.get
@@ -235,23 +295,25 @@ def load_shards(items: DataFrame, key: str = "item_id", text: str = "text") -> I
 
     let_workers_import(items.sparkSession)
     rows = items.select(F.col(key).cast("bigint").alias("item_id"), F.col(text).alias("text")).mapInArrow(count, "item_id bigint, text string, size bigint, words array<string>")
-    rows = materialise(rows.filter(F.col("size") >= MIN_ITEM_WORDS).withColumn("row", F.monotonically_increasing_id()), "items")
-    n, total, longest = rows.agg(F.count("*"), F.sum("size"), F.max("size")).first()
-    if not n:
+    rows = materialise(rows.filter("size > 0").withColumn("row", F.monotonically_increasing_id()), "items")
+    scored = F.col("size") >= MIN_ITEM_WORDS
+    every, words, n, total, longest = rows.agg(F.count("*"), F.sum("size"), F.count(F.when(scored, 1)), F.sum(F.when(scored, F.col("size"))), F.max(F.when(scored, F.col("size")))).first()
+    if not every:
         return
-    shards = max(-(-n // SHARD_ITEMS), -(-total // SHARD_WORDS))
+    shards = max(-(-every // SHARD_ITEMS), -(-words // SHARD_WORDS))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
-    pairs = rows.select("shard", F.explode("words").alias("word")).groupBy("shard", "word").agg(F.count("*").alias("here"))
+    pairs = rows.filter(scored).select("shard", F.explode("words").alias("word")).groupBy("shard", "word").agg(F.count("*").alias("here"))
     frequencies = materialise(pairs.join(pairs.groupBy("word").agg(F.sum("here").alias("df")), "word").select("shard", "word", "df"), "frequencies")
 
     def build(part, words):
         df = dict(zip(words.column("word").to_pylist(), words.column("df").to_pylist()))
-        index = build_index(list(zip(part.column("item_id").to_pylist(), part.column("text").to_pylist())), Corpus(n, total / n, longest, df))
+        index = build_index(list(zip(part.column("item_id").to_pylist(), part.column("text").to_pylist())), Corpus(n, (total or 0) / max(n, 1), longest or 1, df))
         return pa.table({"shard": pa.array([part.column("shard")[0].as_py()], pa.int32()), "index": pa.array([pickle.dumps(index)], pa.binary())})
 
     built = rows.select("shard", "item_id", "text").groupBy("shard").cogroup(frequencies.groupBy("shard")).applyInArrow(build, "shard int, index binary")
     for r in materialise(built, "index").toLocalIterator():
-        yield pickle.loads(r["index"])
+        if (index := pickle.loads(r["index"])) is not None:
+            yield index
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
