@@ -45,6 +45,33 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def give_back() -> None:
+    """Hands unused memory of a Python worker back to the system, where it can be."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for mapInArrow, which gives memory back when a task is done: workers outlive their tasks."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def keep_rows(df: DataFrame, needed: list[str], make: Callable) -> DataFrame:
     """The rows of ``df``, all columns as they are, for which the mask of their batch is true.
 
@@ -59,7 +86,7 @@ def keep_rows(df: DataFrame, needed: list[str], make: Callable) -> DataFrame:
             yield batch.filter(pa.array(mask(*(batch.column(c).to_pylist() for c in needed)), pa.bool_()))
 
     let_workers_import(df.sparkSession)
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def bounded_sample(df: DataFrame, key: str, group: str, most: int) -> DataFrame:

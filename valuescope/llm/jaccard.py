@@ -55,7 +55,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from valuescope.llm.common import materialise
+from valuescope.llm.common import materialise, tidy
 
 WORDS, PERCENT = 5, 80
 #: Frequent shingles that are told apart, and the reports (sums) from which a shingle is in a class of combinations of k.
@@ -186,7 +186,7 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield last
 
     base = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return base.mapInArrow(run, "doc_id bigint, n bigint, class bigint, check bigint, token bigint, times bigint")
+    return base.mapInArrow(tidy(run), "doc_id bigint, n bigint, class bigint, check bigint, token bigint, times bigint")
 
 
 def scales(n: int) -> range:
@@ -268,7 +268,7 @@ def index_rows(docs: DataFrame, frequent: list, key: str, text: str) -> DataFram
             if parts:
                 yield rows(parts)
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "signature bigint, class bigint, n bigint, short boolean")
+    return docs.select(F.col(text).alias("text")).mapInArrow(tidy(run), "signature bigint, class bigint, n bigint, short boolean")
 
 
 def shared_only(index: DataFrame) -> DataFrame:
@@ -300,7 +300,7 @@ def shared_only(index: DataFrame) -> DataFrame:
         if before is not None and held:
             yield before
 
-    return ordered.mapInArrow(run, index.schema)
+    return ordered.mapInArrow(tidy(run), index.schema)
 
 
 def texts_of(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -327,7 +327,7 @@ def own_shingles(texts: DataFrame) -> DataFrame:
                 if sets:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(np.array([_class_of(s)[0] for s in sets], np.int64), [len(s) for s in sets]))], names=["token", "class"])
 
-    tokens = texts.select("text").mapInArrow(run, "token bigint, class bigint")
+    tokens = texts.select("text").mapInArrow(tidy(run), "token bigint, class bigint")
     # a text that comes twice only makes its class's number smaller, and the bound weaker
     return tokens.groupBy("token").agg(F.min("class").alias("class"), F.count("*").alias("times")).filter("times = 1").groupBy("class").agg(F.count("*").alias("own"))
 
@@ -363,7 +363,7 @@ def sets_by_class(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str
                 seen |= out.keys()
                 yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.binary())], names=["class", "tokens"])
 
-    return near.select("text").mapInArrow(sets, "class bigint, tokens binary").dropDuplicates(["class"])
+    return near.select("text").mapInArrow(tidy(sets), "class bigint, tokens binary").dropDuplicates(["class"])
 
 
 def _linked(sets: list[np.ndarray], asks, there: np.ndarray):
@@ -460,7 +460,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text
                 ok.append(100 * common >= PERCENT * (len(s) + len(t) - common))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(compare), "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -478,8 +478,8 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select("lo", "lo").distinct())
 
 
-def class_components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Of each row: doc_id, n, class. Of each class: class, least_id, root (the component's least class), component_id, n_links."""
+def class_components(docs: DataFrame, key: str, text: str, with_links: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Of each row: doc_id, n, class. Of each class: class, least_id, root (the component's least class), component_id, n_links (null unless asked for)."""
     seen = materialise(scan(docs, key, text), "scan")
     nodes = seen.filter("n is not null").select("doc_id", "n", "class", "check")
     same = F.when(F.min("check") == F.max("check"), F.max("n")).otherwise(F.raise_error(F.lit("two sets have the same 64-bit hash")))
@@ -515,9 +515,12 @@ def class_components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, D
 
     root = components(links)
     placed = materialise(classes.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "placed")
-    degree = count_links(placed, classes, docs, key, text)
     names = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = materialise(placed.join(names, "root").join(degree, "class", "left").select("class", "least_id", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "components")
+    of_class = placed.join(names, "root")
+    if with_links:
+        of_class = of_class.join(count_links(placed, classes, docs, key, text), "class", "left")
+    links = F.coalesce("n_links", F.lit(0)) if with_links else F.lit(None).cast("bigint")
+    of_class = materialise(of_class.select("class", "least_id", "root", "component_id", links.alias("n_links")), "components")
     return nodes.select("doc_id", "n", "class"), of_class
 
 
@@ -540,7 +543,7 @@ def with_class(docs: DataFrame, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, pa.int64())], names=[*names, "_class"])
 
     names = docs.columns
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_class", LongType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField("_class", LongType())]))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -550,7 +553,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     that repeat both, one stays. Texts with an empty set link with nothing, so all of their rows stay.
     Most texts are told by a part of their id that no removed id has, and needn't be shuffled.
     """
-    nodes, of_class = class_components(docs, key, text)
+    nodes, of_class = class_components(docs, key, text, with_links=False)
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id"), F.col("class"))).alias("k")
     keepers = materialise(of_class.groupBy("root").agg(first).select(F.col("k.least_id").alias("_id"), F.col("k.class").alias("_of")), "keepers")
     stays = (F.col("n") == 0) | (F.col("_of").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_id")))
