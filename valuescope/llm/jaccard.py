@@ -532,18 +532,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return some.union(none)
 
 
-def with_class(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` and the class of each text as ``_class``; null for an empty set."""
+def with_class(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``docs`` and the class of each text as column ``name``; null for an empty set."""
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 cls = [_class_of(s)[0] if len(s) else None for s in sets_of(batch.column(names.index(text)))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, pa.int64())], names=[*names, "_class"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, pa.int64())], names=[*names, name])
 
     names = docs.columns
-    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField("_class", LongType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -551,23 +551,33 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Each row is judged by its own text, also when its id is null (null ids come last) or repeated. Of rows
     that repeat both, one stays. Texts with an empty set link with nothing, so all of their rows stay.
-    Most texts are told by a part of their id that no removed id has, and needn't be shuffled.
+    Most texts are told by a part of their id that no removed id has, and needn't be shuffled. Columns
+    that are added on the way take names that ``docs`` doesn't have.
     """
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name += "_"
+        return name
+
+    c_key, c_part, c_rows, c_touched, c_class, c_id, c_of = map(free, ("_key", "_part", "_rows", "_touched", "_class", "_id", "_of"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
     nodes, of_class = class_components(docs, key, text, with_links=False)
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id"), F.col("class"))).alias("k")
-    keepers = materialise(of_class.groupBy("root").agg(first).select(F.col("k.least_id").alias("_id"), F.col("k.class").alias("_of")), "keepers")
-    stays = (F.col("n") == 0) | (F.col("_of").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_id")))
-    counts = nodes.join(keepers, F.col("class") == F.col("_of"), "left").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.min(stays).alias("_stays"))
-    touched = materialise(counts.filter("_rows > 1 or not _stays"), "touched")
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(PICKED_PARTS)).alias("_part")
-    rows = docs.withColumn("_key", F.col(key).cast("bigint")).withColumn("_part", part("_key"))
+    keepers = materialise(of_class.groupBy("root").agg(first).select(F.col("k.least_id").alias(c_id), F.col("k.class").alias(c_of)), "keepers")
+    stays = (F.col("n") == 0) | (F.col(c_of).isNotNull() & F.col("doc_id").eqNullSafe(F.col(c_id)))
+    counts = nodes.join(keepers, F.col("class") == F.col(c_of), "left").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min(stays).alias("stays"))
+    touched = materialise(counts.filter("rows > 1 or not stays"), "touched")
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(PICKED_PARTS)).alias(c_part)
+    rows = docs.withColumn(c_key, F.col(key).cast("bigint")).withColumn(c_part, part(c_key))
     parts = F.broadcast(touched.select(part("doc_id")).distinct())
-    clear = rows.join(parts, "_part", "left_anti").drop("_part", "_key")
-    near = rows.join(parts, "_part", "left_semi").drop("_part")
-    table = touched.select(F.col("doc_id").alias("_touched"), "_rows")
-    near = near.join(table, F.col("_key").eqNullSafe(F.col("_touched")), "left").drop("_touched")
-    single = near.filter("_rows is null").select(*docs.columns)
-    repeated = with_class(near.filter("_rows > 1").drop("_rows"), text)
-    empty = repeated.filter("_class is null").select(*docs.columns)
-    chosen = repeated.join(keepers, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_of")), "left_semi")
-    return clear.union(single).union(empty).union(chosen.dropDuplicates(["_key", "_class"]).select(*docs.columns))
+    clear = rows.join(parts, c_part, "left_anti").select(*own)
+    near = rows.join(parts, c_part, "left_semi")
+    table = touched.select(F.col("doc_id").alias(c_touched), F.col("rows").alias(c_rows))
+    near = near.join(table, F.col(c_key).eqNullSafe(F.col(c_touched)), "left")
+    single = near.filter(F.col(c_rows).isNull()).select(*own)
+    repeated = with_class(near.filter(F.col(c_rows) > 1).select(*own, c_key), text, c_class)
+    empty = repeated.filter(F.col(c_class).isNull()).select(*own)
+    chosen = repeated.join(keepers, F.col(c_key).eqNullSafe(F.col(c_id)) & (F.col(c_class) == F.col(c_of)), "left_semi")
+    return clear.union(single).union(empty).union(chosen.dropDuplicates([c_key, c_class]).select(*own))
