@@ -5,6 +5,9 @@ its path segments (numbers as one class), file ending, query keys and whether a
 fragment stands. Spark's FP-growth mines frequent sets of tokens together with
 the label of the page; all rules "tokens -> block" are kept whose support and
 confidence suffice, unless a rule of some of their tokens is at least as confident.
+Tokens that occur in the same labelled pages are one item while sets are mined: sets
+of them would all have its support, and be as many as two to their number. A rule
+with that item then stands for each of its tokens.
 Rules match through an inverted index: a rule stands under its rarest token,
 and a URL that has that token is checked for the others.
 
@@ -21,6 +24,8 @@ one with the larger support, then by its text.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,8 +83,18 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     n = labelled.count()
     if not n:
         return empty
-    items = labelled.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("label"))).alias("items"))
-    sets = materialise(FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_PAGES / n)), minConfidence=min_confidence).fit(items).freqItemsets, "item-sets")
+    least = min(1.0, max(min_support, MIN_PAGES / n))
+    rows = materialise(labelled.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(F.coalesce("tokens", F.array().cast("array<string>"))).alias("tokens"), "label"), "labelled")
+    each = rows.select("row", F.explode("tokens").alias("token"))
+    # tokens of the same pages: as many, and with equal sums of two hashes of the pages' rows
+    pages = [F.sum(F.xxhash64("row", F.lit(k)).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)]
+    often = each.groupBy("token").agg(F.count("*").alias("n"), *pages).filter(F.col("n") >= math.ceil(least * n))
+    same = materialise(often.groupBy("n", "s1", "s2").agg(F.min("token").alias("item"), F.collect_list("token").alias("members")).select("item", "members"), "same-pages")
+    # frequent tokens are at most as many as the tokens of 1 / ``least`` pages
+    named = same.select("item", F.explode("members").alias("token"))
+    found = each.join(F.broadcast(named), "token").groupBy("row").agg(F.collect_set("item").alias("found"))
+    items = rows.join(found, "row", "left").select(F.array_append(F.coalesce("found", F.array().cast("array<string>")), F.concat(F.lit(_LABEL), F.col("label"))).alias("items"))
+    sets = materialise(FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(items).freqItemsets, "item-sets")
     block = _LABEL + BLOCK
     marked = sets.filter(F.array_contains("items", block)).select(F.array_sort(F.array_remove("items", block)).alias("tokens"), F.col("freq").alias("hits")).filter(F.size("tokens") >= 1)
     plain = sets.filter(~F.exists("items", lambda x: F.startswith(x, F.lit(_LABEL)))).select(F.array_sort("items").alias("tokens"), "freq")
@@ -97,7 +112,12 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
             level = level.join(below, "tokens")
         level = materialise(level, "rule-level")
         smaller = level.select(F.col("tokens").alias("_part"), F.greatest("confidence", "below").alias("most"))
-        rules = rules.union(level.filter((F.col("confidence") >= min_confidence) & (F.col("confidence") > F.col("below"))).select(F.array_join("tokens", " ").alias("rule_id"), "tokens", "support", "confidence"))
+        kept = level.filter((F.col("confidence") >= min_confidence) & (F.col("confidence") > F.col("below"))).select("tokens", "support", "confidence")
+        for place in range(size):  # the item at this place gives way to each of its tokens
+            kept = kept.withColumn("item", F.get("tokens", F.lit(place))).join(F.broadcast(same), "item").withColumn("_token", F.explode("members"))
+            kept = kept.select(F.transform("tokens", lambda t, i: F.when(i == place, F.col("_token")).otherwise(t)).alias("tokens"), "support", "confidence")
+        kept = kept.withColumn("tokens", F.array_sort("tokens"))
+        rules = rules.union(kept.select(F.array_join("tokens", " ").alias("rule_id"), "tokens", "support", "confidence"))
     return materialise(rules, "rules")
 
 
