@@ -47,6 +47,7 @@ MEMO_BYTES, PAIR_ENTRIES, MEMO_CHARS = 96 << 20, 400_000, 48
 ENTRY_BYTES = 150
 #: Pieces that are broadcast at most.
 MAX_PIECES = 1_000_000
+_SHIFT, _MASK = 20, (1 << 20) - 1  # two numbers of pieces in one
 #: The character that stands for a blank in pieces.
 BLANK = "▁"
 
@@ -75,6 +76,9 @@ class PrefixCounter:
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
+        # pieces by number, from 1 on; 0 is none: a chunk's start, or a character outside the vocabulary
+        self._names = ["", *pieces]
+        self._numbers = {p: i for i, p in enumerate(pieces, 1)}
         # the longest piece that ends with two given characters
         self._reach: dict[str, int] = {}
         for p in pieces:
@@ -82,7 +86,7 @@ class PrefixCounter:
         marks = re.escape("".join(sorted(self._marks(pieces))))
         mark, other = (f"[{marks}]", f"[^ \\n{marks}]") if marks else ("(?!)", "[^ \\n]")
         self._chunks = re.compile(f"\\n+| *(?:{mark}+{other}*|{other}+)| +")
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._totals: dict[str, int] = {}
         self._bytes = 0
 
@@ -108,36 +112,44 @@ class PrefixCounter:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _stay(self, left: str, right: str) -> bool:
-        """Whether two tokens stay as they are side by side; an empty left asks for ``right`` alone."""
+    def _stay(self, key: int) -> bool:
+        """Whether two tokens stay as they are side by side (``key``: both numbers); number 0 on the left asks for the other alone."""
         if len(self._pairs) >= PAIR_ENTRIES:
             self._pairs.clear()
-        verdict = self._pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
+        left, right = self._names[key >> _SHIFT], self._names[key & _MASK]
+        verdict = self._pairs[key] = self.merge(left + right) == ([left, right] if left else [right])
         return verdict
 
     def count_prefixes(self, chunk: str) -> list[int]:
         """Tokens of each prefix of ``chunk`` (blanks as ``BLANK``), the empty one first."""
-        pieces, reach, pairs = self.pieces, self._reach, self._pairs
-        counts, last = [0], [""]
-        for i in range(1, len(chunk) + 1):
-            most = reach.get(chunk[i - 2 : i] if i > 1 else chunk[0], 1)
+        number, reach, pairs = self._numbers.get, self._reach.get, self._pairs
+        counts, last = [0], [0]  # last: the last token's number, shifted
+        before = ""
+        for i, char in enumerate(chunk, 1):
+            most = reach(before + char, 1)
+            before = char
             for k in range(i - most if i > most else 0, i):
-                token = chunk[k:i]
-                if token in pieces:
-                    cost = 1
-                elif k == i - 1:
-                    cost = len(token.encode("utf-8"))
-                else:
-                    continue
-                stays = pairs.get((last[k], token))
-                if stays or stays is None and self._stay(last[k], token):
-                    counts.append(counts[k] + cost)
-                    last.append(token)
-                    break
+                token = number(chunk[k:i])
+                if token is not None:
+                    key = last[k] | token
+                    stays = pairs.get(key)
+                    if stays or stays is None and self._stay(key):
+                        counts.append(counts[k] + 1)
+                        last.append(token << _SHIFT)
+                        break
             else:
-                raise AssertionError(f"no encoding ends at {i} of {chunk!r}")
+                # no piece ends here: a character outside the vocabulary, which merges with nothing
+                if char in self.pieces:
+                    raise AssertionError(f"no encoding ends at {i} of {chunk!r}")
+                counts.append(counts[-1] + len(char.encode("utf-8")))
+                last.append(0)
         return counts
 
+    def forget(self) -> None:
+        """Drops what is remembered of chunks."""
+        self._totals.clear()
+        self._bytes = 0
+
     def chunks(self, text: str) -> list[str]:
         """``text`` with the blank in front, in parts between which nothing merges."""
         return self._chunks.findall(" " + text.replace(BLANK, " ")) if text else []
@@ -154,8 +166,7 @@ class PrefixCounter:
         except KeyError:
             pass
         if self._bytes > MEMO_BYTES:
-            known.clear()
-            self._bytes = 0
+            self.forget()
         own = {}
         for c in set(parts).difference(known):
             if len(c) > MEMO_CHARS:
@@ -190,6 +201,18 @@ class PrefixCounter:
         return max(0, chars - 1 + max(j for j, n in enumerate(within) if spent + n <= budget))
 
 
+#: The counter that a worker has built last, for its verdicts on pairs; what it remembers of chunks goes with each task.
+_LOADED: dict[int, PrefixCounter] = {}
+
+
+def _in_task(pieces: dict[str, float]) -> PrefixCounter:
+    key = hash(tuple(pieces.items()))
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = PrefixCounter(pieces)
+    return _LOADED[key]
+
+
 def _counter(df: DataFrame, model_path: str):
     let_workers_import(df.sparkSession)
     return df.sparkSession.sparkContext.broadcast(load_pieces(model_path))
@@ -206,15 +229,18 @@ def count_tokens(df: DataFrame, model_path: str, keep: list[str], limit: int, te
     schema = _kept_schema(df, keep) + "n_bytes bigint, n_tokens bigint, over_limit boolean, limit_chars bigint"
 
     def run(batches):
-        counter = PrefixCounter(sent.value)
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            tokens = [sum(counter.totals(t)[1]) for t in texts]
-            chars = [counter.cut(t, limit) if n > limit else len(t) for t, n in zip(texts, tokens)]
-            cols = [batch.column(c) for c in keep]
-            cols += [pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), pa.array(tokens, pa.int64())]
-            cols += [pa.array([n > limit for n in tokens], pa.bool_()), pa.array(chars, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, [*keep, "n_bytes", "n_tokens", "over_limit", "limit_chars"])
+        counter = _in_task(sent.value)
+        try:
+            for batch in batches:
+                texts = batch.column("_text").to_pylist()
+                tokens = [sum(counter.totals(t)[1]) for t in texts]
+                chars = [counter.cut(t, limit) if n > limit else len(t) for t, n in zip(texts, tokens)]
+                cols = [batch.column(c) for c in keep]
+                cols += [pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), pa.array(tokens, pa.int64())]
+                cols += [pa.array([n > limit for n in tokens], pa.bool_()), pa.array(chars, pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, [*keep, "n_bytes", "n_tokens", "over_limit", "limit_chars"])
+        finally:
+            counter.forget()
 
     return base.mapInArrow(run, schema)
 
