@@ -9,20 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuescope.session import checkpoint_dir
+from valuescope.session import checkpoint_dir, let_workers_import
 
 #: One of so many parts of the hash space; sampling fractions are multiples of it.
 HASH_PARTS = 1 << 20
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Python workers find this package where the driver does, whatever folder the session was started in."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
-        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

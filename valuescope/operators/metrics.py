@@ -7,13 +7,18 @@ customers is a single row before any ordering.
 
 from __future__ import annotations
 
+import decimal
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuescope.functions import md5_uniform, money
+from valuescope.functions import money
+from valuescope.functions.digests import md5_heads
 from valuescope.operators.common import attach_one_row
 from valuescope.operators.ordered import average_rank, global_order, quantile_bins
+from valuescope.session import let_workers_import
 
 
 def regression_metrics(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
@@ -83,6 +88,8 @@ def decile_lift(df: DataFrame, score: str = "clv_horizon", actual: str = "holdou
 
 #: Customers of one bin and amount that share a draw at most; the terms of their Poisson distribution are bounded by it.
 DRAW_SIZE = 512
+#: Amounts of a batch that are drawn at a time.
+DRAW_ROWS = 4096
 
 
 def poisson_table(sizes: DataFrame) -> DataFrame:
@@ -99,6 +106,62 @@ def poisson_table(sizes: DataFrame) -> DataFrame:
     return sizes.select("n").distinct().select("n", F.aggregate(F.sequence(F.lit(1), last), start, step)["cdf"].alias("cdf"))
 
 
+def _integer_parts(amounts: pa.Array) -> list[np.ndarray]:
+    """A decimal column as integers of its last place, value = a + b * 2^32 + c * 2^64; NULL counts as 0."""
+    low, high = np.frombuffer(amounts.buffers()[1], "<u8").reshape(-1, 2)[amounts.offset : amounts.offset + len(amounts)].T
+    parts = [(low & np.uint64(0xFFFFFFFF)).astype(np.int64), (low >> np.uint64(32)).astype(np.int64), high.astype(np.int64)]
+    null = amounts.is_null().to_numpy(zero_copy_only=False)
+    return [np.where(null, 0, x) for x in parts]
+
+
+def weighted_sums(seed: int, n_boot: int):
+    """Arrow function of the bootstrap's rows: (decile, rep, sum of amount x weight, sum of weights) of a task."""
+    prefixes = [f"{seed}|{rep}|".encode() for rep in range(1, n_boot + 1)]
+
+    def run(batches):
+        weights, totals, kind = {}, {}, None  # decile -> n_boot numbers; without an entry in totals, no amount
+        for batch in batches:
+            kind = batch.column("decile").type
+            names = batch.column("decile").to_pylist()
+            codes = {name: i for i, name in enumerate(dict.fromkeys(names))}
+            decile, n = np.array([codes[x] for x in names], np.int64), batch.column("n").to_numpy()
+            order = np.lexsort((n, decile))
+            tails = np.array(batch.column("tail").cast(pa.binary()).to_pylist())
+            parts = _integer_parts(batch.column("_m"))
+            present = batch.column("_m").is_valid().to_numpy(zero_copy_only=False)
+            known = {}  # the uniforms, as 32-bit integers, from which on a weight is one more
+            for i in order[np.unique(n[order], return_index=True)[1]] if len(n) else ():
+                steps = np.ceil(batch.column("cdf")[int(i)].values.to_numpy() * 2.0**32)
+                known[n[i]] = steps[steps < 2.0**32].astype(np.uint32)
+            for at in (order[i : i + DRAW_ROWS] for i in range(0, len(order), DRAW_ROWS)):
+                runs = np.flatnonzero(np.diff(n[at], prepend=-1) | np.diff(decile[at], prepend=-1))
+                starts = np.flatnonzero(np.diff(decile[at], prepend=-1))
+                rep = 0
+                for u in md5_heads(prefixes, tails[at]):
+                    w = np.empty(u.shape, np.int64)
+                    for i, j in zip(runs, [*runs[1:], len(at)]):
+                        w[:, i:j] = np.searchsorted(known[n[at[i]]], u[:, i:j], "right")
+                    sums = [np.add.reduceat(w, starts, axis=1)]
+                    sums += [np.add.reduceat(w * p[at], starts, axis=1) if p[at].any() else None for p in parts]
+                    for k, i in enumerate(starts):
+                        key, reps = names[at[i]], slice(rep, rep + len(u))
+                        weights.setdefault(key, np.zeros(n_boot, np.int64))[reps] += sums[0][:, k]
+                        if present[at[i : starts[k + 1] if k + 1 < len(starts) else len(at)]].any():
+                            total = totals.setdefault(key, np.zeros(n_boot, object))
+                            for p, s in enumerate(sums[1:]):
+                                if s is not None:
+                                    total[reps] += s[:, k].astype(object) << (32 * p)
+                    rep += len(u)
+        exact = decimal.Context(prec=60)
+        for key, w in weights.items():
+            y = [exact.scaleb(decimal.Decimal(t), -10) for t in totals[key]] if key in totals else [None] * n_boot
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * n_boot, kind), pa.array(range(1, n_boot + 1), pa.int32()), pa.array(y, pa.decimal128(38, 10)), pa.array(w)],
+                ["decile", "rep", "_sy", "_sw"])
+
+    return run
+
+
 def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str = "holdout_revenue",
                         n_boot: int = 500, ci_level: float = 0.95, seed: int = 42, q: int = 10) -> DataFrame:
     """Percentile CI of each decile's mean actual under Poisson bootstrap weights.
@@ -108,9 +171,9 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
     It comes by inversion from one md5 of (seed, replicate, decile, part, amount),
     so the result does not depend on partitioning. Counts above ``DRAW_SIZE`` are
     drawn in parts of that size. Work thus grows with distinct amounts, not with
-    customers, and the many without revenue are a few rows. Rows are expanded
-    to replicates inside the map stage and immediately partially aggregated per
-    (decile, replicate): the shuffle carries at most q * n_boot rows per task.
+    customers, and the many without revenue are a few rows. The amounts are dealt over
+    the tasks, each of which digests and sums its rows for all replicates a block at a time
+    (numpy), and hands on at most q * n_boot rows.
     ``df`` may be binned already.
     """
     d = binned(df, score, actual, q).groupBy("decile", money("_y").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
@@ -119,11 +182,11 @@ def bootstrap_decile_ci(df: DataFrame, score: str = "clv_horizon", actual: str =
     # each row makes n_boot digests, so small inputs are spread over as many tasks as shuffles have
     d = d.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "decile", "_m", "part")
     d = d.join(F.broadcast(poisson_table(d)), "n")  # at most DRAW_SIZE rows
-    rep = d.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
-    u = md5_uniform(F.lit(seed), F.col("rep"), F.col("decile"), F.col("part"), F.col("_m").cast("string"))
-    rep = rep.withColumn("_u", u).withColumn("_w", F.size(F.filter("cdf", lambda c: c <= F.col("_u"))))
-    per = rep.groupBy("decile", "rep").agg(
-        F.sum(F.col("_m") * F.col("_w").cast("decimal(6,0)")).alias("_sy"), F.sum("_w").alias("_sw"))
+    tail = F.concat_ws("|", F.col("decile").cast("string"), F.col("part").cast("string"), F.col("_m").cast("string"))
+    let_workers_import(df.sparkSession)
+    per = d.select("decile", "n", "_m", tail.alias("tail"), "cdf").mapInArrow(
+        weighted_sums(seed, n_boot), f"decile {d.schema['decile'].dataType.simpleString()}, rep int, _sy decimal(38,10), _sw bigint")
+    per = per.groupBy("decile", "rep").agg(F.sum("_sy").alias("_sy"), F.sum("_sw").alias("_sw"))
     per = per.select("decile", "rep",
                      F.when(F.col("_sw") > 0, F.col("_sy").cast("double") / F.col("_sw")).otherwise(0.0)
                      .alias("m"))  # a decile that drew no weight counts as 0
