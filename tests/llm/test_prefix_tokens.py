@@ -81,3 +81,17 @@ def test_odd_tables(spark):
     assert pt.count_tokens(df.limit(0), PATH, ["doc_id"], 4).collect() == []
     clash = df.withColumn("n_tokens", F.lit(9)).withColumn("_text", F.lit("zz")).withColumn("n_bytes", F.lit("q"))
     assert sorted(tuple(r)[1:] for r in pt.count_tokens(clash, PATH, ["doc_id"], 4).collect()) == got
+
+
+def test_only_pieces_that_can_end_here_are_looked_up():
+    counter = pt.PrefixCounter({"a": -1.0, "b": -2.0, "ab": -0.5, "cccccab": -0.1, "c": -3.0})
+    tried = []
+
+    class Numbers(dict):
+        def get(self, piece, default=None):
+            tried.append(piece)
+            return super().get(piece, default)
+
+    counter._numbers = Numbers(counter._numbers)
+    assert counter.count_prefixes("aaaaaab") == [0, 1, 2, 3, 4, 5, 6, 6]
+    assert max(map(len, tried)) == 2  # no piece of three characters or more ends with "aab"

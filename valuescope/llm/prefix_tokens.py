@@ -14,7 +14,7 @@ alone and is remembered.
 No piece holds a blank behind another character, nor a line feed, nor certain
 punctuation behind a letter (which marks, is read off the vocabulary), so a text
 falls into chunks between which nothing merges; counts of equal chunks are
-remembered within a task, bounded by bytes.
+remembered by a worker, bounded by bytes.
 
 ``prefix_table`` stores a text's counts as one signed byte a character (the
 step from one prefix to the next), so that ``answer`` tells the tokens of any
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from valuescope.llm.common import let_workers_import
 
-#: Bytes of remembered chunks and entries of remembered pairs in a task, and the longest chunk remembered.
+#: Bytes of remembered chunks and entries of remembered pairs in a worker, and the longest chunk remembered.
 MEMO_BYTES, PAIR_ENTRIES, MEMO_CHARS = 96 << 20, 400_000, 48
 #: About what Python needs for a memo entry besides its characters.
 ENTRY_BYTES = 150
@@ -79,10 +79,11 @@ class PrefixCounter:
         # pieces by number, from 1 on; 0 is none: a chunk's start, or a character outside the vocabulary
         self._names = ["", *pieces]
         self._numbers = {p: i for i, p in enumerate(pieces, 1)}
-        # the longest piece that ends with two given characters
+        # the longest piece that ends with three given characters; shorter pieces need no entry
         self._reach: dict[str, int] = {}
         for p in pieces:
-            self._reach[p[-2:]] = max(len(p), self._reach.get(p[-2:], 1))
+            if len(p) > 2:
+                self._reach[p[-3:]] = max(len(p), self._reach.get(p[-3:], 1))
         marks = re.escape("".join(sorted(self._marks(pieces))))
         mark, other = (f"[{marks}]", f"[^ \\n{marks}]") if marks else ("(?!)", "[^ \\n]")
         self._chunks = re.compile(f"\\n+| *(?:{mark}+{other}*|{other}+)| +")
@@ -124,10 +125,17 @@ class PrefixCounter:
         """Tokens of each prefix of ``chunk`` (blanks as ``BLANK``), the empty one first."""
         number, reach, pairs = self._numbers.get, self._reach.get, self._pairs
         counts, last = [0], [0]  # last: the last token's number, shifted
-        before = ""
+        start = 0  # where the last token of the prefix before starts: most often the next character joins it
         for i, char in enumerate(chunk, 1):
-            most = reach(before + char, 1)
-            before = char
+            token = number(chunk[start:i])
+            if token is not None:
+                key = last[start] | token
+                stays = pairs.get(key)
+                if stays or stays is None and self._stay(key):
+                    counts.append(counts[start] + 1)
+                    last.append(token << _SHIFT)
+                    continue
+            most = reach(chunk[i - 3 : i], 2) if i > 2 else 2
             for k in range(i - most if i > most else 0, i):
                 token = number(chunk[k:i])
                 if token is not None:
@@ -136,6 +144,7 @@ class PrefixCounter:
                     if stays or stays is None and self._stay(key):
                         counts.append(counts[k] + 1)
                         last.append(token << _SHIFT)
+                        start = k
                         break
             else:
                 # no piece ends here: a character outside the vocabulary, which merges with nothing
@@ -143,6 +152,7 @@ class PrefixCounter:
                     raise AssertionError(f"no encoding ends at {i} of {chunk!r}")
                 counts.append(counts[-1] + len(char.encode("utf-8")))
                 last.append(0)
+                start = i
         return counts
 
     def forget(self) -> None:
@@ -201,7 +211,7 @@ class PrefixCounter:
         return max(0, chars - 1 + max(j for j, n in enumerate(within) if spent + n <= budget))
 
 
-#: The counter that a worker has built last, for its verdicts on pairs; what it remembers of chunks goes with each task.
+#: The counter that a worker has built last: its verdicts on pairs and counts of chunks, both bounded, serve the worker's later tasks.
 _LOADED: dict[int, PrefixCounter] = {}
 
 
@@ -230,17 +240,14 @@ def count_tokens(df: DataFrame, model_path: str, keep: list[str], limit: int, te
 
     def run(batches):
         counter = _in_task(sent.value)
-        try:
-            for batch in batches:
-                texts = batch.column("_text").to_pylist()
-                tokens = [sum(counter.totals(t)[1]) for t in texts]
-                chars = [counter.cut(t, limit) if n > limit else len(t) for t, n in zip(texts, tokens)]
-                cols = [batch.column(c) for c in keep]
-                cols += [pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), pa.array(tokens, pa.int64())]
-                cols += [pa.array([n > limit for n in tokens], pa.bool_()), pa.array(chars, pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols, [*keep, "n_bytes", "n_tokens", "over_limit", "limit_chars"])
-        finally:
-            counter.forget()
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            tokens = [sum(counter.totals(t)[1]) for t in texts]
+            chars = [counter.cut(t, limit) if n > limit else len(t) for t, n in zip(texts, tokens)]
+            cols = [batch.column(c) for c in keep]
+            cols += [pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), pa.array(tokens, pa.int64())]
+            cols += [pa.array([n > limit for n in tokens], pa.bool_()), pa.array(chars, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, [*keep, "n_bytes", "n_tokens", "over_limit", "limit_chars"])
 
     return base.mapInArrow(run, schema)
 
