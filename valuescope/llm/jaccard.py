@@ -51,6 +51,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -236,10 +237,20 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> t
     return np.concatenate([rare.view(np.int64), np.fromiter(out, np.int64, len(out))]), short
 
 
-def index_rows(docs: DataFrame, frequent: list, key: str, text: str) -> DataFrame:
-    """signature, class, n, short: the prefixes of all texts."""
-    pairs = sorted((r[0] % (1 << 64), r[1]) for r in frequent)
-    sent = docs.sparkSession.sparkContext.broadcast((np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.int64)))
+def frequent_shingles(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ``FREQUENT`` shingles of the largest sums, sorted, and their sums.
+
+    They are written before they are read: collected at once, every part's own ``FREQUENT`` would come to the driver.
+    """
+    sums = seen.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= CLASSES[0][0])
+    chosen = materialise(sums.orderBy(F.desc("times"), "token").limit(FREQUENT), "frequent").toArrow()
+    token, times = chosen.column("token").to_numpy().view(np.uint64), chosen.column("times").to_numpy()
+    order = np.argsort(token)
+    return token[order], times[order]
+
+
+def index_rows(docs: DataFrame, sent: Broadcast, key: str, text: str) -> DataFrame:
+    """signature, class, n, short: the prefixes of all texts; ``sent`` has the frequent shingles."""
 
     def rows(parts):
         lens = [len(p[0][0]) for p in parts]
@@ -303,6 +314,17 @@ def shared_only(index: DataFrame) -> DataFrame:
     return ordered.mapInArrow(tidy(run), index.schema)
 
 
+def part_bits(parts: DataFrame, part: str) -> DataFrame:
+    """word, bits: the numbers in column ``part`` as bits, 64 a row: ``PICKED_PARTS`` / 64 rows at most, whatever the input."""
+    bit = F.expr(f"shiftleft(1L, cast({part} & 63 as int))")
+    return parts.select(F.shiftright(part, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def _has_bit(bits: str, part: str) -> Column:
+    """Whether the row's part is among its word's; false where there is no such word."""
+    return F.expr(f"coalesce(shiftright({bits}, cast({part} & 63 as int)) & 1, 0) = 1")
+
+
 def texts_of(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """doc_id, text of one document of each class of ``some`` (class), and of few others.
 
@@ -313,7 +335,8 @@ def texts_of(some: DataFrame, classes: DataFrame, docs: DataFrame, key: str, tex
     picked = materialise(wanted.select(*[p.alias(f"part{k}") for k, p in enumerate(parts)]), "picked")
     near = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     for k, p in enumerate(parts):
-        near = near.withColumn("part", p).join(F.broadcast(picked.select(F.col(f"part{k}").alias("part")).distinct()), "part", "left_semi").drop("part")
+        bits = F.broadcast(part_bits(picked, f"part{k}"))
+        near = near.withColumn("part", p).join(bits, F.shiftright("part", 6) == F.col("word")).filter(_has_bit("bits", "part")).select("doc_id", "text")
     return near
 
 
@@ -463,12 +486,16 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text
     return both.select("a", "b", "x", "y").mapInArrow(tidy(compare), "a bigint, b bigint")
 
 
+def _only_stars(links: DataFrame) -> bool:
+    """Whether no node has two smaller neighbours, or one and larger ones too: then each links straight to its component's least."""
+    ends = links.select(F.col("hi").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger")).union(links.select("lo", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger")).filter("smaller > 0 and smaller + larger > 1").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: the least node of each node's component, by alternating large and small stars."""
+    """node, root: the least node of each node's component, by alternating large and small stars until there are only stars."""
     now = materialise(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct(), "links")
-    before = None
-    while (state := tuple(now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())) != before:
-        before = state
+    while not _only_stars(now):
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
@@ -484,9 +511,10 @@ def class_components(docs: DataFrame, key: str, text: str, with_links: bool = Tr
     nodes = seen.filter("n is not null").select("doc_id", "n", "class", "check")
     same = F.when(F.min("check") == F.max("check"), F.max("n")).otherwise(F.raise_error(F.lit("two sets have the same 64-bit hash")))
     classes = materialise(nodes.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least_id"), same.cast("bigint").alias("n")), "classes")
-    frequent = seen.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= CLASSES[0][0]).orderBy(F.desc("times"), "token").limit(FREQUENT).collect()
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(seen))
 
     shared = materialise(shared_only(index_rows(docs, frequent, key, text)), "signatures")
+    frequent.destroy()
     # some class of the group must be the smaller one of a pair, by its short part
     useful = shared.groupBy("signature").agg(F.max("short").alias("any"), F.min(F.when(F.col("short"), F.col("n"))).alias("least"))
     useful = useful.filter("any").select("signature", "least")
@@ -561,7 +589,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             name += "_"
         return name
 
-    c_key, c_part, c_rows, c_touched, c_class, c_id, c_of = map(free, ("_key", "_part", "_rows", "_touched", "_class", "_id", "_of"))
+    c_key, c_part, c_word, c_bits, c_rows, c_touched, c_class, c_id, c_of = map(free, ("_key", "_part", "_word", "_bits", "_rows", "_touched", "_class", "_id", "_of"))
     own = [F.col(f"`{c}`") for c in docs.columns]
     nodes, of_class = class_components(docs, key, text, with_links=False)
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id"), F.col("class"))).alias("k")
@@ -571,9 +599,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     touched = materialise(counts.filter("rows > 1 or not stays"), "touched")
     part = lambda c: F.pmod(F.xxhash64(c), F.lit(PICKED_PARTS)).alias(c_part)
     rows = docs.withColumn(c_key, F.col(key).cast("bigint")).withColumn(c_part, part(c_key))
-    parts = F.broadcast(touched.select(part("doc_id")).distinct())
-    clear = rows.join(parts, c_part, "left_anti").select(*own)
-    near = rows.join(parts, c_part, "left_semi")
+    bits = F.broadcast(part_bits(touched.select(part("doc_id")), c_part).select(F.col("word").alias(c_word), F.col("bits").alias(c_bits)))
+    rows = rows.join(bits, F.shiftright(c_part, 6) == F.col(c_word), "left")
+    clear = rows.filter(~_has_bit(c_bits, c_part)).select(*own)
+    near = rows.filter(_has_bit(c_bits, c_part))
     table = touched.select(F.col("doc_id").alias(c_touched), F.col("rows").alias(c_rows))
     near = near.join(table, F.col(c_key).eqNullSafe(F.col(c_touched)), "left")
     single = near.filter(F.col(c_rows).isNull()).select(*own)

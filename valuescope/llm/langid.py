@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuescope.llm.common import bounded_sample, crc_mod
+from valuescope.llm.common import bounded_sample, crc_mod, give_back
 
 ORDER, DOCS_PER_LANG = 3, 1500
 #: Longest sampled text that is learned from whole; longer ones are left out of the sample.
@@ -212,8 +212,11 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """Model from the rows with a text and a language; None if there are none."""
     rows = df.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and key is not null")
     sample = bounded_sample(rows, "key", "lang", docs_per_lang).filter(F.col("text").isNotNull() & (F.length("text") <= MAX_SAMPLE_CHARS))
-    counts = gram_counts(sample, "lang", "text", order).toPandas()
-    return compile_model(counts, order) if len(counts) else None
+    counts = gram_counts(sample, "lang", "text", order).toArrow().to_pandas()  # as columns: a Python object a value would take ten times the driver's memory
+    model = compile_model(counts, order) if len(counts) else None
+    del counts
+    give_back()
+    return model
 
 
 def predict(df: DataFrame, model: PpmModel | None, keep: list[str], text: str = "text", with_bits: bool = False) -> DataFrame:

@@ -192,9 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
                 _epoch(m, grads, rows, np.array(labels, np.float64), np.random.default_rng([SEED, turn]).permutation(len(rows)))
                 yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64()), "machine": pa.array([pickle.dumps((m.bias, m.linear.astype(np.float32), m.factors.astype(np.float32)))], pa.binary())})
 
-        got = parts.mapInArrow(run, "n bigint, machine binary").collect()
+        got = parts.mapInArrow(run, "n bigint, machine binary").toArrow().to_pylist()  # the driver's JVM passes Arrow on as it comes
         sent.destroy()
-        each = [(r["n"], *pickle.loads(r["machine"])) for r in sorted(got, key=lambda r: bytes(r["machine"]))]
+        each = [(r["n"], *pickle.loads(r["machine"])) for r in sorted(got, key=lambda r: r["machine"])]
         n = sum(e[0] for e in each)
         machine = Machine(*(sum(e[0] / n * np.asarray(e[k], np.float64) for e in each) for k in (1, 2, 3)))
         machine.bias = float(machine.bias)
